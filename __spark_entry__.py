@@ -21,7 +21,7 @@ from ledgerline.operators.relational import exists_in, missing_from
 from ledgerline.plans import finance, models, purchase, sales
 from ledgerline.session import scratch_path
 from ledgerline.sources.extract import ParquetSource, extract_to_landing
-from ledgerline.sources.testbed import ErpTables
+from ledgerline.sources.testbed import ErpTables, landed_testbed
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 
@@ -41,8 +41,13 @@ LOAD_TIME = "2001-07-15 00:00:00"
 EXTRACT_FROM = "1998-01-01 00:00:00"
 
 
-def _t(spark: SparkSession, sf_dir: str) -> ErpTables:
-    return ErpTables(spark, sf_dir)
+def _t(spark: SparkSession, sf_dir: str):
+    """ERP tables of ``sf_dir``, landed once per application (see testbed)."""
+    return landed_testbed(spark, sf_dir)
+
+
+def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return ErpTables(spark, sf_dir).raw(name)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -96,11 +101,11 @@ def _report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "raw_material_purchases": lambda s, d: purchase.raw_material_purchases(_t(s, d)),
         "purchased_items": lambda s, d: purchase.purchased_items(_t(s, d)),
         "total_revenue": lambda s, d: models.total_revenue(
-            _t(s, d).raw("orders"), "o_totalprice", scratch_path(s, "total_revenue")),
+            _raw(s, d, "orders"), "o_totalprice", scratch_path(s, "total_revenue")),
         "sales_invoice_load": lambda s, d: models.sales_invoice_load(
             _t(s, d).sales_invoice, scratch_path(s, "sales_invoice_target"), AS_OF),
         "count_by_key": lambda s, d: models.count_by_key(
-            _t(s, d).raw("lineitem"), "l_suppkey", scratch_path(s, "books_counts"),
+            _raw(s, d, "lineitem"), "l_suppkey", scratch_path(s, "books_counts"),
             key_name="author_id"),
     }
 
@@ -110,7 +115,7 @@ def _report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # ---------------------------------------------------------------------------
 
 def _latest_per_key(s: SparkSession, d: str) -> DataFrame:
-    li = _t(s, d).raw("lineitem")
+    li = _raw(s, d, "lineitem")
     return latest_per_key(li, ["l_orderkey"], ["l_shipdate", "l_linenumber"],
                           ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"])
 
@@ -174,7 +179,7 @@ def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "latest_per_key": _latest_per_key,
         "pk_violations": lambda s, d: quality.pk_violations(
-            _t(s, d).raw("lineitem"), ["l_orderkey", "l_linenumber"]),
+            _raw(s, d, "lineitem"), ["l_orderkey", "l_linenumber"]),
         "fk_orphans": _fk_orphans,
         "not_null_violations": lambda s, d: quality.not_null_violations(
             _t(s, d).sales_invoice_item, ["delivery_note", "item_code", "qty"]),

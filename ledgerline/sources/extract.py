@@ -193,6 +193,17 @@ def extract_to_landing(spark: SparkSession, source: JdbcSource | ParquetSource,
     return path, write_parquet(df, path, compression=compression)
 
 
-def land_tables(tables, root: str, names: Sequence[str]) -> dict[str, int]:
-    """Land several derived tables (``tables.<name>``) under ``root/<name>``."""
-    return {n: write_parquet(getattr(tables, n), f"{root.rstrip('/')}/{n}") for n in names}
+def land_tables(tables, root: str, names: Sequence[str], parallel: int = 4) -> dict[str, int]:
+    """Land several derived tables (``tables.<name>``) under ``root/<name>``.
+
+    The writes are independent Spark jobs; submitting a few at a time from
+    driver threads lets the scheduler fill idle executor slots while a small
+    table's job is finishing.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    def land(n: str) -> tuple[str, int]:
+        return n, write_parquet(getattr(tables, n), f"{root.rstrip('/')}/{n}")
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return dict(pool.map(land, names))

@@ -12,6 +12,7 @@ from a landing folder written by ``sources.extract.land_tables``.
 
 from __future__ import annotations
 
+import os
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,15 +49,14 @@ class ErpTables:
     # -- shared order-level base ("O" in FIXTURES.md) ----------------------
     @cached_property
     def _orders(self) -> DataFrame:
-        # The supplier count is a one-row aggregate, so broadcasting it is
-        # bounded by construction.
-        nsup = self.raw("supplier").agg(F.count(F.lit(1)).alias("_nsup"))
+        # The supplier count is a scalar subquery: computed once, one value.
+        nsup = self.raw("supplier").select(F.count(F.lit(1))).scalar()
         k, ck = F.col("o_orderkey"), F.col("o_custkey")
-        return self.raw("orders").crossJoin(F.broadcast(nsup)).select(
+        return self.raw("orders").select(
             k.alias("k"),
             ck.alias("ck"),
             _name("CUST-", ck).alias("cust"),
-            _name("SUP-", (k * 7 + ck) % F.col("_nsup")).alias("sup"),
+            _name("SUP-", (k * 7 + ck) % nsup).alias("sup"),
             F.col("o_totalprice").cast("decimal(18,2)").alias("amt"),
             F.col("o_orderdate").cast("date").alias("d"),
             F.col("o_orderstatus").alias("st"),
@@ -379,6 +379,29 @@ class ErpTables:
             F.col("credit").alias("credit_in_transaction_currency"))
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_testbed(spark: SparkSession, sf_dir: str) -> "LandedTables":
+    """The ERP tables of ``sf_dir`` landed once per application as Parquet.
+
+    This is the extraction step of the source system: the derived tables are
+    written under the shared folder (``spark.checkpoint.dir``) and every
+    report reads the landed files, so the reports' plans start at Parquet
+    scans with real sizes and the lineage to the raw tables is cut.
+    """
+    from ..session import scratch_path
+    from .extract import land_tables
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    root = _LANDED.get(key)
+    if root is None:
+        root = scratch_path(spark, "erp-landing")
+        land_tables(ErpTables(spark, sf_dir), root, ERP_TABLES)
+        _LANDED[key] = root
+    return LandedTables(spark, root)
+
+
 class LandedTables:
     """ERP tables read back from a landing folder (one Parquet dataset each)."""
 
