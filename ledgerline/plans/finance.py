@@ -282,6 +282,10 @@ def net_profit(gl_entry: DataFrame, account: DataFrame, start: DateLike, end: Da
 
 BUCKET_NAMES = [name for name, _, _ in C.AGEING_BUCKETS]
 
+# Columns of the per-source rows that feed the single ageing aggregate.
+_AGEING_ROW = ["supplier_id", "invoice_name", *BUCKET_NAMES, "outstanding", "paid",
+               "owed", "journal_credit"]
+
 
 def open_purchase_invoices(purchase_invoice: DataFrame, as_of: DateLike) -> DataFrame:
     """Stage a: submitted, unpaid, non-return invoices due on or before as_of.
@@ -299,114 +303,115 @@ def open_purchase_invoices(purchase_invoice: DataFrame, as_of: DateLike) -> Data
                      F.datediff(d, F.col("due_date")).alias("days_after_due_date"))
 
 
-def invoice_ageing(open_invoices: DataFrame) -> DataFrame:
-    """Stage b: bucket sums and total per supplier."""
-    days, amt = F.col("days_after_due_date"), F.col("amount")
-    buckets = [F.coalesce(F.sum(F.when(in_bucket(days, lo, hi), amt).otherwise(F.lit(0))),
-                          F.lit(0)).cast(C.WIDE_MONEY).alias(name)
-               for name, lo, hi in C.AGEING_BUCKETS]
-    return (open_invoices.groupBy("supplier_id")
-                         .agg(F.max("supplier_name").alias("supplier_name"), *buckets,
-                              F.sum(amt).cast(C.WIDE_MONEY).alias("outstanding")))
-
-
-def supplier_journal_sums(journal_entry_account: DataFrame, journal_entry: DataFrame,
-                          account: DataFrame) -> DataFrame:
-    """Stages c, g and j in one pass over the journal lines.
-
-    All three read the same lines (submitted line and header, supplier party,
-    not system generated, payable account) and differ only in the row test,
-    so one aggregate with three conditional sums replaces three scans and
-    three joins. A sum is NULL exactly when no line passed its test.
-    """
+def supplier_journal_lines(journal_entry_account: DataFrame, journal_entry: DataFrame,
+                           account: DataFrame) -> DataFrame:
+    """Journal lines on payable accounts for suppliers (submitted line and
+    header, header not system generated): the base of stages c, g and j."""
     lines = journal_entry_account.where((F.col("docstatus") == C.SUBMITTED)
                                         & (F.col("party_type") == C.PARTY_SUPPLIER))
     headers = journal_entry.where((F.col("docstatus") == C.SUBMITTED)
                                   & (F.col("is_system_generated") == C.NOT_SYSTEM_GENERATED))
     lines = exists_in(lines, headers, "parent", "name")
     payable = account.where(F.col("account_type") == C.ACCOUNT_PAYABLE)
-    lines = exists_in(lines, payable, "account", "name")
-    ref_type, ref_name = F.col("reference_type"), F.col("reference_name")
-    credit, debit = F.col("credit"), F.col("debit")
-    return lines.groupBy("party").agg(
-        F.sum(F.when((credit > 0) & ref_type.isNull() & ref_name.isNull(), credit))
-         .alias("journal_credits"),
-        F.sum(F.when((debit > 0) & ref_type.isNull(), debit)).alias("unallocated_debits"),
-        F.sum(F.when((debit > 0) & ref_type.isNotNull()
-                     & (ref_type != C.DOCTYPE_PURCHASE_INVOICE), debit))
-         .alias("allocated_debits"))
-
+    return exists_in(lines, payable, "account", "name")
 
-def outstanding_by_supplier(invoice_buckets: DataFrame, journal_sums: DataFrame,
-                            supplier: DataFrame) -> DataFrame:
-    """Stages d and e: invoice buckets plus journal credits per supplier.
 
-    Journal credits count toward the total only; their buckets are 0.
-    """
-    credits = journal_sums.where(F.col("journal_credits").isNotNull())
-    credits = lookup(credits, supplier, "party", "name", ["supplier_name"])
+def _rows(supplier: Column, invoice_name: Column | None = None,
+          buckets: list[Column] | None = None, outstanding: Column | None = None,
+          paid: Column | None = None, owed: Column | None = None,
+          journal_credit: Column | None = None) -> list[Column]:
+    none = F.lit(None).cast(C.WIDE_MONEY)
     zero = F.lit(0).cast(C.WIDE_MONEY)
-    credit_rows = credits.select(F.col("party").alias("supplier_id"), "supplier_name",
-                                 *[zero.alias(n) for n in BUCKET_NAMES],
-                                 F.col("journal_credits").cast(C.WIDE_MONEY).alias("outstanding"))
-    rows = union_all([invoice_buckets.select("supplier_id", "supplier_name", *BUCKET_NAMES,
-                                             "outstanding"), credit_rows])
-    return rows.groupBy("supplier_id").agg(
-        F.max("supplier_name").alias("supplier_name"),
-        *[F.sum(F.col(f"`{n}`")).alias(n) for n in BUCKET_NAMES],
-        F.sum("outstanding").alias("Total_Outstanding"))
-
-
-def payments_by_supplier(payment_entry: DataFrame, payment_entry_reference: DataFrame,
-                         journal_sums: DataFrame) -> DataFrame:
-    """Stages f to l: every payment that reduces what suppliers are owed.
-
-    Unallocated payment entries (f), unallocated journal debits (g),
-    payments allocated to journals (i) and allocated journal debits (j) are
-    each reduced to one row per supplier, then summed together.
+    return [supplier.alias("supplier_id"),
+            (invoice_name if invoice_name is not None else F.lit(None).cast("string"))
+            .alias("invoice_name"),
+            *[(b.cast(C.WIDE_MONEY) if buckets else zero).alias(n)
+              for b, n in zip(buckets or BUCKET_NAMES, BUCKET_NAMES)],
+            (outstanding.cast(C.WIDE_MONEY) if outstanding is not None else none).alias("outstanding"),
+            (paid.cast(C.WIDE_MONEY) if paid is not None else none).alias("paid"),
+            (owed if owed is not None else F.lit(0)).alias("owed"),
+            (journal_credit if journal_credit is not None else F.lit(0)).alias("journal_credit")]
+
+
+def ageing_rows(t, as_of: DateLike) -> DataFrame:
+    """Stages a to l as one stream of per-supplier contributions.
+
+    Every source is read once and contributes rows of the same shape:
+    open invoices (bucket amounts, outstanding), journal lines (credits are
+    outstanding, debits are payments), unallocated payment entries and
+    payments allocated to journals (payments). Payment rows without a party
+    are dropped: in the source they are grouped under a NULL key that never
+    joins the outstanding side.
     """
-    pe = payment_entry.where((F.col("docstatus") == C.SUBMITTED)
-                             & (F.col("payment_type") == C.PAYMENT_PAY)
-                             & (F.col("party_type") == C.PARTY_SUPPLIER))
+    inv = open_purchase_invoices(t.purchase_invoice, as_of)
+    days, amt = F.col("days_after_due_date"), F.col("amount")
+    invoices = inv.select(*_rows(
+        F.col("supplier_id"), F.col("supplier_name"),
+        buckets=[F.when(in_bucket(days, lo, hi), amt).otherwise(F.lit(0))
+                 for _, lo, hi in C.AGEING_BUCKETS],
+        outstanding=amt, owed=F.lit(1)))
+
+    lines = supplier_journal_lines(t.journal_entry_account, t.journal_entry, t.account)
+    ref_type, ref_name = F.col("reference_type"), F.col("reference_name")
+    credit, debit, party = F.col("credit"), F.col("debit"), F.col("party")
+    is_credit = (credit > 0) & ref_type.isNull() & ref_name.isNull()                  # c
+    is_payment = (debit > 0) & (ref_type.isNull()                                     # g
+                                | (ref_type != C.DOCTYPE_PURCHASE_INVOICE))           # j
+    journals = (lines.where(is_credit | (is_payment & party.isNotNull()))
+                .select(*_rows(party,
+                               outstanding=F.when(is_credit, credit),
+                               paid=F.when(is_payment & party.isNotNull(), debit),
+                               owed=F.when(is_credit, 1).otherwise(0),
+                               journal_credit=F.when(is_credit, 1).otherwise(0))))
+
+    pe = t.payment_entry.where((F.col("docstatus") == C.SUBMITTED)
+                               & (F.col("payment_type") == C.PAYMENT_PAY)
+                               & (F.col("party_type") == C.PARTY_SUPPLIER)
+                               & F.col("party").isNotNull())
     unallocated = F.col("base_paid_amount") - F.col("base_total_allocated_amount")
-    f = (pe.where(unallocated > 0).groupBy("party")
-           .agg(F.sum(unallocated).alias("amount")))
+    payments = pe.where(unallocated > 0).select(*_rows(F.col("party"), paid=unallocated))  # f
 
-    # Allocations to journal entries: summed per payment entry before the
-    # join, so the reference lines never travel to the header side.
-    alloc = (payment_entry_reference
+    # Allocations to journal entries, summed per payment entry before they
+    # meet the payment header (i).
+    alloc = (t.payment_entry_reference
              .where(F.col("reference_doctype") == C.DOCTYPE_JOURNAL_ENTRY)
-             .groupBy("parent").agg(F.sum("allocated_amount").alias("amount")))
-    i = (lookup(alloc, pe, "parent", "name", ["party"], how="inner")
-         .groupBy("party").agg(F.sum("amount").alias("amount")))
+             .groupBy("parent").agg(F.sum("allocated_amount").alias("allocated")))
+    allocated = (lookup(alloc, pe, "parent", "name", ["party"], how="inner")
+                 .select(*_rows(F.col("party"), paid=F.col("allocated"))))
 
-    g = journal_sums.where(F.col("unallocated_debits").isNotNull()).select(
-        "party", F.col("unallocated_debits").alias("amount"))
-    j = journal_sums.where(F.col("allocated_debits").isNotNull()).select(
-        "party", F.col("allocated_debits").alias("amount"))
-
-    rows = union_all([x.select("party", F.col("amount").cast(C.WIDE_MONEY).alias("amount"))
-                      for x in (f, g, i, j)])
-    return rows.groupBy("party").agg(F.sum("amount").alias("total_debits"))
+    return union_all([invoices.select(*_AGEING_ROW), journals.select(*_AGEING_ROW),
+                      payments.select(*_AGEING_ROW), allocated.select(*_AGEING_ROW)])
 
 
 def ap_ageing(t, as_of: DateLike) -> DataFrame:
     """RPT-2: accounts-payable ageing per supplier, largest balance first.
 
     Output: supplier_id, supplier_name, 0-30, 31-60, 61-90, 91-120,
-    121-Above, Unallocated_Amount, Total_Outstanding, Balance. Suppliers
-    with payments but nothing outstanding do not appear.
+    121-Above, Unallocated_Amount, Total_Outstanding, Balance.
+
+    One aggregate by supplier over ``ageing_rows``: partial sums are built
+    where the rows are read, so the only full shuffle carries one row per
+    supplier and task. A supplier is reported when it has an open invoice or
+    a journal credit (``owed``); suppliers with payments only do not appear.
+    The supplier master name is looked up for suppliers with journal credits
+    and compared with the invoice name, as the source takes either.
     """
-    buckets = invoice_ageing(open_purchase_invoices(t.purchase_invoice, as_of))
-    journals = supplier_journal_sums(t.journal_entry_account, t.journal_entry, t.account)
-    outstanding = outstanding_by_supplier(buckets, journals, t.supplier)
-    payments = payments_by_supplier(t.payment_entry, t.payment_entry_reference, journals)
-    joined = outstanding.join(payments, F.col("supplier_id") == F.col("party"), "left")
+    per_supplier = (ageing_rows(t, as_of).groupBy("supplier_id").agg(
+        F.max("invoice_name").alias("invoice_name"),
+        *[F.sum(F.col(f"`{n}`")).alias(n) for n in BUCKET_NAMES],
+        F.sum("outstanding").alias("Total_Outstanding"),
+        F.sum("paid").alias("total_debits"),
+        F.max("owed").alias("owed"),
+        F.max("journal_credit").alias("journal_credit"))
+        .where(F.col("owed") == 1))
+    named = lookup(per_supplier, t.supplier, "supplier_id", "name", ["supplier_name"])
+    name = F.greatest(F.col("invoice_name"),
+                      F.when(F.col("journal_credit") == 1, F.col("supplier_name")))
     paid = F.coalesce(F.col("total_debits"), F.lit(0))
     balance = F.coalesce(F.col("Total_Outstanding"), F.lit(0)) - paid
-    out = joined.select(
-        "supplier_id", "supplier_name",
-        *[money(F.col(f"`{n}`")).alias(n) for n in BUCKET_NAMES],
+    out = named.select(
+        "supplier_id", name.alias("supplier_name"),
+        *[money(F.coalesce(F.col(f"`{n}`"), F.lit(0))).alias(n) for n in BUCKET_NAMES],
         money(paid).alias("Unallocated_Amount"),
         money("Total_Outstanding").alias("Total_Outstanding"),
         money(balance).alias("Balance"))
