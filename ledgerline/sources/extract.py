@@ -193,17 +193,37 @@ def extract_to_landing(spark: SparkSession, source: JdbcSource | ParquetSource,
     return path, write_parquet(df, path, compression=compression)
 
 
-def land_tables(tables, root: str, names: Sequence[str], parallel: int = 4) -> dict[str, int]:
+def land_tables(tables, root: str, names: Sequence[str], parallel: int = 4,
+                layout: Mapping[str, tuple[str, str]] | None = None,
+                partitions: int | None = None) -> dict[str, int]:
     """Land several derived tables (``tables.<name>``) under ``root/<name>``.
 
-    The writes are independent Spark jobs; submitting a few at a time from
-    driver threads lets the scheduler fill idle executor slots while a small
-    table's job is finishing.
+    ``layout`` maps a table to ``("range", date_col)`` or ``("hash", key)``:
+
+    * ``range``: range-partitioned and sorted on the date, so every file
+      covers a disjoint date range and a period filter skips whole files and
+      row groups through the Parquet min/max statistics;
+    * ``hash``: spread by a key (the header of a line table), so the lines
+      of one document stay in one file and scans have ``partitions`` tasks.
+
+    Tables not in ``layout`` (small dimensions) are written as they come.
+    The writes are independent Spark jobs, submitted a few at a time from
+    driver threads so small tables do not leave executor slots idle.
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    layout = layout or {}
+
     def land(n: str) -> tuple[str, int]:
-        return n, write_parquet(getattr(tables, n), f"{root.rstrip('/')}/{n}")
+        df = getattr(tables, n)
+        k = partitions or df.sparkSession.sparkContext.defaultParallelism
+        kind, col = layout.get(n, (None, None))
+        if kind == "range":
+            df = df.repartitionByRange(k, col)
+            return n, write_parquet(df, f"{root.rstrip('/')}/{n}", sort_within=[col])
+        if kind == "hash":
+            df = df.repartition(k, col)
+        return n, write_parquet(df, f"{root.rstrip('/')}/{n}")
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return dict(pool.map(land, names))

@@ -379,7 +379,25 @@ class ErpTables:
             F.col("credit").alias("credit_in_transaction_currency"))
 
 
-_LANDED: dict[tuple[str, str], str] = {}
+# Landing layout of the test bed: headers clustered by their date, lines
+# spread by their header.
+LAYOUT = {
+    "gl_entry": ("range", "posting_date"),
+    "sales_invoice": ("range", "posting_date"),
+    "purchase_invoice": ("range", "posting_date"),
+    "sales_order": ("range", "transaction_date"),
+    "journal_entry": ("range", "posting_date"),
+    "payment_entry": ("range", "posting_date"),
+    "sales_invoice_item": ("hash", "parent"),
+    "sales_order_item": ("hash", "parent"),
+    "purchase_invoice_item": ("hash", "parent"),
+    "journal_entry_account": ("hash", "parent"),
+    "payment_entry_reference": ("hash", "parent"),
+    "sales_team": ("hash", "parent"),
+    "delivery_note": ("hash", "name"),
+}
+
+_LANDED: dict[tuple[str, str], "LandedTables"] = {}
 
 
 def landed_testbed(spark: SparkSession, sf_dir: str) -> "LandedTables":
@@ -394,12 +412,12 @@ def landed_testbed(spark: SparkSession, sf_dir: str) -> "LandedTables":
     from .extract import land_tables
 
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    root = _LANDED.get(key)
-    if root is None:
+    landed = _LANDED.get(key)
+    if landed is None:
         root = scratch_path(spark, "erp-landing")
-        land_tables(ErpTables(spark, sf_dir), root, ERP_TABLES)
-        _LANDED[key] = root
-    return LandedTables(spark, root)
+        land_tables(ErpTables(spark, sf_dir), root, ERP_TABLES, layout=LAYOUT)
+        landed = _LANDED[key] = LandedTables(spark, root)
+    return landed
 
 
 class LandedTables:
