@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.columns import first_non_blank, load_ladder, load_rung, week_sunday
 from ledgerline.operators import quality
-from ledgerline.operators.aggregates import detail_with_summaries, latest_per_key
+from ledgerline.operators.aggregates import detail_and_total, latest_per_key
 from ledgerline.operators.calendar import calendar_of
 from ledgerline.operators.relational import exists_in, missing_from
 from ledgerline.plans import finance, models, purchase, sales
@@ -168,11 +168,11 @@ def _anti_counterparty(s: SparkSession, d: str) -> DataFrame:
 
 
 def _detail_with_total(s: SparkSession, d: str) -> DataFrame:
+    """Submitted sales per invoice status plus a grand-total row."""
     si = _t(s, d).sales_invoice.where(F.col("docstatus") == 1)
     detail = si.groupBy("status").agg(F.sum("base_grand_total").alias("total"))
-    total = detail.agg(F.lit("TOTAL").alias("status"), F.sum("total").cast("double").alias("total"))
-    return detail_with_summaries(
-        detail.select("status", F.col("total").cast("double").alias("total")), [total])
+    both = detail_and_total(detail, ["status"], ["total"], {"status": F.lit("TOTAL")})
+    return both.select("status", F.col("total").cast("double").alias("total"))
 
 
 def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,6 +48,30 @@ def running_sum(value: str | Column, order_by: str) -> Column:
     return F.sum(v).over(w)
 
 
+def detail_and_total(detail: DataFrame, keys: Sequence[str], values: Sequence[str],
+                     total_keys: Mapping[str, Column],
+                     total_values: Mapping[str, Callable[[Column], Column]] | None = None
+                     ) -> DataFrame:
+    """AGG-13: the rows of ``detail`` plus one grand-total row, from one aggregate.
+
+    ``GROUPING SETS ((keys), ())`` over the detail: the full set returns every
+    detail row (``keys`` are unique in ``detail``), the empty set is the total.
+    The detail is computed once; a UNION of the detail and an aggregate of it
+    would plan the detail twice, with differently pruned aggregates that
+    cannot share a shuffle. ``total_keys`` labels the key columns of the total
+    row; ``total_values`` post-processes a total (rounding, for instance).
+    """
+    total_values = total_values or {}
+    g = (detail.groupingSets([list(keys), []], *keys)
+               .agg(*[F.sum(v).alias(v) for v in values], F.grouping_id().alias("__gid")))
+    is_total = F.col("__gid") != 0
+    cols = [F.when(is_total, total_keys[k]).otherwise(F.col(k)).alias(k) if k in total_keys
+            else F.col(k) for k in keys]
+    vals = [F.when(is_total, total_values[v](F.col(v))).otherwise(F.col(v)).alias(v)
+            if v in total_values else F.col(v) for v in values]
+    return g.select(*cols, *vals)
+
+
 def detail_with_summaries(detail: DataFrame, summaries: Sequence[DataFrame]) -> DataFrame:
     """AGG-13: detail rows followed by summary rows (UNION ALL by position).
 

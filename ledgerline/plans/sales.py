@@ -14,7 +14,8 @@ from ..functions.columns import (DateLike, as_of_or_today, convert_currency, dai
                                  date_lit, days_in_month, first_non_blank, load_ladder,
                                  money, null_of, ratio, tax_inclusive_rate, tax_per_item,
                                  week_sunday)
-from ..operators.aggregates import detail_with_summaries, running_sum, with_grand_total
+from ..operators.aggregates import (detail_and_total, detail_with_summaries, running_sum,
+                                    with_grand_total)
 from ..operators.calendar import month_calendar
 from ..operators.relational import attach_one_row, exists_in, lookup
 
@@ -213,18 +214,21 @@ def delivery_targets(t, as_of: DateLike | None = None, taxed_template: str = "",
                         F.round(F.sum("quantity_in_tonnes"), 2).alias("total_quantity_tonnes"),
                         F.sum("product_amount").alias("total_amount")))
     blank = F.lit("")
-    detail_out = detail.select("customer_name", "item_code", "item_name", "sales_person",
-                               money("total_quantity_tonnes").alias("total_quantity_tonnes"),
-                               money("total_amount").alias("total_amount"))
-    potential = detail.agg(F.lit(C.LABEL_POTENTIAL), blank, blank, blank,
-                           money(F.round(F.sum("total_quantity_tonnes"), 2)),
-                           money(F.sum("total_amount")))
+    both = detail_and_total(
+        detail, ["customer_name", "item_code", "item_name", "sales_person"],
+        ["total_quantity_tonnes", "total_amount"],
+        {"customer_name": F.lit(C.LABEL_POTENTIAL), "item_code": blank, "item_name": blank,
+         "sales_person": blank},
+        {"total_quantity_tonnes": lambda c: F.round(c, 2)})
+    detail_out = both.select("customer_name", "item_code", "item_name", "sales_person",
+                             money("total_quantity_tonnes").alias("total_quantity_tonnes"),
+                             money("total_amount").alias("total_amount"))
     today = _sales_on(t, day)
     today_row = today.select(F.lit(C.LABEL_SALES_TODAY), blank, blank, blank,
                              null_of("double"), money("sales_today"))
     target_row = today.select(F.lit(C.LABEL_SALES_TARGET), blank, blank, blank,
                               null_of("double"), money(daily_target(monthly_target, target_days)))
-    return detail_with_summaries(detail_out, [potential, today_row, target_row])
+    return detail_with_summaries(detail_out, [today_row, target_row])
 
 
 BY_ORDER_COLUMNS = ["sales_order_id", "order_date", "delivery_date", "customer_name",
@@ -246,22 +250,24 @@ def delivery_targets_by_order(t, as_of: DateLike | None = None, taxed_template:
                         F.round(F.sum("quantity_in_tonnes"), 2).alias("total_quantity_tonnes"),
                         F.sum("product_amount").alias("total_amount")))
     blank, no_date, no_int = F.lit(""), null_of("date"), null_of("int")
-    detail_out = detail.select(
-        "sales_order_id", "order_date", "delivery_date", "customer_name", "item_code",
-        "item_name", "sales_person",
-        F.datediff(day, F.col("order_date")).alias("days_since_order_date"),
-        money("total_quantity_tonnes").alias("total_quantity_tonnes"),
-        money("total_amount").alias("total_amount"))
-    totals = detail.agg(F.lit(C.LABEL_TOTALS), no_date, no_date, blank, blank, blank, blank,
-                        no_int, money(F.round(F.sum("total_quantity_tonnes"), 2)),
-                        money(F.sum("total_amount")))
+    keys = ["sales_order_id", "order_date", "delivery_date", "customer_name", "item_code",
+            "item_name", "sales_person", "days_since_order_date"]
+    detail = detail.withColumn("days_since_order_date", F.datediff(day, F.col("order_date")))
+    both = detail_and_total(
+        detail, keys, ["total_quantity_tonnes", "total_amount"],
+        {"sales_order_id": F.lit(C.LABEL_TOTALS), "order_date": no_date, "delivery_date": no_date,
+         "customer_name": blank, "item_code": blank, "item_name": blank, "sales_person": blank,
+         "days_since_order_date": no_int},
+        {"total_quantity_tonnes": lambda c: F.round(c, 2)})
+    detail_out = both.select(*keys, money("total_quantity_tonnes").alias("total_quantity_tonnes"),
+                             money("total_amount").alias("total_amount"))
     today = _sales_on(t, day)
     today_row = today.select(F.lit(C.LABEL_SALES_TODAY), no_date, no_date, blank, blank,
                              blank, blank, no_int, null_of("double"), money("sales_today"))
     target_row = today.select(F.lit(C.LABEL_SALES_TARGET_TODAY), no_date, no_date, blank,
                               blank, blank, blank, no_int, null_of("double"),
                               money(daily_target(monthly_target, target_days)))
-    return detail_with_summaries(detail_out, [totals, today_row, target_row])
+    return detail_with_summaries(detail_out, [today_row, target_row])
 
 
 # ---------------------------------------------------------------------------

@@ -198,10 +198,12 @@ def test_delivery_targets_summary_rows(spark):
         company=[dict(name="MAIN")], customer=[dict(name="C1", customer_name="A")],
         sales_invoice=[dict(name="SI-1", customer="C1", company="MAIN", docstatus=1,
                             posting_date="2001-07-15", base_grand_total=123)])
-    rows = sales.delivery_targets(t, AS_OF, "VAT16", 3100).collect()
-    assert [r.customer_name for r in rows] == ["A", "Potential Deliveries", "Sales Today",
-                                               "Sales Target"]
-    assert rows[0].total_quantity_tonnes == 17.0 and rows[0].total_amount == 7888.0
-    assert rows[0].sales_person == "P1"
-    assert rows[2].total_amount == 123.0 and rows[2].total_quantity_tonnes is None
-    assert rows[3].total_amount == 100.0
+    rows = {r.customer_name: r for r in sales.delivery_targets(t, AS_OF, "VAT16", 3100).collect()}
+    assert set(rows) == {"A", "Potential Deliveries", "Sales Today", "Sales Target"}
+    assert rows["A"].total_quantity_tonnes == 17.0 and rows["A"].total_amount == 7888.0
+    assert rows["A"].sales_person == "P1"
+    assert rows["Potential Deliveries"].total_amount == 7888.0
+    assert rows["Potential Deliveries"].item_code == ""
+    assert rows["Sales Today"].total_amount == 123.0
+    assert rows["Sales Today"].total_quantity_tonnes is None
+    assert rows["Sales Target"].total_amount == 100.0
