@@ -22,6 +22,8 @@ from ledgerline.plans import finance, models, purchase, sales
 from ledgerline.session import scratch_path
 from ledgerline.sources.extract import ParquetSource, extract_to_landing
 from ledgerline.sources.testbed import ErpTables, landed_testbed
+from ledgerline.streaming.increments import (current_rows, pull_to_folder, stream_increments,
+                                             with_modified)
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 
@@ -175,6 +177,20 @@ def _detail_with_total(s: SparkSession, d: str) -> DataFrame:
     return both.select("status", F.col("total").cast("double").alias("total"))
 
 
+def _incremental_merge(s: SparkSession, d: str) -> DataFrame:
+    """Two overlapping high-water-mark pulls of ``orders`` streamed into an
+    append-only history; the latest version per key is read back."""
+    cols = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]
+    orders = with_modified(_raw(s, d, "orders").select(*cols), "o_orderdate")
+    pulls, history = scratch_path(s, "pulls"), scratch_path(s, "history")
+    day = F.col("o_orderdate").cast("date")
+    pull_to_folder(orders.where(day < F.lit(dt.date(1998, 1, 1))), pulls, "1998-01-01")
+    pull_to_folder(orders.where(day >= F.lit(dt.date(1997, 6, 1))), pulls, "2001-08-02")
+    query = stream_increments(s, pulls, orders.schema, history, ["o_orderkey"])
+    query.awaitTermination()
+    return current_rows(s, history, ["o_orderkey"]).select(*cols)
+
+
 def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "latest_per_key": _latest_per_key,
@@ -198,6 +214,7 @@ def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_ladder": _load_ladder,
         "anti_counterparty": _anti_counterparty,
         "detail_with_total": _detail_with_total,
+        "incremental_merge": _incremental_merge,
     }
 
 

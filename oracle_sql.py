@@ -722,6 +722,10 @@ UNION ALL
 SELECT 'TOTAL', CAST(SUM(total) AS DOUBLE) FROM detail
 """
 
+INCREMENTAL_MERGE = """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders
+"""
+
 _BODIES = {
     "supplier_total_owed": SUPPLIER_TOTAL_OWED,
     "supplier_balances": SUPPLIER_BALANCES,
@@ -760,6 +764,7 @@ _BODIES = {
     "load_ladder": LOAD_LADDER,
     "anti_counterparty": ANTI_COUNTERPARTY,
     "detail_with_total": DETAIL_WITH_TOTAL,
+    "incremental_merge": INCREMENTAL_MERGE,
 }
 
 
