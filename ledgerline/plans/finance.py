@@ -164,49 +164,75 @@ def payroll_party_accounts(supplier: DataFrame, party_account: DataFrame,
                       F.col("account").alias("party_account"), "parent_account")
 
 
+def counterparties(customer: DataFrame, supplier: DataFrame, payroll: DataFrame,
+                   payroll_parent: str) -> DataFrame:
+    """One row per counterparty name with what the cash-flow branches test.
+
+    is_customer / is_supplier: the name is a customer / supplier;
+    named_supplier: a supplier with a name (the other-drawings test);
+    n_salary / n_other: payroll party-account rows of the supplier whose
+    parent is / is not the payroll parent. The source joins these rows to
+    every payment (a payment repeats once per row, or appears once as a
+    supplier payment without rows); the counts reproduce that exactly.
+    """
+    zero, one = F.lit(0), F.lit(1)
+    salary = F.when(F.col("parent_account") == payroll_parent, 1).otherwise(0)
+    rows = union_all([
+        customer.select(F.col("name"), one.alias("is_customer"), zero.alias("is_supplier"),
+                        zero.alias("named_supplier"), zero.alias("n_salary"), zero.alias("n_other")),
+        supplier.select(F.col("name"), zero, one,
+                        F.when(F.col("supplier_name").isNotNull(), 1).otherwise(0), zero, zero),
+        payroll.select(F.col("supplier_id"), zero, zero, zero, salary, 1 - salary),
+    ])
+    return rows.groupBy("name").agg(
+        F.max("is_customer").alias("is_customer"), F.max("is_supplier").alias("is_supplier"),
+        F.max("named_supplier").alias("named_supplier"),
+        F.sum("n_salary").alias("n_salary"), F.sum("n_other").alias("n_other"))
+
+
 def _cash_flow_rows(t, start: DateLike, end: DateLike, excluded_accounts: Sequence[str],
                     excluded_counterparties: Sequence[str], payroll_parent: str) -> DataFrame:
-    """(Cash_Flow_Category, account_name, amount) with exact decimal amounts."""
-    gl, account, supplier = t.gl_entry, t.account, t.supplier
-    cash = _cash_accounts(account)
-
-    collections = (_customer_receipts(gl, account, t.customer, start, end, excluded_accounts)
-                   .groupBy("account")
-                   .agg(F.sum("debit").alias("amount"))
-                   .select(F.lit(C.LABEL_COLLECTIONS).alias("Cash_Flow_Category"),
-                           F.col("account").alias("account_name"), "amount"))
-
-    # Payments to suppliers, split salary / supplier. The payroll lookup may
-    # match a supplier several times (the source repeats the payment then);
-    # summing per counterparty first gives the same totals on far fewer rows.
-    paid = _supplier_payment_rows(gl, account, start, end, excluded_accounts)
-    paid = exists_in(paid, cash, "account", "name")
-    paid = exists_in(paid, supplier, "against", "name")
-    paid = paid.groupBy("against").agg(F.sum("credit").alias("credit"))
-    payroll = payroll_party_accounts(supplier, t.party_account, account)
-    paid = lookup(paid, payroll, "against", "supplier_id", ["parent_account"])
-    outflow = (paid.groupBy(category("parent_account", payroll_parent).alias("account_name"))
-                   .agg(F.sum("credit").alias("amount"))
-                   .select(F.lit(C.LABEL_OUTFLOW).alias("Cash_Flow_Category"),
-                           "account_name", "amount"))
-
-    # Other drawings: credits whose counterparty is no supplier, excluding
-    # internal transfers and the excluded counterparties.
-    drawn = _cash_ledger(gl, account, start, end, excluded_accounts)
-    drawn = drawn.where(~F.col("voucher_subtype").isin(*C.SUBTYPES_NOT_DRAWING)
-                        & (F.col("credit") > 0)
-                        & ~F.col("against").isin(*excluded_counterparties))
-    drawn = exists_in(drawn, cash, "account", "name")
-    drawn = missing_from(drawn, supplier, "against", "name", require="supplier_name")
-    drawings = (drawn.groupBy("against")
-                     .agg(F.sum("credit").alias("amount"))
-                     .select(F.lit(C.LABEL_DRAWINGS).alias("Cash_Flow_Category"),
-                             F.col("against").alias("account_name"), "amount"))
-
-    frames = [collections, outflow, drawings]
-    return union_all([f.select("Cash_Flow_Category", "account_name",
-                               F.col("amount").cast(C.WIDE_MONEY).alias("amount"))
-                      for f in frames])
+    """(Cash_Flow_Category, account_name, amount) with exact decimal amounts.
+
+    One pass over the period's cash-account ledger rows: each row meets the
+    counterparty table once and emits its contributions (collections by
+    account, supplier outflow by salary/supplier category, other drawings
+    by counterparty) into a single aggregate.
+    """
+    gl = _cash_ledger(t.gl_entry, t.account, start, end, excluded_accounts)
+    gl = exists_in(gl, _cash_accounts(t.account), "account", "name")
+    parties = counterparties(t.customer, t.supplier,
+                             payroll_party_accounts(t.supplier, t.party_account, t.account),
+                             payroll_parent)
+    rows = lookup(gl, parties, "against", "name",
+                  ["is_customer", "is_supplier", "named_supplier", "n_salary", "n_other"])
+
+    def flag(c: str) -> Column:
+        return F.coalesce(F.col(c), F.lit(0))
+
+    subtype, against = F.col("voucher_subtype"), F.col("against")
+    debit, credit = F.col("debit"), F.col("credit")
+    receipt = subtype.isin(*C.SUBTYPES_RECEIPT) & (debit > 0) & (flag("is_customer") == 1)
+    payment = subtype.isin(*C.SUBTYPES_PAYMENT) & (credit > 0) & (flag("is_supplier") == 1)
+    drawing = (~subtype.isin(*C.SUBTYPES_NOT_DRAWING) & (credit > 0)
+               & (flag("named_supplier") == 0) & against.isNotNull()
+               & ~against.isin(*excluded_counterparties))
+    n_salary = flag("n_salary")
+    n_supplier = flag("n_other") + F.when(flag("n_salary") + flag("n_other") == 0, 1).otherwise(0)
+
+    def entry(keep: Column, category: str, label: Column, amount: Column) -> Column:
+        return F.struct(keep.alias("keep"), F.lit(category).alias("Cash_Flow_Category"),
+                        label.alias("account_name"), amount.cast(C.WIDE_MONEY).alias("amount"))
+
+    entries = F.array(
+        entry(receipt, C.LABEL_COLLECTIONS, F.col("account"), debit),
+        entry(payment & (n_salary > 0), C.LABEL_OUTFLOW, F.lit(C.LABEL_SALARY), credit * n_salary),
+        entry(payment & (n_supplier > 0), C.LABEL_OUTFLOW, F.lit(C.LABEL_SUPPLIER_PAYMENT),
+              credit * n_supplier),
+        entry(drawing, C.LABEL_DRAWINGS, against, credit))
+    contributions = rows.select(F.inline(F.filter(entries, lambda e: e["keep"])))
+    return (contributions.groupBy("Cash_Flow_Category", "account_name")
+                         .agg(F.sum("amount").cast(C.WIDE_MONEY).alias("amount")))
 
 
 def cash_flow(t, start: DateLike, end: DateLike, excluded_accounts: Sequence[str] = (),

@@ -207,3 +207,30 @@ def test_delivery_targets_summary_rows(spark):
     assert rows["Sales Today"].total_amount == 123.0
     assert rows["Sales Today"].total_quantity_tonnes is None
     assert rows["Sales Target"].total_amount == 100.0
+
+
+def test_cash_flow_keeps_payroll_fan_out(spark):
+    acc = [dict(name="BANK", account_type="Bank"),
+           dict(name="PAY1", account_type="Payable", parent_account="2500 - Payroll X"),
+           dict(name="PAY2", account_type="Payable", parent_account="Other Payroll")]
+    gl = [dict(name=f"g{i}", posting_date="2001-06-10", account="BANK", against=a, debit=0,
+               credit=c, voucher_subtype="Pay", is_cancelled=0)
+          for i, (a, c) in enumerate([("S1", 100), ("S2", 10), ("S3", 1), ("X9", 7)])]
+    gl.append(dict(name="r", posting_date="2001-06-11", account="BANK", against="C1", debit=50,
+                   credit=0, voucher_subtype="Receive", is_cancelled=0))
+    t = tables(
+        spark, account=acc, gl_entry=gl,
+        customer=[dict(name="C1", customer_name="Cust")],
+        supplier=[dict(name=n, supplier_name=n) for n in ("S1", "S2", "S3")],
+        # S1: two exact payroll rows; S2: one exact, one other payroll; S3: none
+        party_account=[dict(parent="S1", account="PAY1"), dict(parent="S1", account="PAY1"),
+                       dict(parent="S2", account="PAY1"), dict(parent="S2", account="PAY2")])
+    rows = {(r.Cash_Flow_Category, r.account_name): r.amount
+            for r in finance.cash_flow(t, "2001-06-01", "2001-06-30",
+                                       payroll_parent="2500 - Payroll X").collect()}
+    assert rows == {
+        ("Cash From Collections", "BANK"): 50.0,
+        ("Cash Outflow", "Salary Payment"): 2 * 100.0 + 10.0,
+        ("Cash Outflow", "Supplier Payment"): 10.0 + 1.0,
+        ("Other drawings", "X9"): 7.0,
+    }
