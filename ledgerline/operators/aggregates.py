@@ -30,6 +30,25 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                       *[F.col(f"__last.{c}") for c in payload]))
 
 
+def grouped_with_text_max(df: DataFrame, keys: Sequence[str], text_max: Sequence[str],
+                          aggs: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """``groupBy(keys)`` with ``max()`` of string columns (SEM-1), hash-friendly.
+
+    Spark cannot hash-aggregate ``max`` of a string, so a plain aggregate
+    falls back to sorting every input row. Here the rows are first grouped
+    by ``keys`` plus the text columns (a hash aggregate: strings are fine as
+    keys) and the text ``max`` is taken over that small result. ``aggs``
+    maps an output name to ``("sum" | "max", column)``; both re-aggregate
+    exactly (a sum of sums, a max of maxes, NULL when all inputs are NULL).
+    """
+    first = df.groupBy(*keys, *text_max).agg(
+        *[(F.sum(c) if how == "sum" else F.max(c)).alias(name) for name, (how, c) in aggs.items()])
+    return first.groupBy(*keys).agg(
+        *[F.max(t).alias(t) for t in text_max],
+        *[(F.sum(name) if how == "sum" else F.max(name)).alias(name)
+          for name, (how, _c) in aggs.items()])
+
+
 def with_grand_total(df: DataFrame, value: str, total_name: str) -> DataFrame:
     """WIN-1: ``SUM(value) OVER ()`` on every row without a single-partition
     window: the total is a one-row aggregate broadcast back."""

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions.columns import (DateLike, category, convert_currency, date_lit,
                                  in_bucket, money)
-from ..operators.relational import exists_in, lookup, missing_from, union_all
+from ..operators.aggregates import grouped_with_text_max
+from ..operators.relational import exists_in, lookup, union_all
 
 
 def _between(c: str, start: DateLike, end: DateLike) -> Column:
@@ -74,9 +75,11 @@ def party_balance(gl_entry: DataFrame, party: str, by_currency: bool = False) ->
            - F.sum("credit_in_transaction_currency"))
     if by_currency:
         return gl.groupBy("party", "transaction_currency").agg(money(bal).alias("balance"))
-    return (gl.groupBy("party")
-              .agg(F.max("transaction_currency").alias("transaction_currency"),
-                   money(bal).alias("balance")))
+    sums = {"debits": ("sum", F.col("debit_in_transaction_currency")),
+            "credits": ("sum", F.col("credit_in_transaction_currency"))}
+    out = grouped_with_text_max(gl, ["party"], ["transaction_currency"], sums)
+    return out.select("party", "transaction_currency",
+                      money(F.col("debits") - F.col("credits")).alias("balance"))
 
 
 # ---------------------------------------------------------------------------
@@ -422,14 +425,14 @@ def ap_ageing(t, as_of: DateLike) -> DataFrame:
     The supplier master name is looked up for suppliers with journal credits
     and compared with the invoice name, as the source takes either.
     """
-    per_supplier = (ageing_rows(t, as_of).groupBy("supplier_id").agg(
-        F.max("invoice_name").alias("invoice_name"),
-        *[F.sum(F.col(f"`{n}`")).alias(n) for n in BUCKET_NAMES],
-        F.sum("outstanding").alias("Total_Outstanding"),
-        F.sum("paid").alias("total_debits"),
-        F.max("owed").alias("owed"),
-        F.max("journal_credit").alias("journal_credit"))
-        .where(F.col("owed") == 1))
+    sums = {n: ("sum", F.col(f"`{n}`")) for n in BUCKET_NAMES}
+    sums.update({"Total_Outstanding": ("sum", F.col("outstanding")),
+                 "total_debits": ("sum", F.col("paid")),
+                 "owed": ("max", F.col("owed")),
+                 "journal_credit": ("max", F.col("journal_credit"))})
+    per_supplier = (grouped_with_text_max(ageing_rows(t, as_of), ["supplier_id"],
+                                          ["invoice_name"], sums)
+                    .where(F.col("owed") == 1))
     named = lookup(per_supplier, t.supplier, "supplier_id", "name", ["supplier_name"])
     name = F.greatest(F.col("invoice_name"),
                       F.when(F.col("journal_credit") == 1, F.col("supplier_name")))

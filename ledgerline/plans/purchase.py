@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.columns import money
+from ..operators.aggregates import grouped_with_text_max
 from ..operators.relational import exists_in
 
 
@@ -29,11 +30,11 @@ def purchased_lines(t, where: Column | None = None,
 def raw_material_purchases(t, where: Column | None = None,
                            item_group: str = C.RAW_MATERIALS_GROUP) -> DataFrame:
     """RPT-16: highest rate and total quantity per item (uom: the largest)."""
-    return (purchased_lines(t, where, item_group)
-            .groupBy("item_code", "item_name")
-            .agg(F.max("uom").alias("uom"),
-                 money(F.max("rate")).alias("rate"),
-                 money(F.sum("qty")).alias("total_quantity_purchased")))
+    out = grouped_with_text_max(purchased_lines(t, where, item_group), ["item_code", "item_name"],
+                                ["uom"], {"rate": ("max", F.col("rate")),
+                                          "qty": ("sum", F.col("qty"))})
+    return out.select("item_code", "item_name", "uom", money("rate").alias("rate"),
+                      money("qty").alias("total_quantity_purchased"))
 
 
 def purchased_items(t, where: Column | None = None,

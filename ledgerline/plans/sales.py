@@ -14,8 +14,8 @@ from ..functions.columns import (DateLike, as_of_or_today, convert_currency, dai
                                  date_lit, days_in_month, first_non_blank, load_ladder,
                                  money, null_of, ratio, tax_inclusive_rate, tax_per_item,
                                  week_sunday)
-from ..operators.aggregates import (detail_and_total, detail_with_summaries, running_sum,
-                                    with_grand_total)
+from ..operators.aggregates import (detail_and_total, detail_with_summaries,
+                                    grouped_with_text_max, running_sum, with_grand_total)
 from ..operators.calendar import month_calendar
 from ..operators.relational import attach_one_row, exists_in, lookup
 
@@ -209,10 +209,11 @@ def delivery_targets(t, as_of: DateLike | None = None, taxed_template: str = "",
     the potential total, today's sales and the daily sales target."""
     day = as_of_or_today(as_of)
     lines = open_order_lines(t, as_of, days, taxed_template)
-    detail = (lines.groupBy("customer_name", "item_code", "item_name")
-                   .agg(F.max("sales_person").alias("sales_person"),
-                        F.round(F.sum("quantity_in_tonnes"), 2).alias("total_quantity_tonnes"),
-                        F.sum("product_amount").alias("total_amount")))
+    detail = (grouped_with_text_max(
+                  lines, ["customer_name", "item_code", "item_name"], ["sales_person"],
+                  {"total_quantity_tonnes": ("sum", F.col("quantity_in_tonnes")),
+                   "total_amount": ("sum", F.col("product_amount"))})
+              .withColumn("total_quantity_tonnes", F.round("total_quantity_tonnes", 2)))
     blank = F.lit("")
     both = detail_and_total(
         detail, ["customer_name", "item_code", "item_name", "sales_person"],
@@ -243,12 +244,14 @@ def delivery_targets_by_order(t, as_of: DateLike | None = None, taxed_template:
     """RPT-15: as RPT-12 but per sales order, with the order's age in days."""
     day = as_of_or_today(as_of)
     lines = open_order_lines(t, as_of, days, taxed_template)
-    detail = (lines.groupBy("sales_order_id", "customer_name", "item_code", "item_name")
-                   .agg(F.max("order_date").alias("order_date"),
-                        F.max("delivery_date").alias("delivery_date"),
-                        F.max("sales_person").alias("sales_person"),
-                        F.round(F.sum("quantity_in_tonnes"), 2).alias("total_quantity_tonnes"),
-                        F.sum("product_amount").alias("total_amount")))
+    detail = (grouped_with_text_max(
+                  lines, ["sales_order_id", "customer_name", "item_code", "item_name"],
+                  ["sales_person"],
+                  {"order_date": ("max", F.col("order_date")),
+                   "delivery_date": ("max", F.col("delivery_date")),
+                   "total_quantity_tonnes": ("sum", F.col("quantity_in_tonnes")),
+                   "total_amount": ("sum", F.col("product_amount"))})
+              .withColumn("total_quantity_tonnes", F.round("total_quantity_tonnes", 2)))
     blank, no_date, no_int = F.lit(""), null_of("date"), null_of("int")
     keys = ["sales_order_id", "order_date", "delivery_date", "customer_name", "item_code",
             "item_name", "sales_person", "days_since_order_date"]
