@@ -151,7 +151,11 @@ def item_sales_report(t, start: DateLike | None = None, end: DateLike | None = N
                 "tax_per_item",
                 rate.alias("rate_after_tax"),
                 (rate * F.col("qty").cast("double")).alias("amount_after_tax"))
-            .orderBy("sales_invoice_id"))
+            # Ties under the invoice id are in no particular order in the
+            # source; the extra keys let the range partitioner split an
+            # invoice with very many lines instead of sorting it in one task.
+            .orderBy("sales_invoice_id", "item_code", "delivery_note_id", "sales_person_name",
+                     "Quantity_in_UOM", "rate_before_tax"))
 
 
 # ---------------------------------------------------------------------------

@@ -27,6 +27,12 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # A join partition more than 5x the median and above 512 MB is split
+    # (a party or document holding a large share of the rows), even when the
+    # split needs an extra shuffle.
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
