@@ -194,7 +194,8 @@ def counterparties(customer: DataFrame, supplier: DataFrame, payroll: DataFrame,
 
 
 def _cash_flow_rows(t, start: DateLike, end: DateLike, excluded_accounts: Sequence[str],
-                    excluded_counterparties: Sequence[str], payroll_parent: str) -> DataFrame:
+                    excluded_counterparties: Sequence[str], payroll_parent: str,
+                    dedupe_payroll: bool = False) -> DataFrame:
     """(Cash_Flow_Category, account_name, amount) with exact decimal amounts.
 
     One pass over the period's cash-account ledger rows: each row meets the
@@ -222,6 +223,10 @@ def _cash_flow_rows(t, start: DateLike, end: DateLike, excluded_accounts: Sequen
                & ~against.isin(*excluded_counterparties))
     n_salary = flag("n_salary")
     n_supplier = flag("n_other") + F.when(flag("n_salary") + flag("n_other") == 0, 1).otherwise(0)
+    if dedupe_payroll:
+        # each payment once: a salary payment when any payroll row matches
+        n_salary = F.when(n_salary > 0, 1).otherwise(0)
+        n_supplier = 1 - n_salary
 
     def entry(keep: Column, category: str, label: Column, amount: Column) -> Column:
         return F.struct(keep.alias("keep"), F.lit(category).alias("Cash_Flow_Category"),
@@ -240,19 +245,23 @@ def _cash_flow_rows(t, start: DateLike, end: DateLike, excluded_accounts: Sequen
 
 def cash_flow(t, start: DateLike, end: DateLike, excluded_accounts: Sequence[str] = (),
               excluded_counterparties: Sequence[str] = (),
-              payroll_parent: str = "") -> DataFrame:
-    """RPT-6: collections, supplier outflow and other drawings in one table."""
+              payroll_parent: str = "", dedupe_payroll: bool = False) -> DataFrame:
+    """RPT-6: collections, supplier outflow and other drawings in one table.
+
+    A supplier with several payroll party accounts repeats its payments, as
+    in the source; ``dedupe_payroll=True`` counts each payment once.
+    """
     rows = _cash_flow_rows(t, start, end, excluded_accounts, excluded_counterparties,
-                           payroll_parent)
+                           payroll_parent, dedupe_payroll)
     return rows.select("Cash_Flow_Category", "account_name", money("amount").alias("amount"))
 
 
 def cash_flow_totals(t, start: DateLike, end: DateLike, excluded_accounts: Sequence[str] = (),
                      excluded_counterparties: Sequence[str] = (),
-                     payroll_parent: str = "") -> DataFrame:
+                     payroll_parent: str = "", dedupe_payroll: bool = False) -> DataFrame:
     """RPT-6b: the three category totals in one row."""
     rows = _cash_flow_rows(t, start, end, excluded_accounts, excluded_counterparties,
-                           payroll_parent)
+                           payroll_parent, dedupe_payroll)
     cat = F.col("Cash_Flow_Category")
 
     def total(label: str) -> Column:

@@ -165,12 +165,14 @@ def item_sales_report(t, start: DateLike | None = None, end: DateLike | None = N
 def open_order_lines(t, as_of: DateLike | None, days: int, taxed_template: str,
                      tax_factor: Decimal = C.TAX_FACTOR,
                      max_delivered: int = C.MAX_PERCENT_DELIVERED,
-                     transport_item: str = C.TRANSPORT_ITEM) -> DataFrame:
+                     transport_item: str = C.TRANSPORT_ITEM,
+                     dedupe_team: bool = False) -> DataFrame:
     """Open order lines of recent orders with their truck-load quantity.
 
     Columns: sales_order_id, order_date, delivery_date, customer_name,
     sales_person, item_code, item_name, quantity_in_tonnes, product_amount
-    (exact decimals). Orders with several sales-team rows repeat their lines.
+    (exact decimals). Orders with several sales-team rows repeat their lines,
+    as in the source; ``dedupe_team=True`` keeps one row per sales person.
     """
     day = as_of_or_today(as_of)
     so = t.sales_order.where((F.col("docstatus") == C.SUBMITTED)
@@ -186,6 +188,8 @@ def open_order_lines(t, as_of: DateLike | None, days: int, taxed_template: str,
 
     team = t.sales_team.select(F.col("parent").alias("__st"), "sales_person")
     team = exists_in(team, so, "__st", "sales_order_id")
+    if dedupe_team:
+        team = team.distinct()
     lines = lines.join(team, F.col("sales_order_id") == F.col("__st"), "left")
 
     rate = tax_inclusive_rate("rate", "item_tax_template", taxed_template, tax_factor)
@@ -208,11 +212,12 @@ def _sales_on(t, day: Column) -> DataFrame:
 
 def delivery_targets(t, as_of: DateLike | None = None, taxed_template: str = "",
                      monthly_target: int = 0, days: int = C.DELIVERY_WINDOW_DAYS,
-                     target_days: int = C.TARGET_DAYS_FIXED) -> DataFrame:
+                     target_days: int = C.TARGET_DAYS_FIXED,
+                     dedupe_team: bool = False) -> DataFrame:
     """RPT-12: quantities to deliver per customer and item, plus three rows:
     the potential total, today's sales and the daily sales target."""
     day = as_of_or_today(as_of)
-    lines = open_order_lines(t, as_of, days, taxed_template)
+    lines = open_order_lines(t, as_of, days, taxed_template, dedupe_team=dedupe_team)
     detail = (grouped_with_text_max(
                   lines, ["customer_name", "item_code", "item_name"], ["sales_person"],
                   {"total_quantity_tonnes": ("sum", F.col("quantity_in_tonnes")),
@@ -244,10 +249,11 @@ BY_ORDER_COLUMNS = ["sales_order_id", "order_date", "delivery_date", "customer_n
 def delivery_targets_by_order(t, as_of: DateLike | None = None, taxed_template: str = "",
                               monthly_target: int = 0,
                               days: int = C.DELIVERY_WINDOW_DAYS_BY_ORDER,
-                              target_days: int = C.TARGET_DAYS_FIXED) -> DataFrame:
+                              target_days: int = C.TARGET_DAYS_FIXED,
+                              dedupe_team: bool = False) -> DataFrame:
     """RPT-15: as RPT-12 but per sales order, with the order's age in days."""
     day = as_of_or_today(as_of)
-    lines = open_order_lines(t, as_of, days, taxed_template)
+    lines = open_order_lines(t, as_of, days, taxed_template, dedupe_team=dedupe_team)
     detail = (grouped_with_text_max(
                   lines, ["sales_order_id", "customer_name", "item_code", "item_name"],
                   ["sales_person"],

@@ -13,6 +13,7 @@ from a landing folder written by ``sources.extract.land_tables``.
 from __future__ import annotations
 
 import os
+import threading
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -407,6 +408,7 @@ LAYOUT = {
 }
 
 _LANDED: dict[tuple[str, str], "LandedTables"] = {}
+_LANDING_LOCK = threading.Lock()
 
 
 def landed_testbed(spark: SparkSession, sf_dir: str) -> "LandedTables":
@@ -421,11 +423,12 @@ def landed_testbed(spark: SparkSession, sf_dir: str) -> "LandedTables":
     from .extract import land_tables
 
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    landed = _LANDED.get(key)
-    if landed is None:
-        root = scratch_path(spark, "erp-landing")
-        land_tables(ErpTables(spark, sf_dir), root, ERP_TABLES, layout=LAYOUT)
-        landed = _LANDED[key] = LandedTables(spark, root)
+    with _LANDING_LOCK:
+        landed = _LANDED.get(key)
+        if landed is None:
+            root = scratch_path(spark, "erp-landing")
+            land_tables(ErpTables(spark, sf_dir), root, ERP_TABLES, layout=LAYOUT)
+            landed = _LANDED[key] = LandedTables(spark, root)
     return landed
 
 

@@ -234,3 +234,17 @@ def test_cash_flow_keeps_payroll_fan_out(spark):
         ("Cash Outflow", "Supplier Payment"): 10.0 + 1.0,
         ("Other drawings", "X9"): 7.0,
     }
+
+
+def test_cash_flow_dedupe_payroll_counts_each_payment_once(spark):
+    acc = [dict(name="BANK", account_type="Bank"),
+           dict(name="PAY1", account_type="Payable", parent_account="2500 - Payroll X")]
+    t = tables(
+        spark, account=acc,
+        gl_entry=[dict(name="g", posting_date="2001-06-10", account="BANK", against="S1",
+                       debit=0, credit=100, voucher_subtype="Pay", is_cancelled=0)],
+        supplier=[dict(name="S1", supplier_name="S1")],
+        party_account=[dict(parent="S1", account="PAY1"), dict(parent="S1", account="PAY1")])
+    args = dict(start="2001-06-01", end="2001-06-30", payroll_parent="2500 - Payroll X")
+    assert finance.cash_flow(t, **args).first().amount == 200.0
+    assert finance.cash_flow(t, dedupe_payroll=True, **args).first().amount == 100.0
