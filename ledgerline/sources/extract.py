@@ -158,7 +158,7 @@ def landing_path(output_dir: str, table: str, ds: str | None = None) -> str:
 
 def write_parquet(df: DataFrame, path: str, compression: str = "snappy",
                   mode: str = "overwrite", partition_by: Sequence[str] = (),
-                  sort_within: Sequence[str] = ()) -> int:
+                  sort_within: Sequence[str] = (), max_rows_per_file: int | None = None) -> int:
     """SNK-1 / SNK-3: write a Parquet dataset and return its row count.
 
     The count is an ``Observation`` collected by the write itself (no second
@@ -170,6 +170,8 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy",
     if sort_within:
         observed = observed.sortWithinPartitions(*sort_within)
     writer = observed.write.mode(mode).option("compression", compression)
+    if max_rows_per_file:
+        writer = writer.option("maxRecordsPerFile", str(max_rows_per_file))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -181,6 +183,15 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy",
     return rows
 
 
+def extract_query_to_landing(spark: SparkSession, source: JdbcSource | None, query: str,
+                             output_path: str, params: Mapping[str, object] | None = None,
+                             compression: str = "snappy") -> tuple[str, int]:
+    """SRC-5 + SNK-1/3: land the result of an arbitrary query; returns
+    (path, rows written). An empty result still leaves a readable dataset."""
+    df = read_query(spark, source, query, params)
+    return output_path, write_parquet(df, output_path, compression=compression)
+
+
 def extract_to_landing(spark: SparkSession, source: JdbcSource | ParquetSource, table: str,
                        output_dir: str, ds: str | None = None,
                        columns: Sequence[str] | None = None,
@@ -195,7 +206,8 @@ def extract_to_landing(spark: SparkSession, source: JdbcSource | ParquetSource,
 
 def land_tables(tables, root: str, names: Sequence[str], parallel: int = 4,
                 layout: Mapping[str, tuple[str, str]] | None = None,
-                partitions: int | None = None) -> dict[str, int]:
+                partitions: int | None = None,
+                max_rows_per_file: int = 20_000_000) -> dict[str, int]:
     """Land several derived tables (``tables.<name>``) under ``root/<name>``.
 
     ``layout`` maps a table to ``("range", date_col)`` or ``("hash", key)``:
@@ -207,6 +219,10 @@ def land_tables(tables, root: str, names: Sequence[str], parallel: int = 4,
       of one document stay in one file and scans have ``partitions`` tasks.
 
     Tables not in ``layout`` (small dimensions) are written as they come.
+    ``partitions`` defaults to the smaller of ``spark.sql.shuffle.partitions``
+    and the cluster's task slots; a full load of a very large table should
+    pass about input size / 256 MB. Files are capped at ``max_rows_per_file``
+    rows.
     The writes are independent Spark jobs, submitted a few at a time from
     driver threads so small tables do not leave executor slots idle.
     """
@@ -216,14 +232,17 @@ def land_tables(tables, root: str, names: Sequence[str], parallel: int = 4,
 
     def land(n: str) -> tuple[str, int]:
         df = getattr(tables, n)
-        k = partitions or df.sparkSession.sparkContext.defaultParallelism
+        spark = df.sparkSession
+        k = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              spark.sparkContext.defaultParallelism)
         kind, col = layout.get(n, (None, None))
+        path = f"{root.rstrip('/')}/{n}"
         if kind == "range":
             df = df.repartitionByRange(k, col)
-            return n, write_parquet(df, f"{root.rstrip('/')}/{n}", sort_within=[col])
+            return n, write_parquet(df, path, sort_within=[col], max_rows_per_file=max_rows_per_file)
         if kind == "hash":
             df = df.repartition(k, col)
-        return n, write_parquet(df, f"{root.rstrip('/')}/{n}")
+        return n, write_parquet(df, path, max_rows_per_file=max_rows_per_file)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return dict(pool.map(land, names))

@@ -84,3 +84,11 @@ def test_read_query_binds_parameters(spark):
     df = X.read_query(spark, None, "SELECT n_name FROM nation_v WHERE n_nationkey = :k",
                       {"k": 3})
     assert df.count() == 1
+
+
+def test_query_extract_lands_bound_result(spark, tmp_dir):
+    spark.read.parquet(f"{SF_SMALL}/region.parquet").createOrReplaceTempView("region_v")
+    path, rows = X.extract_query_to_landing(
+        spark, None, "SELECT r_name FROM region_v WHERE r_regionkey >= :k", f"{tmp_dir}/q",
+        {"k": 3})
+    assert rows == 2 and spark.read.parquet(path).count() == 2
