@@ -210,6 +210,13 @@ def _sales_on(t, day: Column) -> DataFrame:
     return si.agg(F.sum("base_grand_total").alias("sales_today"))
 
 
+def _summary_rows(t, day: Column, names: list[str], rows: list[list[Column]]) -> DataFrame:
+    """Today's-sales and target rows, both from one aggregate of today's sales."""
+    today = _sales_on(t, day)
+    structs = [F.struct(*[c.alias(n) for c, n in zip(r, names)]) for r in rows]
+    return today.select(F.inline(F.array(*structs)))
+
+
 def delivery_targets(t, as_of: DateLike | None = None, taxed_template: str = "",
                      monthly_target: int = 0, days: int = C.DELIVERY_WINDOW_DAYS,
                      target_days: int = C.TARGET_DAYS_FIXED,
@@ -233,12 +240,14 @@ def delivery_targets(t, as_of: DateLike | None = None, taxed_template: str = "",
     detail_out = both.select("customer_name", "item_code", "item_name", "sales_person",
                              money("total_quantity_tonnes").alias("total_quantity_tonnes"),
                              money("total_amount").alias("total_amount"))
-    today = _sales_on(t, day)
-    today_row = today.select(F.lit(C.LABEL_SALES_TODAY), blank, blank, blank,
-                             null_of("double"), money("sales_today"))
-    target_row = today.select(F.lit(C.LABEL_SALES_TARGET), blank, blank, blank,
-                              null_of("double"), money(daily_target(monthly_target, target_days)))
-    return detail_with_summaries(detail_out, [today_row, target_row])
+    names = ["customer_name", "item_code", "item_name", "sales_person",
+             "total_quantity_tonnes", "total_amount"]
+    rows = _summary_rows(t, day, names, [
+        [F.lit(C.LABEL_SALES_TODAY), blank, blank, blank, null_of("double"),
+         money("sales_today")],
+        [F.lit(C.LABEL_SALES_TARGET), blank, blank, blank, null_of("double"),
+         money(daily_target(monthly_target, target_days))]])
+    return detail_with_summaries(detail_out, [rows])
 
 
 BY_ORDER_COLUMNS = ["sales_order_id", "order_date", "delivery_date", "customer_name",
@@ -274,13 +283,12 @@ def delivery_targets_by_order(t, as_of: DateLike | None = None, taxed_template:
         {"total_quantity_tonnes": lambda c: F.round(c, 2)})
     detail_out = both.select(*keys, money("total_quantity_tonnes").alias("total_quantity_tonnes"),
                              money("total_amount").alias("total_amount"))
-    today = _sales_on(t, day)
-    today_row = today.select(F.lit(C.LABEL_SALES_TODAY), no_date, no_date, blank, blank,
-                             blank, blank, no_int, null_of("double"), money("sales_today"))
-    target_row = today.select(F.lit(C.LABEL_SALES_TARGET_TODAY), no_date, no_date, blank,
-                              blank, blank, blank, no_int, null_of("double"),
-                              money(daily_target(monthly_target, target_days)))
-    return detail_with_summaries(detail_out, [today_row, target_row])
+    rows = _summary_rows(t, day, [*keys, "total_quantity_tonnes", "total_amount"], [
+        [F.lit(C.LABEL_SALES_TODAY), no_date, no_date, blank, blank, blank, blank, no_int,
+         null_of("double"), money("sales_today")],
+        [F.lit(C.LABEL_SALES_TARGET_TODAY), no_date, no_date, blank, blank, blank, blank,
+         no_int, null_of("double"), money(daily_target(monthly_target, target_days))]])
+    return detail_with_summaries(detail_out, [rows])
 
 
 # ---------------------------------------------------------------------------
