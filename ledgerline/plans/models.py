@@ -49,11 +49,14 @@ def sales_invoice_load(sales_invoice: DataFrame, target_path: str,
 
     The source copies the table into a temporary table, updates every row
     and inserts the copy into the target (SNK-5/6/7). As a DataFrame the
-    copy is the plan itself: one projection, one append.
+    copy is the plan itself: one projection, one write. The target is
+    partitioned by ``last_updated`` and each load replaces only its own
+    day's partition, so earlier loads stay (append) while a re-run of the
+    same day, or a job retried after a failure, does not duplicate rows.
     """
     loaded = sales_invoice.withColumns({
         "last_updated": as_of_or_today(as_of),
         "customer_name": F.upper(F.col("customer_name")),
     })
-    write_parquet(loaded, target_path, mode="append")
+    write_parquet(loaded, target_path, partition_by=["last_updated"], replace_partitions=True)
     return sales_invoice.sparkSession.read.parquet(target_path)

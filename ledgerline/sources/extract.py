@@ -158,12 +158,14 @@ def landing_path(output_dir: str, table: str, ds: str | None = None) -> str:
 
 def write_parquet(df: DataFrame, path: str, compression: str = "snappy",
                   mode: str = "overwrite", partition_by: Sequence[str] = (),
-                  sort_within: Sequence[str] = (), max_rows_per_file: int | None = None) -> int:
+                  sort_within: Sequence[str] = (), max_rows_per_file: int | None = None,
+                  replace_partitions: bool = False) -> int:
     """SNK-1 / SNK-3: write a Parquet dataset and return its row count.
 
     The count is an ``Observation`` collected by the write itself (no second
     pass). An empty result still writes a schema-bearing dataset and logs a
-    warning.
+    warning. ``replace_partitions`` overwrites only the partitions present in
+    ``df`` (dynamic partition overwrite), so re-running a load is idempotent.
     """
     obs = Observation("rows_written")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -172,6 +174,8 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy",
     writer = observed.write.mode(mode).option("compression", compression)
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_rows_per_file))
+    if replace_partitions:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

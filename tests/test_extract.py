@@ -92,3 +92,16 @@ def test_query_extract_lands_bound_result(spark, tmp_dir):
         spark, None, "SELECT r_name FROM region_v WHERE r_regionkey >= :k", f"{tmp_dir}/q",
         {"k": 3})
     assert rows == 2 and spark.read.parquet(path).count() == 2
+
+
+def test_invoice_load_appends_days_and_reruns_idempotently(spark, tmp_dir):
+    from ledgerline.plans.models import sales_invoice_load
+    si = spark.createDataFrame([("SI-1", "acme"), ("SI-2", "beta")],
+                               "name string, customer_name string")
+    target = f"{tmp_dir}/target"
+    sales_invoice_load(si, target, "2026-07-01")
+    sales_invoice_load(si, target, "2026-07-02")
+    out = sales_invoice_load(si, target, "2026-07-02")      # re-run of the same day
+    assert out.count() == 4
+    assert {r.customer_name for r in out.collect()} == {"ACME", "BETA"}
+    assert sorted({str(r.last_updated) for r in out.collect()}) == ["2026-07-01", "2026-07-02"]
