@@ -7,7 +7,6 @@ from typing import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .relational import attach_one_row
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -50,10 +49,13 @@ def grouped_with_text_max(df: DataFrame, keys: Sequence[str], text_max: Sequence
 
 
 def with_grand_total(df: DataFrame, value: str, total_name: str) -> DataFrame:
-    """WIN-1: ``SUM(value) OVER ()`` on every row without a single-partition
-    window: the total is a one-row aggregate broadcast back."""
-    total = df.agg(F.sum(value).alias(total_name))
-    return attach_one_row(df, total)
+    """WIN-1: ``SUM(value) OVER ()`` on every row, without a window.
+
+    The total is a scalar subquery: a global aggregate (partial sums per
+    task, one final row) computed once and placed on every row as a value.
+    No single-partition window, no join.
+    """
+    return df.withColumn(total_name, df.select(F.sum(value)).scalar())
 
 
 def running_sum(value: str | Column, order_by: str) -> Column:

@@ -6,8 +6,8 @@ that recur and carry the scale reasoning once:
 * dimensions are joined by key and left to AQE, which broadcasts a side only
   when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``
   and sort-merge joins it otherwise (with skewed partitions split);
-* the only explicit broadcast is of a global aggregate, which has exactly
-  one row by construction;
+* there is no explicit broadcast and no cross join: a value derived from a
+  global aggregate (a grand total) is a scalar subquery;
 * aggregation happens before a join wherever the join key is the group key,
   so the shuffle carries partial sums instead of raw rows and a hot key is
   combined map-side instead of landing whole in one task.
@@ -21,16 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """JOIN-8 / WIN-1: put the columns of a one-row frame on every row.
-
-    ``one_row`` must be a global aggregate (``agg`` without keys), so its
-    size is one row whatever the input size: broadcasting it is safe and the
-    big side is never moved.
-    """
-    return df.crossJoin(F.broadcast(one_row))
-
-
 def exists_in(df: DataFrame, dim: DataFrame, left_key: str | Column,
               right_key: str) -> DataFrame:
     """JOIN-10: keep rows whose key exists in ``dim`` (no fan-out)."""

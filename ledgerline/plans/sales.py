@@ -17,7 +17,7 @@ from ..functions.columns import (DateLike, as_of_or_today, convert_currency, dai
 from ..operators.aggregates import (detail_and_total, detail_with_summaries,
                                     grouped_with_text_max, running_sum, with_grand_total)
 from ..operators.calendar import month_calendar
-from ..operators.relational import attach_one_row, exists_in, lookup
+from ..operators.relational import exists_in, lookup
 
 
 def _submitted(sales_invoice: DataFrame, where: Column | None = None) -> DataFrame:
@@ -347,14 +347,14 @@ def calendar_target_tracker(sales_invoice: DataFrame, as_of: DateLike | None = N
         running_sum("sales_today", "posting_date").alias("cumulative_sales"),
         running_sum(target, "posting_date").alias("sales_target_cumulative"))
     deficit = F.col("sales_target_cumulative") - F.col("cumulative_sales")
-    today = tracked.where(F.col("posting_date") == day).select(
-        deficit.alias("current_deficit"),
-        F.datediff(F.last_day(day), day).alias("remaining_days"))
-    out = attach_one_row(tracked, today)
+    # Today's deficit is one value of the (at most 31-row) tracker: a scalar
+    # subquery, spread over the days left after today.
+    current_deficit = tracked.where(F.col("posting_date") == day).select(deficit).scalar()
+    remaining_days = F.datediff(F.last_day(day), day)
     new_target = F.when(F.col("posting_date") >= day,
                         F.col("sales_target").cast("double")
-                        + ratio("current_deficit", "remaining_days"))
-    return (out.select(
+                        + ratio(current_deficit, remaining_days))
+    return (tracked.select(
                 "posting_date", money("sales_today").alias("sales_today"),
                 money("cumulative_sales").alias("cumulative_sales"),
                 money(deficit).alias("cumulative_deficit"),
