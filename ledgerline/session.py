@@ -58,20 +58,46 @@ def cluster_session(app: str = "ledgerline") -> SparkSession:
     return builder.getOrCreate()
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no context
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Landed tables and lineage cuts go there. Only when nothing is set (a
     local test run) is a private folder created and registered.
     """
-    sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    sc = _context(spark)
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is not None:
+        path = path or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="ledgerline-")
-        sc.setCheckpointDir(path)
+        if sc is not None:
+            sc.setCheckpointDir(path)
+        else:
+            spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 
+def application_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+
+
+def task_slots(spark: SparkSession) -> int:
+    """Parallelism of the cluster (shuffle partitions when it is not known)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

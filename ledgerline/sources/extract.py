@@ -18,6 +18,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import task_slots
+
 log = logging.getLogger(__name__)
 
 DEFAULT_FETCHSIZE = 50_000
@@ -238,7 +240,7 @@ def land_tables(tables, root: str, names: Sequence[str], parallel: int = 4,
         df = getattr(tables, n)
         spark = df.sparkSession
         k = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              spark.sparkContext.defaultParallelism)
+                              task_slots(spark))
         kind, col = layout.get(n, (None, None))
         path = f"{root.rstrip('/')}/{n}"
         if kind == "range":

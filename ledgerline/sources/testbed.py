@@ -419,10 +419,10 @@ def landed_testbed(spark: SparkSession, sf_dir: str) -> "LandedTables":
     report reads the landed files, so the reports' plans start at Parquet
     scans with real sizes and the lineage to the raw tables is cut.
     """
-    from ..session import scratch_path
+    from ..session import application_id, scratch_path
     from .extract import land_tables
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (application_id(spark), os.path.abspath(sf_dir))
     with _LANDING_LOCK:
         landed = _LANDED.get(key)
         if landed is None:
