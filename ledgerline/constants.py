@@ -51,7 +51,6 @@ RAW_MATERIALS_GROUP = "RAW MATERIALS"
 
 # Currency conversion: only this currency is converted with conversion_rate.
 FOREIGN_CURRENCY = "USD"
-LOCAL_CURRENCY = "KES"
 
 # Tax-inclusive rate factor.
 TAX_FACTOR = Decimal("1.16")

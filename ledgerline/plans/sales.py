@@ -90,15 +90,6 @@ def customer_contribution(sales_invoice: DataFrame, start: DateLike, end: DateLi
 # RPT-11: item-wise sales report
 # ---------------------------------------------------------------------------
 
-ITEM_REPORT_COLUMNS = [
-    "sales_invoice_id", "delivery_note_id", "customer_code", "customer_name",
-    "sales_person_name", "posting_date", "due_date", "vehicle_number", "export_series",
-    "etr_invoice_number", "tax_category", "status", "tax_id", "item_code", "item_name",
-    "Quantity_in_UOM", "Qty_in_Tonnes", "rate_before_tax", "amount_before_tax",
-    "tax_per_item", "rate_after_tax", "amount_after_tax",
-]
-
-
 def item_sales_report(t, start: DateLike | None = None, end: DateLike | None = None,
                       customers: Sequence[str] | None = None,
                       dedupe_team: bool = False) -> DataFrame:
@@ -250,11 +241,6 @@ def delivery_targets(t, as_of: DateLike | None = None, taxed_template: str = "",
     return detail_with_summaries(detail_out, [rows])
 
 
-BY_ORDER_COLUMNS = ["sales_order_id", "order_date", "delivery_date", "customer_name",
-                    "item_code", "item_name", "sales_person", "days_since_order_date",
-                    "total_quantity_tonnes", "total_amount"]
-
-
 def delivery_targets_by_order(t, as_of: DateLike | None = None, taxed_template: str = "",
                               monthly_target: int = 0,
                               days: int = C.DELIVERY_WINDOW_DAYS_BY_ORDER,
