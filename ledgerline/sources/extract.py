@@ -211,18 +211,21 @@ def extract_to_landing(spark: SparkSession, source: JdbcSource | ParquetSource,
 
 
 def land_tables(tables, root: str, names: Sequence[str], parallel: int = 4,
-                layout: Mapping[str, tuple[str, str]] | None = None,
+                layout: Mapping[str, tuple[str, Sequence[str]]] | None = None,
                 partitions: int | None = None,
                 max_rows_per_file: int = 20_000_000) -> dict[str, int]:
     """Land several derived tables (``tables.<name>``) under ``root/<name>``.
 
-    ``layout`` maps a table to ``("range", date_col)`` or ``("hash", key)``:
+    ``layout`` maps a table to ``("range", columns)`` or ``("spread", ())``:
 
-    * ``range``: range-partitioned and sorted on the date, so every file
-      covers a disjoint date range and a period filter skips whole files and
-      row groups through the Parquet min/max statistics;
-    * ``hash``: spread by a key (the header of a line table), so the lines
-      of one document stay in one file and scans have ``partitions`` tasks.
+    * ``range``: range-partitioned and sorted on the columns (a date, then a
+      unique name), so every file covers a contiguous date range and a period
+      filter skips whole files and row groups through the Parquet min/max
+      statistics; the unique second column lets a very busy day be split
+      over several partitions instead of landing in one task;
+    * ``spread``: distributed round-robin, so scans have ``partitions``
+      tasks whatever the key distribution (a document with a third of all
+      lines does not make one task write a third of the table).
 
     Tables not in ``layout`` (small dimensions) are written as they come.
     ``partitions`` defaults to the smaller of ``spark.sql.shuffle.partitions``
@@ -241,13 +244,14 @@ def land_tables(tables, root: str, names: Sequence[str], parallel: int = 4,
         spark = df.sparkSession
         k = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
                               task_slots(spark))
-        kind, col = layout.get(n, (None, None))
+        kind, cols = layout.get(n, (None, ()))
         path = f"{root.rstrip('/')}/{n}"
         if kind == "range":
-            df = df.repartitionByRange(k, col)
-            return n, write_parquet(df, path, sort_within=[col], max_rows_per_file=max_rows_per_file)
-        if kind == "hash":
-            df = df.repartition(k, col)
+            df = df.repartitionByRange(k, *cols)
+            return n, write_parquet(df, path, sort_within=list(cols),
+                                    max_rows_per_file=max_rows_per_file)
+        if kind == "spread":
+            df = df.repartition(k)
         return n, write_parquet(df, path, max_rows_per_file=max_rows_per_file)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:

@@ -389,22 +389,22 @@ class ErpTables:
             F.col("credit").alias("credit_in_transaction_currency"))
 
 
-# Landing layout of the test bed: headers clustered by their date, lines
-# spread by their header.
+# Landing layout of the test bed: headers clustered by their date (with the
+# unique name so a busy day can be split), lines spread evenly.
 LAYOUT = {
-    "gl_entry": ("range", "posting_date"),
-    "sales_invoice": ("range", "posting_date"),
-    "purchase_invoice": ("range", "posting_date"),
-    "sales_order": ("range", "transaction_date"),
-    "journal_entry": ("range", "posting_date"),
-    "payment_entry": ("range", "posting_date"),
-    "sales_invoice_item": ("hash", "parent"),
-    "sales_order_item": ("hash", "parent"),
-    "purchase_invoice_item": ("hash", "parent"),
-    "journal_entry_account": ("hash", "parent"),
-    "payment_entry_reference": ("hash", "parent"),
-    "sales_team": ("hash", "parent"),
-    "delivery_note": ("hash", "name"),
+    "gl_entry": ("range", ("posting_date", "name")),
+    "sales_invoice": ("range", ("posting_date", "name")),
+    "purchase_invoice": ("range", ("posting_date", "name")),
+    "sales_order": ("range", ("transaction_date", "name")),
+    "journal_entry": ("range", ("posting_date", "name")),
+    "payment_entry": ("range", ("posting_date", "name")),
+    "sales_invoice_item": ("spread", ()),
+    "sales_order_item": ("spread", ()),
+    "purchase_invoice_item": ("spread", ()),
+    "journal_entry_account": ("spread", ()),
+    "payment_entry_reference": ("spread", ()),
+    "sales_team": ("spread", ()),
+    "delivery_note": ("spread", ()),
 }
 
 _LANDED: dict[tuple[str, str], "LandedTables"] = {}
