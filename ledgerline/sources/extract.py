@@ -210,7 +210,7 @@ def extract_to_landing(spark: SparkSession, source: JdbcSource | ParquetSource,
     return path, write_parquet(df, path, compression=compression)
 
 
-def land_tables(tables, root: str, names: Sequence[str], parallel: int = 4,
+def land_tables(tables, root: str, names: Sequence[str], parallel: int = 8,
                 layout: Mapping[str, tuple[str, Sequence[str]]] | None = None,
                 partitions: int | None = None,
                 max_rows_per_file: int = 20_000_000) -> dict[str, int]:
