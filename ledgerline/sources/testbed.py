@@ -445,3 +445,14 @@ class LandedTables:
         df = self.spark.read.parquet(f"{self.root}/{name}")
         self.__dict__[name] = df
         return df
+
+
+def register_views(tables, prefix: str = "erp_") -> list[str]:
+    """Register every ERP table as a temp view (``erp_gl_entry``, ...), so
+    ad-hoc SQL with bound parameters (``spark.sql(q, args=...)``) runs over
+    the same tables as the reports."""
+    names = []
+    for n in ERP_TABLES:
+        getattr(tables, n).createOrReplaceTempView(f"{prefix}{n}")
+        names.append(f"{prefix}{n}")
+    return names

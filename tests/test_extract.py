@@ -105,3 +105,19 @@ def test_invoice_load_appends_days_and_reruns_idempotently(spark, tmp_dir):
     assert out.count() == 4
     assert {r.customer_name for r in out.collect()} == {"ACME", "BETA"}
     assert sorted({str(r.last_updated) for r in out.collect()}) == ["2026-07-01", "2026-07-02"]
+
+
+def test_sql_over_registered_views_with_parameters(spark):
+    import datetime as dt
+
+    from ledgerline.sources.extract import read_query
+    from ledgerline.sources.testbed import landed_testbed, register_views
+
+    views = register_views(landed_testbed(spark, SF_SMALL))
+    assert "erp_gl_entry" in views
+    df = read_query(spark, None,
+                    "SELECT account, SUM(debit) AS d FROM erp_gl_entry "
+                    "WHERE posting_date BETWEEN :start AND :end AND is_cancelled = 0 "
+                    "GROUP BY account",
+                    {"start": dt.date(2001, 6, 1), "end": dt.date(2001, 6, 30)})
+    assert df.count() > 0
