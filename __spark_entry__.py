@@ -66,6 +66,14 @@ def _cash_flow_args() -> dict:
                 excluded_counterparties=EXCLUDED_COUNTERPARTIES, payroll_parent=PAYROLL_PARENT)
 
 
+def _sales_invoice_load(s: SparkSession, d: str) -> DataFrame:
+    """The loaded table read back; money shown as double like every report."""
+    loaded = models.sales_invoice_load(_t(s, d).sales_invoice,
+                                       scratch_path(s, "sales_invoice_target"), AS_OF)
+    return loaded.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal")
+                           else F.col(c) for c, t in loaded.dtypes])
+
+
 def _report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def gl3(f):
         return lambda s, d: f(_t(s, d).gl_entry, _t(s, d).account, _t(s, d).supplier)
@@ -104,8 +112,7 @@ def _report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "purchased_items": lambda s, d: purchase.purchased_items(_t(s, d)),
         "total_revenue": lambda s, d: models.total_revenue(
             _raw(s, d, "orders"), "o_totalprice", scratch_path(s, "total_revenue")),
-        "sales_invoice_load": lambda s, d: models.sales_invoice_load(
-            _t(s, d).sales_invoice, scratch_path(s, "sales_invoice_target"), AS_OF),
+        "sales_invoice_load": _sales_invoice_load,
         "count_by_key": lambda s, d: models.count_by_key(
             _raw(s, d, "lineitem"), "l_suppkey", scratch_path(s, "books_counts"),
             key_name="author_id"),

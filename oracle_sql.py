@@ -609,9 +609,11 @@ SELECT CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
 """
 
 SALES_INVOICE_LOAD = f"""
-SELECT name, customer, upper(customer_name) AS customer_name, posting_date, due_date, base_grand_total,
+SELECT name, customer, upper(customer_name) AS customer_name, posting_date, due_date,
+  CAST(base_grand_total AS DOUBLE) AS base_grand_total,
   docstatus, status, is_opening, company, export_series, etr_invoice_number, tax_category, tax_id,
-  base_total_taxes_and_charges, total_qty, {AS_OF} AS last_updated
+  CAST(base_total_taxes_and_charges AS DOUBLE) AS base_total_taxes_and_charges,
+  CAST(total_qty AS DOUBLE) AS total_qty, {AS_OF} AS last_updated
 FROM erp_sales_invoice
 """
 
