@@ -56,3 +56,24 @@ def test_ap_ageing_reads_each_source_once(t):
         scans = [line for line in plan.splitlines()
                  if "FileScan parquet" in line and f"/{table}]" in line]
         assert len(scans) == 1, table
+
+
+def _scans(plan, table):
+    return [line for line in plan.splitlines()
+            if "FileScan parquet" in line and f"/{table}]" in line]
+
+
+def test_cash_flow_reads_the_ledger_once(t):
+    plan = _final_plan(finance.cash_flow(t, **E._cash_flow_args()))
+    assert len(_scans(plan, "gl_entry")) == 1
+
+
+@pytest.mark.parametrize("name", ["ap_ageing", "cash_flow", "customer_contribution",
+                                  "calendar_target_tracker", "delivery_targets",
+                                  "item_sales_report", "net_profit"])
+def test_no_cartesian_or_nested_loop_joins(spark, name):
+    from conftest import SF_SMALL
+
+    plan = _final_plan(E.queries()[name](spark, SF_SMALL))
+    assert "CartesianProduct" not in plan
+    assert "NestedLoopJoin" not in plan
