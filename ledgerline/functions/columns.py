@@ -154,7 +154,7 @@ def in_bucket(days: ColumnOrName, lo: int, hi: int | None) -> Column:
     return c >= lo if hi is None else c.between(lo, hi)
 
 
-def category(parent: ColumnOrName, payroll_parent: str) -> Column:
-    """FN-25: salary payment when the party account sits under payroll."""
-    return (F.when(col(parent) == payroll_parent, C.LABEL_SALARY)
-             .otherwise(C.LABEL_SUPPLIER_PAYMENT))
+def is_salary_account(parent: ColumnOrName, payroll_parent: str) -> Column:
+    """FN-25: a payment is a salary payment when the party account's parent
+    is exactly the payroll parent account (otherwise a supplier payment)."""
+    return col(parent) == payroll_parent

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions.columns import (DateLike, category, convert_currency, date_lit,
+from ..functions.columns import (DateLike, convert_currency, date_lit, is_salary_account,
                                  in_bucket, money)
 from ..operators.aggregates import grouped_with_text_max
 from ..operators.relational import exists_in, lookup, union_all
@@ -179,7 +179,7 @@ def counterparties(customer: DataFrame, supplier: DataFrame, payroll: DataFrame,
     supplier payment without rows); the counts reproduce that exactly.
     """
     zero, one = F.lit(0), F.lit(1)
-    salary = F.when(F.col("parent_account") == payroll_parent, 1).otherwise(0)
+    salary = F.when(is_salary_account("parent_account", payroll_parent), 1).otherwise(0)
     rows = union_all([
         customer.select(F.col("name"), one.alias("is_customer"), zero.alias("is_supplier"),
                         zero.alias("named_supplier"), zero.alias("n_salary"), zero.alias("n_other")),
