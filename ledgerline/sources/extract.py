@@ -256,3 +256,60 @@ def land_tables(tables, root: str, names: Sequence[str], parallel: int = 8,
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return dict(pool.map(land, names))
+
+
+# ---------------------------------------------------------------------------
+# From landed pulls to report tables
+# ---------------------------------------------------------------------------
+
+# Source table of every report table.
+SOURCE_TABLES = {
+    "gl_entry": "tabGL Entry",
+    "account": "tabAccount",
+    "supplier": "tabSupplier",
+    "customer": "tabCustomer",
+    "company": "tabCompany",
+    "item": "tabItem",
+    "party_account": "tabParty Account",
+    "sales_invoice": "tabSales Invoice",
+    "sales_invoice_item": "tabSales Invoice Item",
+    "delivery_note": "tabDelivery Note",
+    "sales_team": "tabSales Team",
+    "sales_order": "tabSales Order",
+    "sales_order_item": "tabSales Order Item",
+    "purchase_invoice": "tabPurchase Invoice",
+    "purchase_invoice_item": "tabPurchase Invoice Item",
+    "journal_entry": "tabJournal Entry",
+    "journal_entry_account": "tabJournal Entry Account",
+    "payment_entry": "tabPayment Entry",
+    "payment_entry_reference": "tabPayment Entry Reference",
+}
+
+
+def compact_landing(spark: SparkSession, landing_dir: str, snapshot_dir: str,
+                    tables: Mapping[str, str] | None = None, key: str = "name",
+                    modified: str = "modified") -> dict[str, int]:
+    """Merge the dated pulls of every landed table into a current snapshot.
+
+    Pulls overlap (``modified >= ds``), so a row can be landed several times
+    and a changed row lands again with a later ``modified``. For each table
+    the snapshot keeps the latest version per ``key`` (MRG-1, a partial
+    aggregate, see ``operators.aggregates.latest_per_key``) and drops the
+    ``ds`` column; ``snapshot_dir/<report table>`` is what ``LandedTables``
+    reads. Tables without ``modified`` are taken from their latest pull.
+    Rows deleted in the source are not detected by incremental pulls; a
+    periodic full pull of the table replaces its history.
+    """
+    from ..operators.aggregates import latest_per_key
+
+    out = {}
+    for report_name, source_name in (tables or SOURCE_TABLES).items():
+        path = f"{landing_dir.rstrip('/')}/{safe_table_name(source_name)}"
+        history = spark.read.parquet(path)
+        if modified in history.columns:
+            current = latest_per_key(history.drop("ds"), [key], [modified])
+        else:
+            last = history.select(F.max("ds")).scalar()
+            current = history.where(F.col("ds") == last).drop("ds")
+        out[report_name] = write_parquet(current, f"{snapshot_dir.rstrip('/')}/{report_name}")
+    return out

@@ -121,3 +121,29 @@ def test_sql_over_registered_views_with_parameters(spark):
                     "GROUP BY account",
                     {"start": dt.date(2001, 6, 1), "end": dt.date(2001, 6, 30)})
     assert df.count() > 0
+
+
+def test_pulls_compact_into_report_tables(spark, tmp_dir):
+    import datetime as dt
+
+    from ledgerline.plans import sales
+    from ledgerline.sources.testbed import LandedTables
+
+    landing, snapshot = f"{tmp_dir}/landing", f"{tmp_dir}/snapshot"
+    schema = ("name string, posting_date date, base_grand_total decimal(18,2), "
+              "docstatus int, modified timestamp")
+    t1, t2 = dt.datetime(2026, 7, 1, 8), dt.datetime(2026, 7, 2, 8)
+    d = dt.date(2026, 7, 1)
+    from decimal import Decimal as D
+    pull1 = spark.createDataFrame([("SI-1", d, D("10.00"), 1, t1), ("SI-2", d, D("5.00"), 0, t1)],
+                                  schema)
+    # next day's pull overlaps: SI-1 unchanged, SI-2 submitted, SI-3 new
+    pull2 = spark.createDataFrame([("SI-1", d, D("10.00"), 1, t1), ("SI-2", d, D("5.00"), 1, t2),
+                                   ("SI-3", d, D("1.00"), 1, t2)], schema)
+    src = {"sales_invoice": "tabSales Invoice"}
+    for ds, pull in (("2026-07-01", pull1), ("2026-07-02", pull2)):
+        X.write_parquet(pull, X.landing_path(landing, "tabSales Invoice", ds))
+    assert X.compact_landing(spark, landing, snapshot, src) == {"sales_invoice": 3}
+    t = LandedTables(spark, snapshot)
+    daily = sales.daily_sales(t.sales_invoice).collect()
+    assert [(r.posting_date, r.TOTAL_DAILY_SALES) for r in daily] == [(d, 16.0)]
