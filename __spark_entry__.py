@@ -8,8 +8,16 @@ whole tables. Parameters are the test-bed values of FIXTURES.md §4.
 from __future__ import annotations
 
 import datetime as dt
+import os
+import sys
 from collections.abc import Callable
 
+# The package and the oracle live next to this file; make them importable
+# whatever the caller's working directory is.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
