@@ -47,13 +47,25 @@ class ErpTables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def _source(self, name: str) -> DataFrame:
+        """A raw table as input of a derivation, spread over the task slots
+        when it comes in fewer files than slots (a single-row-group file is
+        read by one task). Inputs with many files are used as they are."""
+        from ..session import task_slots
+
+        df = self.raw(name)
+        slots = task_slots(self.spark)
+        if len(df.inputFiles()) < slots:
+            df = df.repartition(slots)
+        return df
+
     # -- shared order-level base ("O" in FIXTURES.md) ----------------------
     @cached_property
     def _orders(self) -> DataFrame:
         # The supplier count is a scalar subquery: computed once, one value.
         nsup = self.raw("supplier").select(F.count(F.lit(1))).scalar()
         k, ck = F.col("o_orderkey"), F.col("o_custkey")
-        return self.raw("orders").select(
+        return self._source("orders").select(
             k.alias("k"),
             ck.alias("ck"),
             _name("CUST-", ck).alias("cust"),
@@ -145,7 +157,7 @@ class ErpTables:
 
     def _lines_with_part(self) -> DataFrame:
         part = self.raw("part").select("p_partkey", "p_name")
-        return self.raw("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+        return self._source("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
 
     @cached_property
     def sales_invoice_item(self) -> DataFrame:
@@ -255,7 +267,7 @@ class ErpTables:
     @cached_property
     def purchase_invoice_item(self) -> DataFrame:
         part = self.raw("part").select("p_partkey", "p_name", "p_type")
-        return self.raw("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        return self._source("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).select(
             _name("PI-", "l_orderkey").alias("parent"),
             _name("ITM-", "l_partkey").alias("item_code"),
             F.col("p_name").alias("item_name"),
@@ -278,7 +290,7 @@ class ErpTables:
     def journal_entry_account(self) -> DataFrame:
         ln, pk, price = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_extendedprice")
         zero = F.lit(0.0)
-        return self.raw("lineitem").select(
+        return self._source("lineitem").select(
             _name("JE-", "l_orderkey").alias("parent"),
             F.concat(F.lit("JEA-"), _s("l_orderkey"), F.lit("-"), _s(pk)).alias("name"),
             F.when(pk % 6 == 0, "Customer").otherwise("Supplier").alias("party_type"),
@@ -309,7 +321,7 @@ class ErpTables:
 
     @cached_property
     def payment_entry_reference(self) -> DataFrame:
-        return self.raw("lineitem").select(
+        return self._source("lineitem").select(
             _name("PE-", "l_orderkey").alias("parent"),
             F.when(F.col("l_returnflag") == "A", "Journal Entry")
              .otherwise("Purchase Invoice").alias("reference_doctype"),
