@@ -22,10 +22,17 @@ from pyspark.sql import functions as F
 
 
 def exists_in(df: DataFrame, dim: DataFrame, left_key: str | Column,
-              right_key: str) -> DataFrame:
-    """JOIN-10: keep rows whose key exists in ``dim`` (no fan-out)."""
+              right_key: str, distinct_keys: bool = False) -> DataFrame:
+    """JOIN-10: keep rows whose key exists in ``dim`` (no fan-out).
+
+    ``distinct_keys=True`` when ``dim`` repeats its keys (a fact table used
+    as a filter): the keys are de-duplicated first, with a partial
+    aggregate, so the join's build side holds each key once.
+    """
     lk = F.col(left_key) if isinstance(left_key, str) else left_key
     keys = dim.select(F.col(right_key).alias("__k")).where(F.col("__k").isNotNull())
+    if distinct_keys:
+        keys = keys.distinct()
     return df.join(keys, lk == F.col("__k"), "left_semi")
 
 

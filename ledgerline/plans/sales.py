@@ -122,7 +122,7 @@ def item_sales_report(t, start: DateLike | None = None, end: DateLike | None = N
     # Only team rows of customers that appear in the selected invoices are
     # needed; the semi join keeps the team side proportional to the result.
     team = t.sales_team.select(F.col("parent").alias("__st"), F.col("sales_person"))
-    team = exists_in(team, si, "__st", "customer_code")
+    team = exists_in(team, si, "__st", "customer_code", distinct_keys=True)
     if dedupe_team:
         team = team.distinct()
     lines = lines.join(team, F.col("customer_code") == F.col("__st"), "left")
