@@ -42,7 +42,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("LEDGERLINE_DRIVER_MEMORY", "8g")
+    conf["spark.driver.memory"] = os.environ.get("LEDGERLINE_DRIVER_MEMORY", "4g")
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
