@@ -248,3 +248,33 @@ def test_cash_flow_dedupe_payroll_counts_each_payment_once(spark):
     args = dict(start="2001-06-01", end="2001-06-30", payroll_parent="2500 - Payroll X")
     assert finance.cash_flow(t, **args).first().amount == 200.0
     assert finance.cash_flow(t, dedupe_payroll=True, **args).first().amount == 100.0
+
+
+def test_by_order_totals_row_and_future_orders(spark):
+    so = [dict(name=n, creation=d, transaction_date=d, delivery_date=d, customer_name="A",
+               per_delivered=0, status="To Deliver and Bill", currency="KES",
+               conversion_rate=1, docstatus=1)
+          for n, d in (("SO-1", "2001-07-10"), ("SO-2", "2001-07-20"))]   # SO-2 after as_of
+    soi = [dict(parent=p, item_code="I1", item_name="x", weight_per_unit="0.050", qty=q,
+                delivered_qty=0, rate=2, item_tax_template="EXEMPT")
+           for p, q in (("SO-1", 100), ("SO-2", 10))]
+    t = tables(spark, sales_order=so, sales_order_item=soi, company=[dict(name="MAIN")])
+    rows = {r.sales_order_id: r
+            for r in sales.delivery_targets_by_order(t, AS_OF, "VAT16", 3100).collect()}
+    assert rows["SO-1"].days_since_order_date == 5
+    assert rows["SO-2"].days_since_order_date == -5          # future orders are kept
+    assert rows["SO-1"].total_quantity_tonnes == 5.0 and rows["SO-2"].total_amount == 20.0
+    tot = rows["TOTALS"]
+    assert tot.order_date is None and tot.days_since_order_date is None
+    assert tot.total_quantity_tonnes == 5.5 and tot.total_amount == 220.0
+    assert rows["Sales Today"].total_amount is None          # no invoice today: NULL sum
+    assert rows["Sales Target Today"].total_amount == 100.0
+
+
+def test_share_of_a_zero_total_is_null(spark):
+    base = dict(docstatus=1, posting_date="2001-06-10", status="Unpaid", is_opening="No")
+    t = tables(spark, sales_invoice=[
+        {**base, "name": "1", "customer": "C1", "customer_name": "A", "base_grand_total": 5},
+        {**base, "name": "2", "customer": "C2", "customer_name": "B", "base_grand_total": -5}])
+    rows = sales.customer_contribution(t.sales_invoice, "2001-06-01", "2001-06-30").collect()
+    assert all(r.total_sales_revenue == 0.0 and r.percentage is None for r in rows)
