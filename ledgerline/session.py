@@ -43,6 +43,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("LEDGERLINE_DRIVER_MEMORY", "4g")
+    conf["spark.ui.showConsoleProgress"] = "false"
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
