@@ -86,11 +86,16 @@ def detail_and_total(detail: DataFrame, keys: Sequence[str], values: Sequence[st
     g = (detail.groupingSets([list(keys), []], *keys)
                .agg(*[F.sum(v).alias(v) for v in values], F.grouping_id().alias("__gid")))
     is_total = F.col("__gid") != 0
-    cols = [F.when(is_total, total_keys[k]).otherwise(F.col(k)).alias(k) if k in total_keys
-            else F.col(k) for k in keys]
-    vals = [F.when(is_total, total_values[v](F.col(v))).otherwise(F.col(v)).alias(v)
-            if v in total_values else F.col(v) for v in values]
-    return g.select(*cols, *vals)
+    rows = g.where(~is_total).select(*keys, *values)
+    # The total row comes from a global aggregate over the same result: it
+    # exists even when the detail is empty (the empty grouping set alone
+    # yields no row then), with NULL sums, as a plain SUM over no rows.
+    total = g.agg(*[F.max(F.when(is_total, F.col(v))).alias(v) for v in values])
+    total = total.select(
+        *[total_keys.get(k, F.lit(None)).cast(detail.schema[k].dataType).alias(k) for k in keys],
+        *[(total_values[v](F.col(v)) if v in total_values else F.col(v)).alias(v)
+          for v in values])
+    return rows.unionByName(total)
 
 
 def detail_with_summaries(detail: DataFrame, summaries: Sequence[DataFrame]) -> DataFrame:

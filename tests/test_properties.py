@@ -42,3 +42,20 @@ def test_grouped_text_max_equals_plain_aggregate(spark, rows):
                                 F.max("v").alias("m"))
     assert sorted(map(tuple, got.select("k", "t", "s", "m").collect())) == \
         sorted(map(tuple, plain.select("k", "t", "s", "m").collect()))
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.dictionaries(st.sampled_from(["a", "b", "c", "d"]),
+                       st.one_of(st.none(), st.integers(-9, 9)), max_size=4))
+def test_detail_and_total_is_detail_plus_its_sum(spark, detail_rows):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.aggregates import detail_and_total
+
+    df = spark.createDataFrame(list(detail_rows.items()), "k string, v int")
+    out = detail_and_total(df, ["k"], ["v"], {"k": F.lit("TOTAL")},
+                           {"v": lambda c: c * 10}).collect()
+    got = sorted((r.k, r.v) for r in out)
+    values = [v for v in detail_rows.values() if v is not None]
+    total = sum(values) * 10 if values else None
+    assert got == sorted([*detail_rows.items(), ("TOTAL", total)])

@@ -278,3 +278,13 @@ def test_share_of_a_zero_total_is_null(spark):
         {**base, "name": "2", "customer": "C2", "customer_name": "B", "base_grand_total": -5}])
     rows = sales.customer_contribution(t.sales_invoice, "2001-06-01", "2001-06-30").collect()
     assert all(r.total_sales_revenue == 0.0 and r.percentage is None for r in rows)
+
+
+def test_delivery_targets_without_open_orders_keep_summary_rows(spark):
+    t = tables(spark, company=[dict(name="MAIN")])
+    rows = {r.customer_name: r for r in sales.delivery_targets(t, AS_OF, "VAT16", 3100).collect()}
+    assert set(rows) == {"Potential Deliveries", "Sales Today", "Sales Target"}
+    assert rows["Potential Deliveries"].total_amount is None
+    by_order = {r.sales_order_id for r in
+                sales.delivery_targets_by_order(t, AS_OF, "VAT16", 3100).collect()}
+    assert by_order == {"TOTALS", "Sales Today", "Sales Target Today"}
