@@ -147,3 +147,13 @@ def test_pulls_compact_into_report_tables(spark, tmp_dir):
     t = LandedTables(spark, snapshot)
     daily = sales.daily_sales(t.sales_invoice).collect()
     assert [(r.posting_date, r.TOTAL_DAILY_SALES) for r in daily] == [(d, 16.0)]
+
+
+def test_compaction_takes_latest_pull_without_modified(spark, tmp_dir):
+    landing, snapshot = f"{tmp_dir}/landing", f"{tmp_dir}/snapshot"
+    old = spark.createDataFrame([("MAIN",), ("OLD",)], "name string")
+    new = spark.createDataFrame([("MAIN",)], "name string")
+    X.write_parquet(old, X.landing_path(landing, "tabCompany", "2026-07-01"))
+    X.write_parquet(new, X.landing_path(landing, "tabCompany", "2026-07-02"))
+    assert X.compact_landing(spark, landing, snapshot, {"company": "tabCompany"}) == {"company": 1}
+    assert [r.name for r in spark.read.parquet(f"{snapshot}/company").collect()] == ["MAIN"]
