@@ -14,6 +14,9 @@ from ledgerline.session import scratch_path
 
 STAGES = [
     ("quality_rules", stages.quality_rules_stage),
+    ("ngram_join", stages.ngram_join_stage),
+    ("decontamination", stages.decontamination_stage),
+    ("mixing", stages.mixing_stage),
     ("sharding", stages.sharding_stage),
 ]
 

@@ -1 +1,8 @@
 """Operators of a training-data pipeline over documents, pages and conversations."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with their code, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
