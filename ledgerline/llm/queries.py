@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (decontamination, html_blocks, license_scan, mixing, ngram_join, preferences,
-               quality_rules, sharding, suffix_dedup, url_rules)
+from . import (decontamination, html_blocks, license_scan, mixing, ngram_join, oracles,
+               preferences, quality_rules, sharding, suffix_dedup, url_rules)
 
 
 MIX_EPOCHS, MIX_SEED = 3, 17
@@ -58,7 +58,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.judge_documents(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                         "n_repeat_words", "base_failed", "kept", "failed_rule")
+                         "n_repeat_words", "base_failed", "kept")
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,4 +95,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL for the queries that SQL can express on whole tables."""
+    return dict(oracles.ORACLES)
