@@ -13,12 +13,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    columns: Sequence[str] | None = None) -> DataFrame:
     """MRG-1: keep the last row of every key, by ``order`` (last wins).
 
-    Written as ``max(struct(order..., payload...))`` per key: a hash
-    aggregate with a map-side partial step, so each task ships at most one
-    row per key and a key holding a third of the rows is reduced where it
-    is read instead of being sorted in one task (as a window would).
-    Ties on ``order`` are broken by the payload columns, so the result is
-    deterministic.
+    Written as ``max(struct(order..., payload...))`` per key, a partial and a
+    final aggregate: each task ships at most one row per key, so a key holding
+    a third of the rows is reduced where it is read. Spark sorts for a maximum
+    of structs (it cannot be kept in a hash aggregate's buffer), so every task
+    sorts its own rows by key; apply it to what changed, not to a whole
+    history (``sources.compaction``). Ties on ``order`` are broken by the
+    payload columns, so the result is deterministic.
     """
     payload = [c for c in (columns or df.columns) if c not in keys and c not in order]
     packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
@@ -73,29 +74,28 @@ def detail_and_total(detail: DataFrame, keys: Sequence[str], values: Sequence[st
                      total_keys: Mapping[str, Column],
                      total_values: Mapping[str, Callable[[Column], Column]] | None = None
                      ) -> DataFrame:
-    """AGG-13: the rows of ``detail`` plus one grand-total row, from one aggregate.
+    """AGG-13: the rows of ``detail`` plus one grand-total row, in one pass.
 
     ``GROUPING SETS ((keys), ())`` over the detail: the full set returns every
-    detail row (``keys`` are unique in ``detail``), the empty set is the total.
-    The detail is computed once; a UNION of the detail and an aggregate of it
-    would plan the detail twice, with differently pruned aggregates that
-    cannot share a shuffle. ``total_keys`` labels the key columns of the total
-    row; ``total_values`` post-processes a total (rounding, for instance).
+    detail row (``keys`` are unique in ``detail``), the empty set is the total,
+    told apart by the grouping id. One seed row without values makes the empty
+    set exist when the detail is empty; it never shows itself, being marked by
+    a key of its own. ``total_keys`` labels the key columns of the total row;
+    ``total_values`` post-processes a total (rounding, for instance).
     """
     total_values = total_values or {}
-    g = (detail.groupingSets([list(keys), []], *keys)
-               .agg(*[F.sum(v).alias(v) for v in values], F.grouping_id().alias("__gid")))
-    is_total = F.col("__gid") != 0
-    rows = g.where(~is_total).select(*keys, *values)
-    # The total row comes from a global aggregate over the same result: it
-    # exists even when the detail is empty (the empty grouping set alone
-    # yields no row then), with NULL sums, as a plain SUM over no rows.
-    total = g.agg(*[F.max(F.when(is_total, F.col(v))).alias(v) for v in values])
-    total = total.select(
-        *[total_keys.get(k, F.lit(None)).cast(detail.schema[k].dataType).alias(k) for k in keys],
-        *[(total_values[v](F.col(v)) if v in total_values else F.col(v)).alias(v)
-          for v in values])
-    return rows.unionByName(total)
+    seed = detail.sparkSession.range(1).select(
+        *[F.lit(None).cast(detail.schema[c].dataType).alias(c) for c in (*keys, *values)],
+        F.lit(True).alias("__seed"))
+    seeded = detail.select(*keys, *values, F.lit(False).alias("__seed")).unionByName(seed)
+    rows = (seeded.groupingSets([[*keys, "__seed"], []], *keys, "__seed")
+            .agg(*[F.sum(v).alias(v) for v in values], F.grouping_id().alias("__gid")))
+    total = F.col("__gid") != 0
+    label = {k: total_keys.get(k, F.lit(None)).cast(detail.schema[k].dataType) for k in keys}
+    return rows.where(total | ~F.col("__seed")).select(
+        *[F.when(total, label[k]).otherwise(F.col(k)).alias(k) for k in keys],
+        *[F.when(total, total_values[v](F.col(v))).otherwise(F.col(v)).alias(v)
+          if v in total_values else F.col(v) for v in values])
 
 
 def detail_with_summaries(detail: DataFrame, summaries: Sequence[DataFrame]) -> DataFrame:

@@ -104,18 +104,19 @@ _RECEIPT_COLUMNS = ["posting_date", "account", "debit", "credit", "against", "pa
                     "against_voucher_type", "against_voucher"]
 
 
-def _customer_receipts(gl_entry, account, customer, start, end, excluded_accounts):
+def _receipt_rows(gl_entry, account, start, end, excluded_accounts):
     gl = _cash_ledger(gl_entry, account, start, end, excluded_accounts)
-    gl = gl.where(F.col("voucher_subtype").isin(*C.SUBTYPES_RECEIPT) & (F.col("debit") > 0))
-    gl = exists_in(gl, _cash_accounts(account), "account", "name")
-    return lookup(gl, customer, "against", "name", ["customer_name"], how="inner")
+    gl = gl.where(F.col("voucher_subtype").isin(*C.SUBTYPES_RECEIPT) & (F.col("debit") > 0)
+                  & F.col("against").isNotNull())
+    return exists_in(gl, _cash_accounts(account), "account", "name")
 
 
 def receipts_detail(gl_entry: DataFrame, account: DataFrame, customer: DataFrame,
                     start: DateLike, end: DateLike,
                     excluded_accounts: Sequence[str] = ()) -> DataFrame:
     """RPT-4b: money received from customers into bank/cash accounts."""
-    rows = _customer_receipts(gl_entry, account, customer, start, end, excluded_accounts)
+    gl = _receipt_rows(gl_entry, account, start, end, excluded_accounts)
+    rows = lookup(gl, customer, "against", "name", ["customer_name"], how="inner")
     return rows.select(*[money(c).alias(c) if c in ("debit", "credit") else F.col(c)
                          for c in _RECEIPT_COLUMNS])
 
@@ -123,8 +124,13 @@ def receipts_detail(gl_entry: DataFrame, account: DataFrame, customer: DataFrame
 def receipts_by_account(gl_entry: DataFrame, account: DataFrame, customer: DataFrame,
                         start: DateLike, end: DateLike,
                         excluded_accounts: Sequence[str] = ()) -> DataFrame:
-    """RPT-4: money received per bank/cash account."""
-    rows = _customer_receipts(gl_entry, account, customer, start, end, excluded_accounts)
+    """RPT-4: money received per bank/cash account.
+
+    Receipts are summed per account and counterparty before the counterparty
+    is looked up, so a hot one is one row there."""
+    gl = _receipt_rows(gl_entry, account, start, end, excluded_accounts)
+    sums = gl.groupBy("account", "against").agg(F.sum("debit").alias("debit"))
+    rows = exists_in(sums, customer, "against", "name")
     return (rows.groupBy(F.col("account").alias("account_name"))
                 .agg(money(F.sum("debit")).alias("money_in")))
 
@@ -157,7 +163,7 @@ def supplier_payments(gl_entry: DataFrame, account: DataFrame, supplier: DataFra
 # RPT-6 / RPT-6b: cash flow
 # ---------------------------------------------------------------------------
 
-def payroll_party_accounts(supplier: DataFrame, party_account: DataFrame,
+def payroll_rows(supplier: DataFrame, party_account: DataFrame,
                            account: DataFrame) -> DataFrame:
     """Suppliers whose party account sits under a payroll parent account."""
     acc = account.where(F.col("parent_account").like(C.PAYROLL_PARENT_PATTERN))
@@ -198,15 +204,21 @@ def _cash_flow_rows(t, start: DateLike, end: DateLike, excluded_accounts: Sequen
                     dedupe_payroll: bool = False) -> DataFrame:
     """(Cash_Flow_Category, account_name, amount) with exact decimal amounts.
 
-    One pass over the period's cash-account ledger rows: each row meets the
-    counterparty table once and emits its contributions (collections by
-    account, supplier outflow by salary/supplier category, other drawings
-    by counterparty) into a single aggregate.
+    One pass over the period's cash-account ledger rows. Every branch tests
+    the counterparty, so rows without one are dropped and the others summed
+    per account, counterparty and subtype; only these sums meet the
+    counterparty table and emit their contributions (collections by account,
+    supplier outflow by salary/supplier category, other drawings by
+    counterparty) into the last aggregate.
     """
     gl = _cash_ledger(t.gl_entry, t.account, start, end, excluded_accounts)
+    gl = gl.where(F.col("against").isNotNull())
     gl = exists_in(gl, _cash_accounts(t.account), "account", "name")
+    gl = gl.groupBy("account", "against", "voucher_subtype").agg(
+        F.sum(F.when(F.col("debit") > 0, F.col("debit"))).alias("debit"),
+        F.sum(F.when(F.col("credit") > 0, F.col("credit"))).alias("credit"))
     parties = counterparties(t.customer, t.supplier,
-                             payroll_party_accounts(t.supplier, t.party_account, t.account),
+                             payroll_rows(t.supplier, t.party_account, t.account),
                              payroll_parent)
     rows = lookup(gl, parties, "against", "name",
                   ["is_customer", "is_supplier", "named_supplier", "n_salary", "n_other"])
@@ -219,8 +231,7 @@ def _cash_flow_rows(t, start: DateLike, end: DateLike, excluded_accounts: Sequen
     receipt = subtype.isin(*C.SUBTYPES_RECEIPT) & (debit > 0) & (flag("is_customer") == 1)
     payment = subtype.isin(*C.SUBTYPES_PAYMENT) & (credit > 0) & (flag("is_supplier") == 1)
     drawing = (~subtype.isin(*C.SUBTYPES_NOT_DRAWING) & (credit > 0)
-               & (flag("named_supplier") == 0) & against.isNotNull()
-               & ~against.isin(*excluded_counterparties))
+               & (flag("named_supplier") == 0) & ~against.isin(*excluded_counterparties))
     n_salary = flag("n_salary")
     n_supplier = flag("n_other") + F.when(flag("n_salary") + flag("n_other") == 0, 1).otherwise(0)
     if dedupe_payroll:
@@ -349,9 +360,10 @@ def supplier_journal_lines(journal_entry_account: DataFrame, journal_entry: Data
                                         & (F.col("party_type") == C.PARTY_SUPPLIER))
     headers = journal_entry.where((F.col("docstatus") == C.SUBMITTED)
                                   & (F.col("is_system_generated") == C.NOT_SYSTEM_GENERATED))
-    lines = exists_in(lines, headers, "parent", "name")
+    # the selective dimension first: Spark does not reorder semi joins
     payable = account.where(F.col("account_type") == C.ACCOUNT_PAYABLE)
-    return exists_in(lines, payable, "account", "name")
+    lines = exists_in(lines, payable, "account", "name")
+    return exists_in(lines, headers, "parent", "name")
 
 
 def _rows(supplier: Column, invoice_name: Column | None = None,

@@ -23,8 +23,9 @@ def purchased_lines(t, where: Column | None = None,
         cond = cond & where
     invoices = t.purchase_invoice.where(cond)
     items = t.item.where(F.col("item_group") == item_group)
-    lines = exists_in(t.purchase_invoice_item, invoices, "parent", "name")
-    return exists_in(lines, items, "item_code", "name")
+    # the selective dimension first: Spark does not reorder semi joins
+    lines = exists_in(t.purchase_invoice_item, items, "item_code", "name")
+    return exists_in(lines, invoices, "parent", "name")
 
 
 def raw_material_purchases(t, where: Column | None = None,

@@ -19,6 +19,8 @@ from ..operators.aggregates import (detail_and_total, detail_with_summaries,
 from ..operators.calendar import month_calendar
 from ..operators.relational import exists_in
 
+NO_NOTE = "\x00"        # begins no document name
+
 
 def _submitted(sales_invoice: DataFrame, where: Column | None = None) -> DataFrame:
     cond = F.col("docstatus") == C.SUBMITTED
@@ -111,21 +113,23 @@ def item_sales_report(t, start: DateLike | None = None, end: DateLike | None = N
         "tax_category", "status", "tax_id",
         tax_per_item("base_total_taxes_and_charges", "total_qty").alias("tax_per_item"))
 
+    # The team meets the headers, so the lines are shuffled by invoice once.
+    team = t.sales_team.select(F.col("parent").alias("__st"), F.col("sales_person"))
+    if dedupe_team:
+        team = team.distinct()
+    si = si.join(team, F.col("customer_code") == F.col("__st"), "left").drop("__st")
     lines = t.sales_invoice_item.join(si, F.col("parent") == F.col("sales_invoice_id"))
 
     vehicles = t.delivery_note.select(
         F.col("name").alias("__dn"),
         first_non_blank("company_vehicle", "customer_provided_vehicle",
                         "transporter_vehicle_number").alias("vehicle_number"))
-    lines = lines.join(vehicles, F.col("delivery_note") == F.col("__dn"), "left")
-
-    # Only team rows of customers that appear in the selected invoices are
-    # needed; the semi join keeps the team side proportional to the result.
-    team = t.sales_team.select(F.col("parent").alias("__st"), F.col("sales_person"))
-    team = exists_in(team, si, "__st", "customer_code", distinct_keys=True)
-    if dedupe_team:
-        team = team.distinct()
-    lines = lines.join(team, F.col("customer_code") == F.col("__st"), "left")
+    # Lines without a delivery note find none; a key of their own spreads
+    # them over the partitions of the join.
+    key = F.coalesce(F.col("delivery_note"), F.concat(
+        F.lit(NO_NOTE), F.pmod(F.xxhash64("parent", "item_code", "qty"), F.lit(4096)).cast("string")))
+    lines = (lines.withColumn("__key", key).join(vehicles, F.col("__key") == F.col("__dn"), "left")
+             .drop("__key", "__dn"))
 
     rate = F.col("base_rate").cast("double") + F.col("tax_per_item")
     return (lines.select(
@@ -174,14 +178,12 @@ def open_order_lines(t, as_of: DateLike | None, days: int, taxed_template: str,
                    F.to_date("creation").alias("order_date"), "delivery_date",
                    "customer_name", "currency", "conversion_rate")
     remaining = F.col("qty") - F.col("delivered_qty")
-    soi = t.sales_order_item.where((F.col("item_code") != transport_item) & (remaining > 0))
-    lines = so.join(soi, F.col("sales_order_id") == F.col("parent"))
-
     team = t.sales_team.select(F.col("parent").alias("__st"), "sales_person")
-    team = exists_in(team, so, "__st", "sales_order_id")
     if dedupe_team:
         team = team.distinct()
-    lines = lines.join(team, F.col("sales_order_id") == F.col("__st"), "left")
+    so = so.join(team, F.col("sales_order_id") == F.col("__st"), "left").drop("__st")
+    soi = t.sales_order_item.where((F.col("item_code") != transport_item) & (remaining > 0))
+    lines = so.join(soi, F.col("sales_order_id") == F.col("parent"))
 
     rate = tax_inclusive_rate("rate", "item_tax_template", taxed_template, tax_factor)
     product_rate = convert_currency(rate, "currency", "conversion_rate").cast("decimal(20,6)")
