@@ -1,7 +1,7 @@
 """Business constants of the ERP reports.
 
 Everything a deployment may change (dates, company name, account names,
-targets, tax templates) is a function argument instead; see ``params.py``.
+targets, tax templates) is a function argument instead.
 """
 
 from __future__ import annotations

@@ -7,6 +7,7 @@ result starts at the written files.
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame
@@ -44,19 +45,22 @@ def count_by_key(df: DataFrame, key: str, path: str, key_name: str | None = None
 
 
 def sales_invoice_load(sales_invoice: DataFrame, target_path: str,
-                       as_of: DateLike | None = None) -> DataFrame:
+                       as_of: DateLike | None = None, load_id: str | None = None) -> DataFrame:
     """RPT-18: stamp ``last_updated``, upper-case the customer name, append.
 
     The source copies the table into a temporary table, updates every row
     and inserts the copy into the target (SNK-5/6/7). As a DataFrame the
     copy is the plan itself: one projection, one write. The target is
-    partitioned by ``last_updated`` and each load replaces only its own
-    day's partition, so earlier loads stay (append) while a re-run of the
-    same day, or a job retried after a failure, does not duplicate rows.
+    partitioned by day and ``load_id``; a load replaces only its own
+    partition, so all earlier loads stay, those of the same day too, and a
+    load that is run again under its id does not double its rows. Without an
+    id every call is a load of its own.
     """
     loaded = sales_invoice.withColumns({
         "last_updated": as_of_or_today(as_of),
+        "load_id": F.lit(load_id or uuid.uuid4().hex),
         "customer_name": F.upper(F.col("customer_name")),
     })
-    write_parquet(loaded, target_path, partition_by=["last_updated"], replace_partitions=True)
+    write_parquet(loaded, target_path, partition_by=["last_updated", "load_id"],
+                  replace_partitions=True)
     return sales_invoice.sparkSession.read.parquet(target_path)

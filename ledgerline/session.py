@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -70,14 +71,18 @@ def _context(spark: SparkSession):
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Landed tables and lineage cuts go there. Only when nothing is set (a
-    local test run) is a private folder created and registered.
+    Landed tables and lineage cuts go there. Only in a local session, where
+    every task sees this machine's disk, is a private folder created when
+    nothing is set; on a cluster a missing setting is an error.
     """
     sc = _context(spark)
     path = spark.conf.get("spark.checkpoint.dir", None)
     if sc is not None:
         path = path or sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="ledgerline-")
         if sc is not None:
             sc.setCheckpointDir(path)
@@ -91,14 +96,6 @@ def application_id(spark: SparkSession) -> str:
     return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
 
 
-def task_slots(spark: SparkSession) -> int:
-    """Parallelism of the cluster (shuffle partitions when it is not known)."""
-    sc = _context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -4,25 +4,29 @@ SRC-1..7 and SNK-1..3. The source pulls a table or query through one
 cursor in 50 000-row chunks into one file. Here the read is a DataFrame:
 over JDBC the column list and the ``where`` filter are pushed into the
 database query, the read is split into parallel range or predicate
-partitions, and the write is a parallel Parquet dataset under a dated
-partition directory. No chunk loop runs in Python.
+partitions (by ``modified`` unless told otherwise), and the write is a
+parallel Parquet dataset under a dated partition directory. No chunk loop
+runs in Python.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
 import logging
 import os
+import re
 from dataclasses import dataclass, field
 from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import task_slots
-
 log = logging.getLogger(__name__)
 
 DEFAULT_FETCHSIZE = 50_000
+SPLIT_COLUMN = "modified"
+SPLIT_FROM = "2015-01-01"
 
 
 # ---------------------------------------------------------------------------
@@ -31,14 +35,21 @@ DEFAULT_FETCHSIZE = 50_000
 
 @dataclass
 class JdbcSource:
-    """SRC-7: connection settings of the operational (MariaDB/MySQL) database."""
+    """SRC-7: connection settings of the operational (MariaDB/MySQL) database.
+
+    The url has the ``mysql`` scheme, which selects Spark's MySQL dialect
+    (column names in back quotes); Spark has none for ``mariadb`` and would
+    quote names with double quotes, which the database reads as strings. The
+    MariaDB driver accepts the scheme with ``permitMysqlScheme``; with MySQL's
+    own driver a cursor is needed for ``fetchsize`` to bound memory.
+    """
 
     host: str
     user: str
     password: str = field(repr=False)
     port: int = 3306
     database: str = "erpnext"
-    scheme: str = "mariadb"
+    driver: str = "org.mariadb.jdbc.Driver"
     fetchsize: int = DEFAULT_FETCHSIZE
     extra: Mapping[str, str] = field(default_factory=dict)
 
@@ -55,11 +66,12 @@ class JdbcSource:
 
     @property
     def url(self) -> str:
-        return f"jdbc:{self.scheme}://{self.host}:{self.port}/{self.database}"
+        flag = "permitMysqlScheme" if "mariadb" in self.driver else "useCursorFetch=true"
+        return f"jdbc:mysql://{self.host}:{self.port}/{self.database}?{flag}"
 
     def options(self) -> dict[str, str]:
-        return {"url": self.url, "user": self.user, "password": self.password,
-                "fetchsize": str(self.fetchsize), **self.extra}
+        return {"url": self.url, "driver": self.driver, "user": self.user,
+                "password": self.password, "fetchsize": str(self.fetchsize), **self.extra}
 
 
 @dataclass
@@ -77,35 +89,43 @@ def quote_table(table: str) -> str:
     return "`" + table.replace("`", "``") + "`"
 
 
+def _predicate_read(spark: SparkSession, source: JdbcSource, table: str,
+                    predicates: Sequence[str]) -> DataFrame:
+    props = {k: v for k, v in source.options().items() if k != "url"}
+    return spark.read.jdbc(source.url, table, predicates=list(predicates), properties=props)
+
+
 def read_table(spark: SparkSession, source: JdbcSource | ParquetSource, table: str,
                columns: Sequence[str] | None = None, where: str | Column | None = None,
                partition_column: str | None = None, lower_bound=None, upper_bound=None,
                num_partitions: int | None = None,
-               predicates: Sequence[str] | None = None) -> DataFrame:
+               predicates: Sequence[str] | None = None,
+               split_column: str | None = SPLIT_COLUMN, split_from: str = SPLIT_FROM,
+               split_to: str | None = None) -> DataFrame:
     """SRC-1..4, SRC-6: read a whole table, some columns, or some rows.
 
     ``columns`` and ``where`` are applied on the DataFrame; the JDBC and
     Parquet sources push both into the scan (``ReadSchema`` /
-    ``PushedFilters``). Parallelism over JDBC: a numeric/date
-    ``partition_column`` with bounds, or explicit ``predicates`` (one
-    partition each) for tables keyed by strings, such as ranges of the
-    ``modified`` timestamp from ``modified_ranges``.
+    ``PushedFilters``). A JDBC read is always split: by a numeric/date
+    ``partition_column`` with bounds and a number of partitions, by explicit
+    ``predicates`` (one partition each), or by default by months of
+    ``split_column``, rows without one included. A table that offers none of
+    these is refused instead of being read through one cursor.
     """
     if isinstance(source, ParquetSource):
         df = spark.read.parquet(source.path(table))
-    elif predicates:
-        props = {k: v for k, v in source.options().items() if k != "url"}
-        df = spark.read.jdbc(source.url, quote_table(table), predicates=list(predicates),
-                             properties=props)
+    elif partition_column is not None:
+        if num_partitions is None or lower_bound is None or upper_bound is None:
+            raise ValueError("partition_column needs lower_bound, upper_bound and num_partitions")
+        df = (spark.read.format("jdbc").options(**source.options())
+              .option("dbtable", quote_table(table)).option("partitionColumn", partition_column)
+              .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
+              .option("numPartitions", str(num_partitions)).load())
     else:
-        reader = (spark.read.format("jdbc").options(**source.options())
-                  .option("dbtable", quote_table(table)))
-        if partition_column is not None:
-            reader = (reader.option("partitionColumn", partition_column)
-                            .option("lowerBound", str(lower_bound))
-                            .option("upperBound", str(upper_bound))
-                            .option("numPartitions", str(num_partitions or 1)))
-        df = reader.load()
+        if not predicates and split_column is None:
+            raise ValueError(f"{table}: name a split_column, a partition_column or predicates")
+        df = _predicate_read(spark, source, quote_table(table), predicates or modified_ranges(
+            split_from, split_to or dt.date.today().isoformat(), column=split_column))
     if where is not None:
         df = df.where(where)
     if columns:
@@ -113,33 +133,66 @@ def read_table(spark: SparkSession, source: JdbcSource | ParquetSource, table: s
     return df
 
 
+def sql_literal(value) -> str:
+    """A Python value as a MySQL literal."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "1" if value else "0"
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return str(value)
+    if isinstance(value, dt.datetime):
+        return f"'{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"'{value.isoformat()}'"
+    if isinstance(value, (list, tuple)):
+        return "(" + ", ".join(sql_literal(v) for v in value) + ")"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "''") + "'"
+    raise TypeError(f"no literal for {type(value).__name__}")
+
+
+# Quoted texts and names are passed over; ``:name`` elsewhere is a parameter.
+_PARAMETER = re.compile(r"'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|:([A-Za-z_]\w*)")
+
+
+def bind_parameters(query: str, params: Mapping[str, object]) -> str:
+    """``query`` with its ``:name`` parameters replaced by literals."""
+    def value(m: re.Match) -> str:
+        return m[0] if m[1] is None else sql_literal(params[m[1]])
+    return _PARAMETER.sub(value, query)
+
+
 def read_query(spark: SparkSession, source: JdbcSource | None, query: str,
-               params: Mapping[str, object] | None = None) -> DataFrame:
-    """SRC-5: an arbitrary query with bind parameters.
+               params: Mapping[str, object] | None = None,
+               predicates: Sequence[str] | None = None) -> DataFrame:
+    """SRC-5: an arbitrary query with ``:name`` bind parameters.
 
-    Over JDBC the query runs in the database (``query`` option; parameters
-    are bound as SQL literals by Spark's parameterised ``spark.sql`` when the
-    query runs over registered views instead, ``source=None``).
+    Over JDBC the query runs in the database, parameters bound as literals;
+    ``predicates`` over its result columns split the read, one task each.
+    With ``source=None`` it runs over registered views, bound by Spark.
     """
     if source is None:
         return spark.sql(query, args=dict(params or {}))
-    if params:
-        raise ValueError("bind parameters are supported on views (source=None) only")
-    return spark.read.format("jdbc").options(**source.options()).option("query", query).load()
+    bound = bind_parameters(query, params or {})
+    if predicates:
+        return _predicate_read(spark, source, f"({bound}) AS q", predicates)
+    return spark.read.format("jdbc").options(**source.options()).option("query", bound).load()
 
 
-def modified_ranges(start: str, end: str, months: int = 1) -> list[str]:
-    """Predicates splitting ``modified`` into month ranges (half-open)."""
-    import datetime as dt
+def modified_ranges(start: str, end: str, months: int = 1, column: str = SPLIT_COLUMN) -> list[str]:
+    """Predicates splitting a timestamp into month ranges (half-open), with
+    everything before, after and without a timestamp."""
     s = dt.date.fromisoformat(start).replace(day=1)
     e = dt.date.fromisoformat(end)
-    out = [f"modified < '{s.isoformat()}'"]
+    name = quote_table(column)
+    out = [f"{name} < '{s.isoformat()}' OR {name} IS NULL"]
     while s <= e:
         y, m = divmod(s.month - 1 + months, 12)
         nxt = dt.date(s.year + y, m + 1, 1)
-        out.append(f"modified >= '{s.isoformat()}' AND modified < '{nxt.isoformat()}'")
+        out.append(f"{name} >= '{s.isoformat()}' AND {name} < '{nxt.isoformat()}'")
         s = nxt
-    out.append(f"modified >= '{s.isoformat()}'")
+    out.append(f"{name} >= '{s.isoformat()}'")
     return out
 
 
@@ -210,49 +263,47 @@ def extract_to_landing(spark: SparkSession, source: JdbcSource | ParquetSource,
     return path, write_parquet(df, path, compression=compression)
 
 
+def laid_out(df: DataFrame, layout: tuple[str, Sequence[str]] | None
+             ) -> tuple[DataFrame, list[str]]:
+    """A table dealt for its landing, and the columns to sort its files by.
+
+    * ``("range", columns)``: range-partitioned and sorted on the columns (a
+      date, then a unique name), so every file covers a contiguous date range
+      and a period filter skips whole files and row groups through the Parquet
+      min/max statistics; the unique second column lets a very busy day be
+      split over several partitions instead of landing in one task;
+    * ``("spread", ())``: rebalanced, so files are even whatever the key
+      distribution (a document with a third of all lines does not make one
+      task write a third of the table);
+    * none: written as it comes.
+
+    No number of partitions is given: adaptive execution sizes them by the
+    data.
+    """
+    kind, cols = layout or (None, ())
+    if kind == "range":
+        return df.repartitionByRange(*cols), list(cols)
+    if kind == "spread":
+        return df.hint("rebalance"), []
+    return df, []
+
+
 def land_tables(tables, root: str, names: Sequence[str], parallel: int = 8,
                 layout: Mapping[str, tuple[str, Sequence[str]]] | None = None,
-                partitions: int | None = None,
                 max_rows_per_file: int = 20_000_000) -> dict[str, int]:
-    """Land several derived tables (``tables.<name>``) under ``root/<name>``.
-
-    ``layout`` maps a table to ``("range", columns)`` or ``("spread", ())``:
-
-    * ``range``: range-partitioned and sorted on the columns (a date, then a
-      unique name), so every file covers a contiguous date range and a period
-      filter skips whole files and row groups through the Parquet min/max
-      statistics; the unique second column lets a very busy day be split
-      over several partitions instead of landing in one task;
-    * ``spread``: distributed round-robin, so scans have ``partitions``
-      tasks whatever the key distribution (a document with a third of all
-      lines does not make one task write a third of the table).
-
-    Tables not in ``layout`` (small dimensions) are written as they come.
-    ``partitions`` defaults to the smaller of ``spark.sql.shuffle.partitions``
-    and the cluster's task slots; a full load of a very large table should
-    pass about input size / 256 MB. Files are capped at ``max_rows_per_file``
-    rows.
-    The writes are independent Spark jobs, submitted a few at a time from
-    driver threads so small tables do not leave executor slots idle.
+    """Land several derived tables (``tables.<name>``) under ``root/<name>``
+    with their ``layout`` (see ``laid_out``); returns the rows of each.
+
+    Files are capped at ``max_rows_per_file`` rows. The writes are independent
+    Spark jobs, submitted a few at a time from driver threads so small tables
+    do not leave executor slots idle.
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    layout = layout or {}
-
     def land(n: str) -> tuple[str, int]:
-        df = getattr(tables, n)
-        spark = df.sparkSession
-        k = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              task_slots(spark))
-        kind, cols = layout.get(n, (None, ()))
-        path = f"{root.rstrip('/')}/{n}"
-        if kind == "range":
-            df = df.repartitionByRange(k, *cols)
-            return n, write_parquet(df, path, sort_within=list(cols),
-                                    max_rows_per_file=max_rows_per_file)
-        if kind == "spread":
-            df = df.repartition(k)
-        return n, write_parquet(df, path, max_rows_per_file=max_rows_per_file)
+        df, order = laid_out(getattr(tables, n), (layout or {}).get(n))
+        return n, write_parquet(df, f"{root.rstrip('/')}/{n}", sort_within=order,
+                                max_rows_per_file=max_rows_per_file)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         return dict(pool.map(land, names))
@@ -284,32 +335,3 @@ SOURCE_TABLES = {
     "payment_entry": "tabPayment Entry",
     "payment_entry_reference": "tabPayment Entry Reference",
 }
-
-
-def compact_landing(spark: SparkSession, landing_dir: str, snapshot_dir: str,
-                    tables: Mapping[str, str] | None = None, key: str = "name",
-                    modified: str = "modified") -> dict[str, int]:
-    """Merge the dated pulls of every landed table into a current snapshot.
-
-    Pulls overlap (``modified >= ds``), so a row can be landed several times
-    and a changed row lands again with a later ``modified``. For each table
-    the snapshot keeps the latest version per ``key`` (MRG-1, a partial
-    aggregate, see ``operators.aggregates.latest_per_key``) and drops the
-    ``ds`` column; ``snapshot_dir/<report table>`` is what ``LandedTables``
-    reads. Tables without ``modified`` are taken from their latest pull.
-    Rows deleted in the source are not detected by incremental pulls; a
-    periodic full pull of the table replaces its history.
-    """
-    from ..operators.aggregates import latest_per_key
-
-    out = {}
-    for report_name, source_name in (tables or SOURCE_TABLES).items():
-        path = f"{landing_dir.rstrip('/')}/{safe_table_name(source_name)}"
-        history = spark.read.parquet(path)
-        if modified in history.columns:
-            current = latest_per_key(history.drop("ds"), [key], [modified])
-        else:
-            last = history.select(F.max("ds")).scalar()
-            current = history.where(F.col("ds") == last).drop("ds")
-        out[report_name] = write_parquet(current, f"{snapshot_dir.rstrip('/')}/{report_name}")
-    return out

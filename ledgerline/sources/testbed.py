@@ -12,7 +12,6 @@ from a landing folder written by ``sources.extract.land_tables``.
 
 from __future__ import annotations
 
-import os
 import threading
 from functools import cached_property
 
@@ -47,25 +46,13 @@ class ErpTables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _source(self, name: str) -> DataFrame:
-        """A raw table as input of a derivation, spread over the task slots
-        when it comes in fewer files than slots (a single-row-group file is
-        read by one task). Inputs with many files are used as they are."""
-        from ..session import task_slots
-
-        df = self.raw(name)
-        slots = task_slots(self.spark)
-        if len(df.inputFiles()) < slots:
-            df = df.repartition(slots)
-        return df
-
     # -- shared order-level base ("O" in FIXTURES.md) ----------------------
     @cached_property
     def _orders(self) -> DataFrame:
         # The supplier count is a scalar subquery: computed once, one value.
         nsup = self.raw("supplier").select(F.count(F.lit(1))).scalar()
         k, ck = F.col("o_orderkey"), F.col("o_custkey")
-        return self._source("orders").select(
+        return self.raw("orders").select(
             k.alias("k"),
             ck.alias("ck"),
             _name("CUST-", ck).alias("cust"),
@@ -157,7 +144,7 @@ class ErpTables:
 
     def _lines_with_part(self) -> DataFrame:
         part = self.raw("part").select("p_partkey", "p_name")
-        return self._source("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+        return self.raw("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
 
     @cached_property
     def sales_invoice_item(self) -> DataFrame:
@@ -267,7 +254,7 @@ class ErpTables:
     @cached_property
     def purchase_invoice_item(self) -> DataFrame:
         part = self.raw("part").select("p_partkey", "p_name", "p_type")
-        return self._source("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        return self.raw("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).select(
             _name("PI-", "l_orderkey").alias("parent"),
             _name("ITM-", "l_partkey").alias("item_code"),
             F.col("p_name").alias("item_name"),
@@ -290,7 +277,7 @@ class ErpTables:
     def journal_entry_account(self) -> DataFrame:
         ln, pk, price = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_extendedprice")
         zero = F.lit(0.0)
-        return self._source("lineitem").select(
+        return self.raw("lineitem").select(
             _name("JE-", "l_orderkey").alias("parent"),
             F.concat(F.lit("JEA-"), _s("l_orderkey"), F.lit("-"), _s(pk)).alias("name"),
             F.when(pk % 6 == 0, "Customer").otherwise("Supplier").alias("party_type"),
@@ -321,7 +308,7 @@ class ErpTables:
 
     @cached_property
     def payment_entry_reference(self) -> DataFrame:
-        return self._source("lineitem").select(
+        return self.raw("lineitem").select(
             _name("PE-", "l_orderkey").alias("parent"),
             F.when(F.col("l_returnflag") == "A", "Journal Entry")
              .otherwise("Purchase Invoice").alias("reference_doctype"),
@@ -420,43 +407,49 @@ LAYOUT = {
 }
 
 _LANDED: dict[tuple[str, str], "LandedTables"] = {}
-_LANDING_LOCK = threading.Lock()
+_LANDING_LOCK = threading.RLock()
 
 
 def landed_testbed(spark: SparkSession, sf_dir: str) -> "LandedTables":
-    """The ERP tables of ``sf_dir`` landed once per application as Parquet.
+    """The ERP tables of ``sf_dir`` landed as Parquet, each when it is first
+    asked for and once per application.
 
-    This is the extraction step of the source system: the derived tables are
+    This is the extraction step of the source system: a derived table is
     written under the shared folder (``spark.checkpoint.dir``) and every
     report reads the landed files, so the reports' plans start at Parquet
-    scans with real sizes and the lineage to the raw tables is cut.
+    scans with real sizes and the lineage to the raw tables is cut. Inputs
+    are taken as they are at that time.
     """
     from ..session import application_id, scratch_path
-    from .extract import land_tables
 
-    key = (application_id(spark), os.path.abspath(sf_dir))
+    key = (application_id(spark), sf_dir.rstrip("/"))
     with _LANDING_LOCK:
-        landed = _LANDED.get(key)
-        if landed is None:
-            root = scratch_path(spark, "erp-landing")
-            land_tables(ErpTables(spark, sf_dir), root, ERP_TABLES, layout=LAYOUT)
-            landed = _LANDED[key] = LandedTables(spark, root)
-    return landed
+        if key not in _LANDED:
+            _LANDED[key] = LandedTables(spark, scratch_path(spark, "erp-landing"),
+                                        ErpTables(spark, sf_dir))
+        return _LANDED[key]
 
 
 class LandedTables:
-    """ERP tables read back from a landing folder (one Parquet dataset each)."""
+    """ERP tables read from a landing folder (one Parquet dataset each); a
+    table that ``derived`` can make is landed when it is first asked for."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, derived: ErpTables | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.derived = derived
 
     def __getattr__(self, name: str) -> DataFrame:
+        from .extract import land_tables
+
         if name not in ERP_TABLES:
             raise AttributeError(name)
-        df = self.spark.read.parquet(f"{self.root}/{name}")
-        self.__dict__[name] = df
-        return df
+        with _LANDING_LOCK:
+            if name not in self.__dict__:
+                if self.derived is not None:
+                    land_tables(self.derived, self.root, [name], layout=LAYOUT)
+                self.__dict__[name] = self.spark.read.parquet(f"{self.root}/{name}")
+        return self.__dict__[name]
 
 
 def register_views(tables, prefix: str = "erp_") -> list[str]:

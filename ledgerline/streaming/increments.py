@@ -1,26 +1,23 @@
 """Incremental landing with Structured Streaming (SRC-4 + MRG-1).
 
 The source pulls a table with ``modified >= ds`` (a lower bound only), so
-consecutive pulls overlap and the same row version arrives more than once;
-a changed row arrives again with a later ``modified``. Here the pulls are
-Parquet files dropped into a folder (``sources.extract.extract_to_landing``)
-and a streaming query turns them into one append-only history:
-
-* a file source reads each new pull once (its offsets are in the
-  checkpoint, so a restarted job continues where it stopped);
-* ``dropDuplicatesWithinWatermark`` removes re-pulled copies of the same
-  row version (same key and ``modified``). The watermark is on the landing
-  time of the batch, not on ``modified``: a pull may carry old ``modified``
-  values, and an event-time watermark would drop them as late data. On the
-  landing time nothing is ever late, and the dedupe state only keeps the
-  versions seen during the last ``dedupe_window``;
-* the Parquet sink commits each micro-batch exactly once through its
-  metadata log, so readers never see a half-written batch.
-
-The current state of the table is merge-on-read: ``current_rows`` keeps the
-latest version per key with a partial+final aggregate, which scales with the
-history and is unaffected by copies older than the watermark. Writers only
-append; nothing rewrites the whole table per batch.
+consecutive pulls overlap and the same row arrives more than once, changed or
+not. Here the pulls are Parquet files dropped into a folder
+(``sources.extract.extract_to_landing``) and a streaming query turns them into
+one append-only history:
+
+* a file source reads each new pull once (its offsets are in the checkpoint,
+  so a restarted job continues where it stopped), a bounded number of files
+  per micro-batch;
+* every row is kept, with the ``ds`` of its pull: which version of a key is
+  the newest is decided by the merge, because a row can change without its
+  ``modified`` changing. The query has no state;
+* the Parquet sink commits each micro-batch exactly once through its metadata
+  log, so readers never see a half-written batch.
+
+``current_rows`` reads the current state of the table: the newest version per
+key, by ``modified`` and then by pull. ``sources.compaction`` keeps snapshots
+from which old pulls need not be read again.
 """
 
 from __future__ import annotations
@@ -30,33 +27,27 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from ..operators.aggregates import latest_per_key
 from ..session import scratch_path
 
 
-def stream_increments(spark: SparkSession, source_dir: str, schema: StructType,
-                      target_dir: str, keys: Sequence[str], modified: str = "modified",
-                      checkpoint_dir: str | None = None, dedupe_window: str = "7 days",
-                      available_now: bool = True,
-                      processing_time: str = "1 minute") -> StreamingQuery:
-    """Start the stream from landed pulls to the append-only history.
+def stream_increments(spark: SparkSession, source_dir: str, schema: StructType, target_dir: str,
+                      checkpoint_dir: str | None = None, available_now: bool = True,
+                      processing_time: str = "1 minute",
+                      max_files_per_trigger: int = 1000) -> StreamingQuery:
+    """Start the stream from landed pulls (``ds=<pull>`` folders) to the
+    append-only history.
 
-    Rows get a ``_landed_at`` timestamp (the micro-batch time). With
-    ``available_now`` the query processes what is there and stops (a
+    With ``available_now`` the query processes what is there and stops (a
     scheduled batch run); otherwise it polls every ``processing_time``.
     The checkpoint lives under the shared folder unless given.
     """
     checkpoint = checkpoint_dir or scratch_path(spark, "increments-checkpoint")
-    pulls = (spark.readStream.schema(schema)
-             .option("recursiveFileLookup", "true")
-             .parquet(source_dir)
-             .withColumn("_landed_at", F.current_timestamp()))
-    deduped = (pulls.withWatermark("_landed_at", dedupe_window)
-                    .dropDuplicatesWithinWatermark([*keys, modified]))
-    writer = (deduped.writeStream.format("parquet")
-              .option("checkpointLocation", checkpoint)
+    pulls = (spark.readStream.schema(StructType([*schema.fields]).add("ds", StringType()))
+             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir))
+    writer = (pulls.writeStream.format("parquet").option("checkpointLocation", checkpoint)
               .outputMode("append"))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time))
@@ -64,10 +55,9 @@ def stream_increments(spark: SparkSession, source_dir: str, schema: StructType,
 
 
 def current_rows(spark: SparkSession, target_dir: str, keys: Sequence[str],
-                 modified: str = "modified", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """The latest version of every key in the landed history."""
-    history = spark.read.parquet(target_dir).drop("_landed_at")
-    return latest_per_key(history, keys, [modified, *tiebreak])
+                 modified: str = "modified") -> DataFrame:
+    """The newest version of every key in the landed history."""
+    return latest_per_key(spark.read.parquet(target_dir), keys, [modified, "ds"]).drop("ds")
 
 
 def pull_to_folder(df: DataFrame, folder: str, ds: str) -> str:

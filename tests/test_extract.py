@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -22,19 +23,94 @@ def test_landing_path_and_table_names():
 def test_jdbc_settings_from_env():
     env = {"ERP_DB_HOST": "db", "ERP_DB_USER": "u", "ERP_DB_PASSWORD": "s3cr3t"}
     src = X.JdbcSource.from_env(environ=env)
-    assert src.url == "jdbc:mariadb://db:3306/erpnext"
+    assert src.url == "jdbc:mysql://db:3306/erpnext?permitMysqlScheme"
     opts = src.options()
     assert opts["fetchsize"] == "50000" and opts["user"] == "u"
     assert "s3cr3t" not in repr(src)
     env.update(ERP_DB_PORT="3307", ERP_DB_NAME="erp")
-    assert X.JdbcSource.from_env(environ=env).url == "jdbc:mariadb://db:3307/erp"
-
-
-def test_modified_ranges_cover_everything():
+    assert X.JdbcSource.from_env(environ=env).url == "jdbc:mysql://db:3307/erp?permitMysqlScheme"
+    mysql = X.JdbcSource("db", "u", "p", driver="com.mysql.cj.jdbc.Driver")
+    assert mysql.url.endswith("?useCursorFetch=true")
+
+
+def test_jdbc_url_selects_the_mysql_dialect(spark):
+    dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(X.JdbcSource("db", "u", "p").url)
+    assert dialect.getClass().getSimpleName() == "MySQLDialect"
+    assert dialect.quoteIdentifier("modified by") == "`modified by`"
+
+
+class _Reader:
+    """Stands for ``spark.read`` and notes what it is asked."""
+
+    def __init__(self):
+        self.asked = {}
+
+    def jdbc(self, url, table, predicates=None, properties=None):
+        self.asked = {"url": url, "table": table, "predicates": predicates, "properties": properties}
+        return "read"
+
+    def format(self, name):
+        self.asked["format"] = name
+        return self
+
+    def options(self, **kw):
+        self.asked.update(kw)
+        return self
+
+    def option(self, k, v):
+        self.asked[k] = v
+        return self
+
+    def load(self):
+        return "read"
+
+
+class _Session:
+    def __init__(self):
+        self.read = _Reader()
+
+
+def test_jdbc_reads_are_split():
+    src, s = X.JdbcSource("db", "u", "p"), _Session()
+    X.read_table(s, src, "tabGL Entry")
+    asked = s.read.asked
+    assert asked["table"] == "`tabGL Entry`" and len(asked["predicates"]) > 100
+    assert asked["predicates"][0] == "`modified` < '2015-01-01' OR `modified` IS NULL"
+    assert asked["properties"]["fetchsize"] == "50000" and "url" not in asked["properties"]
+    assert asked["properties"]["driver"] == "org.mariadb.jdbc.Driver"
+    X.read_table(s, src, "t", split_from="2026-01-01", split_to="2026-02-01")
+    assert len(s.read.asked["predicates"]) == 4
+    X.read_table(s, src, "t", partition_column="id", lower_bound=0, upper_bound=9, num_partitions=3)
+    assert s.read.asked["numPartitions"] == "3"
+    with pytest.raises(ValueError):
+        X.read_table(s, src, "t", split_column=None)
+    with pytest.raises(ValueError):
+        X.read_table(s, src, "t", partition_column="id")
+
+
+def test_query_parameters_are_bound_over_jdbc():
+    src, s = X.JdbcSource("db", "u", "p"), _Session()
+    query = ("SELECT ':no', `a:b`, x FROM t WHERE d >= :start AND n IN :names AND q = :q "
+             "AND z IS :z AND t = '10:30'")
+    params = {"start": dt.date(2026, 7, 1), "names": ["O'Hara", "a\\b"], "q": True, "z": None}
+    bound = ("SELECT ':no', `a:b`, x FROM t WHERE d >= '2026-07-01' AND n IN ('O''Hara', 'a\\\\b') "
+             "AND q = 1 AND z IS NULL AND t = '10:30'")
+    assert X.bind_parameters(query, params) == bound
+    X.read_query(s, src, query, params)
+    assert s.read.asked["query"] == bound
+    X.read_query(s, src, query, params, predicates=["x < 3", "x >= 3 OR x IS NULL"])
+    assert s.read.asked["table"] == f"({bound}) AS q" and len(s.read.asked["predicates"]) == 2
+    with pytest.raises(KeyError):
+        X.bind_parameters("SELECT :missing", {})
+
+
+def test_modified_ranges_cover_everything(spark):
     preds = X.modified_ranges("2026-01-15", "2026-03-02")
-    assert preds[0] == "modified < '2026-01-01'"
-    assert preds[-1] == "modified >= '2026-04-01'"
     assert len(preds) == 5
+    rows = spark.sql("SELECT * FROM VALUES (CAST(NULL AS DATE)), (DATE '1999-01-01'), "
+                     "(DATE '2026-01-01'), (DATE '2026-02-28'), (DATE '2026-03-31'), "
+                     "(DATE '2031-01-01') AS t(modified)")
+    assert [rows.where(p).count() for p in preds] == [2, 1, 1, 1, 1]
 
 
 def test_pruned_filtered_extract_pushes_down(spark, tmp_dir):
@@ -94,17 +170,19 @@ def test_query_extract_lands_bound_result(spark, tmp_dir):
     assert rows == 2 and spark.read.parquet(path).count() == 2
 
 
-def test_invoice_load_appends_days_and_reruns_idempotently(spark, tmp_dir):
+def test_invoice_load_appends_loads_and_reruns_idempotently(spark, tmp_dir):
     from ledgerline.plans.models import sales_invoice_load
     si = spark.createDataFrame([("SI-1", "acme"), ("SI-2", "beta")],
                                "name string, customer_name string")
     target = f"{tmp_dir}/target"
-    sales_invoice_load(si, target, "2026-07-01")
-    sales_invoice_load(si, target, "2026-07-02")
-    out = sales_invoice_load(si, target, "2026-07-02")      # re-run of the same day
-    assert out.count() == 4
-    assert {r.customer_name for r in out.collect()} == {"ACME", "BETA"}
-    assert sorted({str(r.last_updated) for r in out.collect()}) == ["2026-07-01", "2026-07-02"]
+    sales_invoice_load(si, target, "2026-07-01", "a")
+    sales_invoice_load(si.where("name = 'SI-1'"), target, "2026-07-02", "b")
+    sales_invoice_load(si.where("name = 'SI-2'"), target, "2026-07-02", "c")    # same day
+    out = sales_invoice_load(si.where("name = 'SI-2'"), target, "2026-07-02", "c")   # re-run
+    assert sorted((str(r.last_updated), r.load_id, r.customer_name) for r in out.collect()) == [
+        ("2026-07-01", "a", "ACME"), ("2026-07-01", "a", "BETA"), ("2026-07-02", "b", "ACME"),
+        ("2026-07-02", "c", "BETA")]
+    assert sales_invoice_load(si, target, "2026-07-02").count() == 6    # no id: a load of its own
 
 
 def test_sql_over_registered_views_with_parameters(spark):
@@ -127,7 +205,7 @@ def test_pulls_compact_into_report_tables(spark, tmp_dir):
     import datetime as dt
 
     from ledgerline.plans import sales
-    from ledgerline.sources.testbed import LandedTables
+    from ledgerline.sources.compaction import SnapshotTables, compact_landing
 
     landing, snapshot = f"{tmp_dir}/landing", f"{tmp_dir}/snapshot"
     schema = ("name string, posting_date date, base_grand_total decimal(18,2), "
@@ -143,17 +221,127 @@ def test_pulls_compact_into_report_tables(spark, tmp_dir):
     src = {"sales_invoice": "tabSales Invoice"}
     for ds, pull in (("2026-07-01", pull1), ("2026-07-02", pull2)):
         X.write_parquet(pull, X.landing_path(landing, "tabSales Invoice", ds))
-    assert X.compact_landing(spark, landing, snapshot, src) == {"sales_invoice": 3}
-    t = LandedTables(spark, snapshot)
+    layout = {"sales_invoice": ("range", ("posting_date", "name"))}
+    assert compact_landing(spark, landing, snapshot, src, layout=layout) == {"sales_invoice": 3}
+    t = SnapshotTables(spark, snapshot)
     daily = sales.daily_sales(t.sales_invoice).collect()
     assert [(r.posting_date, r.TOTAL_DAILY_SALES) for r in daily] == [(d, 16.0)]
 
 
 def test_compaction_takes_latest_pull_without_modified(spark, tmp_dir):
+    from ledgerline.sources.compaction import compact_landing, read_snapshot
+
+    landing, snapshot = f"{tmp_dir}/landing", f"{tmp_dir}/snapshot"
+    tables = {"company": "tabCompany"}
+
+    def land(ds, *names):
+        X.write_parquet(spark.createDataFrame([(n,) for n in names], "name string"),
+                        X.landing_path(landing, "tabCompany", ds))
+
+    land(None, "MANUAL")
+    land("2026-07-01", "MAIN", "OLD")
+    land("2026-07-02", "MAIN")
+    assert compact_landing(spark, landing, snapshot, tables) == {"company": 1}
+    assert [r.name for r in read_snapshot(spark, snapshot, "company").collect()] == ["MAIN"]
+    assert compact_landing(spark, landing, snapshot, tables) == {"company": 1}      # nothing new
+    land(None, "MAIN", "NEW")
+    assert compact_landing(spark, landing, snapshot, tables) == {"company": 2}
+
+
+def _orders_landing(spark, tmp_dir):
     landing, snapshot = f"{tmp_dir}/landing", f"{tmp_dir}/snapshot"
-    old = spark.createDataFrame([("MAIN",), ("OLD",)], "name string")
-    new = spark.createDataFrame([("MAIN",)], "name string")
-    X.write_parquet(old, X.landing_path(landing, "tabCompany", "2026-07-01"))
-    X.write_parquet(new, X.landing_path(landing, "tabCompany", "2026-07-02"))
-    assert X.compact_landing(spark, landing, snapshot, {"company": "tabCompany"}) == {"company": 1}
-    assert [r.name for r in spark.read.parquet(f"{snapshot}/company").collect()] == ["MAIN"]
+
+    def land(ds, *rows):
+        X.write_parquet(spark.createDataFrame(rows, "name string, v int, modified timestamp_ntz"),
+                        X.landing_path(landing, "tabOrder", ds))
+    return landing, snapshot, land
+
+
+def test_compaction_orders_by_modified_then_landing(spark, tmp_dir):
+    from ledgerline.sources.compaction import compact_landing, read_snapshot
+
+    landing, snapshot, land = _orders_landing(spark, tmp_dir)
+    t1, t2 = dt.datetime(2026, 7, 1), dt.datetime(2026, 7, 2)
+    land("2026-07-01", ("tie", 9, t1), ("old", 9, t1), ("null", 9, None), ("late", 9, t2))
+    land(None, ("tie", 5, t1), ("null", 5, None))
+    compact_landing(spark, landing, snapshot, {"orders": "tabOrder"})
+    values = lambda: {r.name: r.v for r in read_snapshot(spark, snapshot, "orders").collect()}
+    assert values() == {"tie": 5, "old": 9, "null": 5, "late": 9}
+    land("2026-07-02", ("tie", 1, t1), ("null", 1, t1), ("late", 1, t1), ("new", 1, None))
+    compact_landing(spark, landing, snapshot, {"orders": "tabOrder"})
+    assert values() == {"tie": 1, "old": 9, "null": 1, "late": 9, "new": 1}
+
+
+def test_compaction_reads_new_pulls_only(spark, tmp_dir):
+    from ledgerline.sources import compaction as C
+
+    landing, snapshot, land = _orders_landing(spark, tmp_dir)
+    land("2026-07-01", ("a", 1, None))
+    C.compact_landing(spark, landing, snapshot, {"orders": "tabOrder"})
+    land("2026-07-02", ("b", 1, None))
+    upto = C.current_version(spark, snapshot, "orders").upto
+    new = C.landed_since(spark, f"{landing}/taborder", upto)
+    assert [r.name for r in new.collect()] == ["b"]
+    plan = new._jdf.queryExecution().executedPlan()
+    leaf = plan.collectLeaves().head()
+    assert leaf.metrics().get("numFiles").get().value() < len(new.inputFiles()) + 8
+    assert "file_modification_time" in plan.toString()
+
+
+def test_failed_compaction_leaves_the_old_snapshot(spark, tmp_dir, monkeypatch):
+    from ledgerline.sources import compaction as C
+
+    landing, snapshot, land = _orders_landing(spark, tmp_dir)
+    land("2026-07-01", ("a", 1, None))
+    C.compact_landing(spark, landing, snapshot, {"orders": "tabOrder"})
+    land("2026-07-02", ("a", 2, None), ("b", 2, None))
+
+    def broken(df, path, **kw):
+        df.limit(1).write.mode("overwrite").parquet(path)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(C, "write_parquet", broken)
+    with pytest.raises(RuntimeError):
+        C.compact_landing(spark, landing, snapshot, {"orders": "tabOrder"})
+    read = lambda: {r.name: r.v for r in C.read_snapshot(spark, snapshot, "orders").collect()}
+    assert read() == {"a": 1}
+    monkeypatch.undo()
+    C.compact_landing(spark, landing, snapshot, {"orders": "tabOrder"})
+    assert read() == {"a": 2, "b": 2}
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from ledgerline.session import shared_dir
+
+    class Conf(dict):
+        def get(self, k, d=None):
+            return dict.get(self, k, d)
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
+    Session.conf = Conf({"spark.checkpoint.dir": "hdfs:///shared"})
+    assert shared_dir(Session()) == "hdfs:///shared"
+
+
+def test_a_report_lands_only_its_tables(spark):
+    import os
+    import tempfile
+
+    from ledgerline.sources.testbed import ERP_TABLES, ErpTables, LandedTables
+
+    root = tempfile.mkdtemp(prefix="ledgerline-t-")
+    t = LandedTables(spark, root, ErpTables(spark, SF_SMALL))
+    assert t.sales_invoice.count() > 0
+    assert [n for n in ERP_TABLES if os.path.isdir(f"{root}/{n}")] == ["sales_invoice"]
