@@ -28,7 +28,9 @@ from ledgerline.operators.calendar import calendar_of
 from ledgerline.operators.relational import exists_in, missing_from
 from ledgerline.plans import finance, models, purchase, sales
 from ledgerline.session import scratch_path
-from ledgerline.sources.extract import ParquetSource, extract_to_landing
+from ledgerline.sources.compaction import compact_landing, read_snapshot
+from ledgerline.sources.extract import (ParquetSource, extract_to_landing, landing_path,
+                                        write_parquet)
 from ledgerline.sources.testbed import ErpTables, landed_testbed
 from ledgerline.streaming.increments import (current_rows, pull_to_folder, stream_increments,
                                              with_modified)
@@ -87,9 +89,23 @@ def _cash_flow_args() -> dict:
 def _sales_invoice_load(s: SparkSession, d: str) -> DataFrame:
     """The loaded table read back; money shown as double like every report."""
     loaded = models.sales_invoice_load(_t(s, d).sales_invoice,
-                                       scratch_path(s, "sales_invoice_target"), AS_OF)
-    return loaded.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal")
-                           else F.col(c) for c, t in loaded.dtypes])
+                                       scratch_path(s, "sales_invoice_target"), AS_OF, "daily")
+    return _doubles(loaded)
+
+
+def _doubles(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c)
+                       for c, t in df.dtypes])
+
+
+def _invoice_load_twice(s: SparkSession, d: str) -> DataFrame:
+    """Two different loads of one day into one target, the second run twice."""
+    si, target = _t(s, d).sales_invoice, scratch_path(s, "sales_invoice_target")
+    submitted = F.col("docstatus") == 1
+    models.sales_invoice_load(si.where(submitted), target, AS_OF, "submitted")
+    for _ in range(2):
+        loaded = models.sales_invoice_load(si.where(~submitted), target, AS_OF, "drafts")
+    return _doubles(loaded)
 
 
 def _report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -131,8 +147,9 @@ def _report_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "total_revenue": lambda s, d: models.total_revenue(
             _raw(s, d, "orders"), "o_totalprice", scratch_path(s, "total_revenue")),
         "sales_invoice_load": _sales_invoice_load,
+        "invoice_load_twice": _invoice_load_twice,
         "count_by_key": lambda s, d: models.count_by_key(
-            _raw(s, d, "lineitem"), "l_suppkey", scratch_path(s, "books_counts"),
+            _raw(s, d, "lineitem"), "l_suppkey", scratch_path(s, "rows_per_key"),
             key_name="author_id"),
     }
 
@@ -169,29 +186,28 @@ def _extract(s: SparkSession, d: str, table: str, columns, where) -> DataFrame:
 
 
 def _load_ladder(s: SparkSession, d: str) -> DataFrame:
-    """Open order lines per truck-load value, for lines where a rule fires."""
+    """Open order lines per truck-load rule; 0 where no rule fires."""
     t = _t(s, d)
     remaining = F.col("qty") - F.col("delivered_qty")
     lines = t.sales_order_item.where(remaining > 0).join(
         t.sales_order.select(F.col("name").alias("__so"), "currency"),
         F.col("parent") == F.col("__so"))
     bags = load_ladder(remaining, "weight_per_unit", "currency")
-    fired = lines.where(load_rung(remaining, "weight_per_unit", "currency") > 0)
-    return (fired.groupBy(bags.alias("bags"))
-                 .agg(F.count(F.lit(1)).alias("n_lines"),
-                      F.sum(F.col("weight_per_unit") * bags).cast("double").alias("total_tonnes"))
-                 .select(F.col("bags").cast("double").alias("bags_to_deliver"),
-                         "n_lines", "total_tonnes"))
+    return lines.groupBy(load_rung(remaining, "weight_per_unit", "currency").alias("rung")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(bags).cast("double").alias("total_bags"),
+        F.sum(F.col("weight_per_unit") * bags).cast("double").alias("total_tonnes"))
 
 
 def _anti_counterparty(s: SparkSession, d: str) -> DataFrame:
+    """Paid amounts per counterparty that is no named supplier; summed first,
+    so a hot counterparty is one row where it is looked up."""
     t = _t(s, d)
     gl = t.gl_entry.where((F.col("is_cancelled") == 0) & (F.col("credit") > 0)
                           & F.col("against").isNotNull())
     gl = exists_in(gl, t.account.where(F.col("account_type").isin("Bank", "Cash")),
                    "account", "name")
-    gl = missing_from(gl, t.supplier, "against", "name", require="supplier_name")
-    return gl.groupBy("against").agg(F.sum("credit").cast("double").alias("amount"))
+    sums = gl.groupBy("against").agg(F.sum("credit").cast("double").alias("amount"))
+    return missing_from(sums, t.supplier, "against", "name", require="supplier_name")
 
 
 def _detail_with_total(s: SparkSession, d: str) -> DataFrame:
@@ -204,18 +220,56 @@ def _detail_with_total(s: SparkSession, d: str) -> DataFrame:
 
 def _incremental_merge(s: SparkSession, d: str) -> DataFrame:
     """Two overlapping high-water-mark pulls of ``orders`` streamed into an
-    append-only history; the latest version per key is read back."""
+    append-only history; the newest version per key is read back.
+
+    The first pull holds other prices: with the same ``modified`` as the
+    second (which wins as the newer pull) or with an earlier one."""
     cols = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]
     orders = with_modified(_raw(s, d, "orders").select(*cols), "o_orderdate")
     pulls, history = scratch_path(s, "pulls"), scratch_path(s, "history")
-    day = F.col("o_orderdate").cast("date")
-    pull_to_folder(orders.where(day < F.lit(dt.date(1998, 1, 1))), pulls, "1998-01-01")
+    day, kind = F.col("o_orderdate").cast("date"), F.col("o_orderkey") % 3
+    stale = orders.withColumns({
+        "o_totalprice": F.col("o_totalprice") + kind,
+        "modified": F.when(kind == 2, F.col("modified") - F.expr("INTERVAL 1 DAY"))
+        .otherwise(F.col("modified"))})
+    pull_to_folder(stale.where(day < F.lit(dt.date(1998, 1, 1))), pulls, "1998-01-01")
     pull_to_folder(orders.where(day >= F.lit(dt.date(1997, 6, 1))), pulls, "2001-08-02")
-    query = stream_increments(s, pulls, orders.schema, history, ["o_orderkey"])
+    query = stream_increments(s, pulls, orders.schema, history)
     query.awaitTermination()
     return current_rows(s, history, ["o_orderkey"]).select(*cols)
 
 
+def _compacted_snapshot(s: SparkSession, d: str) -> DataFrame:
+    """Three pulls of ``orders`` (dated, manual, dated) compacted in two runs:
+    ties and missing ``modified``, a manual run between dated pulls."""
+    orders, key = _raw(s, d, "orders"), F.col("o_orderkey")
+    landing, snapshot = scratch_path(s, "landing"), scratch_path(s, "snapshot")
+
+    def land(ds, plus: int, every: int, unstamped: int) -> None:
+        stamp = F.when(key % unstamped != 0, F.col("o_orderdate")).cast("timestamp_ntz")
+        pull = orders.where(key % every == 0).select(
+            key.alias("name"), (F.col("o_totalprice") + plus).alias("price"), stamp.alias("modified"))
+        write_parquet(pull, landing_path(landing, "tabOrder", ds))
+
+    land("2001-07-01", 0, 1, 7)
+    land(None, 5, 5, 7)
+    compact_landing(s, landing, snapshot, {"orders": "tabOrder"})
+    land("2001-07-31", 9, 4, 8)
+    compact_landing(s, landing, snapshot, {"orders": "tabOrder"})
+    return read_snapshot(s, snapshot, "orders")
+
+
+def _landing_report(s: SparkSession, d: str) -> DataFrame:
+    """Where three extracts were landed and the rows their writes counted."""
+    landing, source = scratch_path(s, "landing"), ParquetSource(d)
+    landed = [extract_to_landing(s, source, f"{table}.parquet", landing, ds=ds, where=where)
+              for table, ds, where in (("customer", None, None),
+                                       ("lineitem", "2001-07-15", F.col("l_quantity") > 25),
+                                       ("orders", "2001-07-15", F.col("o_orderkey") < 0))]
+    return s.createDataFrame([(path.removeprefix(landing + "/"), rows) for path, rows in landed],
+                             "landed_at string, n_rows long")
+
+
 def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "latest_per_key": _latest_per_key,
@@ -240,6 +294,8 @@ def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "anti_counterparty": _anti_counterparty,
         "detail_with_total": _detail_with_total,
         "incremental_merge": _incremental_merge,
+        "compacted_snapshot": _compacted_snapshot,
+        "landing_report": _landing_report,
     }
 
 
