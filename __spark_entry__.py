@@ -21,6 +21,7 @@ if _HERE not in sys.path:
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline import schemas
 from ledgerline.functions.columns import first_non_blank, load_ladder, load_rung, week_sunday
 from ledgerline.operators import quality
 from ledgerline.operators.aggregates import detail_and_total, latest_per_key
@@ -270,6 +271,26 @@ def _landing_report(s: SparkSession, d: str) -> DataFrame:
                              "landed_at string, n_rows long")
 
 
+def _star_schema_load(s: SparkSession, d: str) -> DataFrame:
+    """Order lines inserted into the catalogue's purchase table, with the
+    defaults of its columns."""
+    root = scratch_path(s, "star")
+    database = os.path.basename(root).replace("-", "_")
+    s.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
+    schemas.create_tables(s, root, database)
+    lines = _raw(s, d, "lineitem").join(
+        _raw(s, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").cast("int").alias("customer_id"),
+        F.col("l_partkey").cast("int").alias("product_sku"),
+        (F.col("l_orderkey") % 3).cast("int").alias("channel_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.when(F.col("l_discount") != 0, F.col("l_discount").cast("double")).alias("discount"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("order_date"))
+    stamped = schemas.with_defaults("purchase_history", lines, F.to_timestamp(F.lit(LOAD_TIME)))
+    stamped.select(*schemas.PURCHASE_HISTORY.names).write.insertInto(f"{database}.purchase_history")
+    return s.table(f"{database}.purchase_history").drop("created_at", "updated_at")
+
+
 def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "latest_per_key": _latest_per_key,
@@ -296,6 +317,7 @@ def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_merge": _incremental_merge,
         "compacted_snapshot": _compacted_snapshot,
         "landing_report": _landing_report,
+        "star_schema_load": _star_schema_load,
     }
 
 

@@ -79,14 +79,16 @@ AUDIT_COLUMNS = {name: ["created_at", "updated_at"] for name in TABLES}
 AUDIT_COLUMNS["visit_history"] = ["visit_timestamp", "created_at", "updated_at"]
 
 
-def create_tables(spark: SparkSession, location: str) -> list[str]:
-    """``CREATE TABLE IF NOT EXISTS ... USING parquet LOCATION`` for all five."""
+def create_tables(spark: SparkSession, location: str, database: str | None = None) -> list[str]:
+    """``CREATE TABLE IF NOT EXISTS ... USING parquet LOCATION`` for all five,
+    in ``database`` or the current one."""
+    qualified = f"`{database}`." if database else ""
     created = []
     for name, schema in TABLES.items():
         cols = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}"
             for f in schema.fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {qualified}{name} ({cols}) USING parquet "
                   f"LOCATION '{location.rstrip('/')}/{name}'")
         created.append(name)
     return created

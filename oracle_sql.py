@@ -548,6 +548,12 @@ UNION ALL SELECT 'lineitem.parquet/ds=2001-07-15', (SELECT count(*) FROM lineite
 UNION ALL SELECT 'orders.parquet/ds=2001-07-15', (SELECT count(*) FROM orders WHERE o_orderkey < 0)
 """
 
+STAR_SCHEMA_LOAD = """
+SELECT o_custkey::INT AS customer_id, l_partkey::INT AS product_sku, (l_orderkey % 3)::INT AS channel_id,
+  l_quantity::INT AS quantity, l_discount::DOUBLE AS discount, o_orderdate::TIMESTAMP AS order_date
+FROM lineitem, orders WHERE l_orderkey = o_orderkey
+"""
+
 CALENDAR = """
 SELECT DISTINCT unnest(range(date_trunc('month', posting_date)::DATE, last_day(posting_date) + 1,
                              INTERVAL 1 DAY))::DATE AS posting_date
@@ -640,6 +646,7 @@ _BODIES = {
     "incremental_extract": INCREMENTAL_EXTRACT,
     "column_pruned_extract": COLUMN_PRUNED_EXTRACT,
     "landing_report": LANDING_REPORT,
+    "star_schema_load": STAR_SCHEMA_LOAD,
     "calendar": CALENDAR,
     "week_number": WEEK_NUMBER,
     "first_non_blank": FIRST_NON_BLANK,
