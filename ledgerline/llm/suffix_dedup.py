@@ -11,7 +11,8 @@ gram at the same place, so every repeated string is seen from a suffix that
 starts inside it at a gram that is repeated too.
 
 1. Minimizers of all documents are shuffled by gram hash; grams that occur
-   once are dropped.
+   once are dropped. What a task sees repeated in its own texts it knows to be
+   repeated, and sends only one row of it to the others.
 2. Each repeated one is given its context: the bytes from which any string
    around the gram can be read (``SPAN - GRAM`` before it, ``SPAN`` from it).
    Tasks combine before they ship: of equal contexts in one task only the
@@ -88,23 +89,36 @@ def minimizers(data: np.ndarray, offsets: np.ndarray, span: int = SPAN, gram: in
 
 
 def _gram_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow task: doc_id, text -> (gram hash, doc_id, place) of minimizers."""
+    """Arrow task: doc_id, text -> (route, doc_id, place) of minimizers.
+
+    A gram that occurs once among the texts at hand is routed by its hash. One
+    that occurs more often is known to be repeated: its places need no meeting
+    and are routed anywhere (``known``), and one row without a place goes where
+    its hash leads, so a very common gram sends one row per run of texts."""
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for row, _, data, offsets in text_chunks(batch.column(1)):
             at, hashes = minimizers(data, offsets)
             doc = np.searchsorted(offsets, at, "right") - 1
+            grams, which, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+            known = counts[which] > 1
+            route = np.where(known, mix(hashes ^ (at + 1).astype(np.uint64)), hashes)
+            marks = grams[counts > 1]
+            n = len(marks)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes.view(np.int64)), pa.array(ids[row + doc]),
-                 pa.array((at - offsets[doc]).astype(np.int32))], names=["gram", "doc_id", "place"])
+                [pa.array(np.concatenate([route, marks]).view(np.int64)),
+                 pa.array(np.concatenate([ids[row + doc], np.zeros(n, np.int64)])),
+                 pa.array(np.concatenate([(at - offsets[doc]), np.full(n, -1)]).astype(np.int32)),
+                 pa.array(np.concatenate([known, np.zeros(n, bool)]))],
+                names=["route", "doc_id", "place", "known"])
 
 
 def repeated_grams(texts: DataFrame) -> DataFrame:
     """(doc_id, places) of minimizers whose gram occurs more than once."""
-    rows = texts.mapInArrow(_gram_task, "gram long, doc_id long, place int")
-    counted = rows.select("*", F.count(F.lit(1)).over(Window.partitionBy("gram")).alias("n"))
-    return stored(counted.where(F.col("n") > 1).groupBy("doc_id").agg(
-        F.collect_set("place").alias("places")), "suffix-grams")
+    rows = texts.mapInArrow(_gram_task, "route long, doc_id long, place int, known boolean")
+    counted = rows.select("*", F.count(F.lit(1)).over(Window.partitionBy("route")).alias("n"))
+    return stored(counted.where((F.col("known") | (F.col("n") > 1)) & (F.col("place") >= 0))
+                  .groupBy("doc_id").agg(F.collect_set("place").alias("places")), "suffix-grams")
 
 
 def _context_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
