@@ -71,10 +71,18 @@ def weekly_sales(sales_invoice: DataFrame, where: Column | None = None,
 # RPT-9: customer contribution
 # ---------------------------------------------------------------------------
 
-def customer_contribution(sales_invoice: DataFrame, start: DateLike, end: DateLike) -> DataFrame:
+def _not_opening(literal: bool) -> Column:
+    """The source compares the text flag with 0, read here as "not an opening
+    entry". The database turns a text without digits into 0 first, so that
+    there the comparison holds for every flag: ``literal`` reads it that way."""
+    return F.col("is_opening").isNotNull() if literal else F.col("is_opening") == C.NOT_OPENING
+
+
+def customer_contribution(sales_invoice: DataFrame, start: DateLike, end: DateLike,
+                          literal_opening: bool = False) -> DataFrame:
     """RPT-9: sales per customer and its share of all sales in the period."""
     si = _submitted(sales_invoice,
-                    (F.col("is_opening") == C.NOT_OPENING)
+                    _not_opening(literal_opening)
                     & ~F.col("status").isin(*C.INVOICE_STATUS_RETURN)
                     & posting_between(start, end))
     per_customer = (si.groupBy("customer", "customer_name")
@@ -94,14 +102,14 @@ def customer_contribution(sales_invoice: DataFrame, start: DateLike, end: DateLi
 
 def item_sales_report(t, start: DateLike | None = None, end: DateLike | None = None,
                       customers: Sequence[str] | None = None,
-                      dedupe_team: bool = False) -> DataFrame:
+                      dedupe_team: bool = False, literal_opening: bool = False) -> DataFrame:
     """RPT-11: one row per invoice line (and sales person), with tax.
 
     A customer with several sales-team rows repeats its lines, as in the
     source; ``dedupe_team=True`` keeps one row per sales person instead of
     per team row.
     """
-    cond = (F.col("is_opening") == C.NOT_OPENING)
+    cond = _not_opening(literal_opening)
     period = posting_between(start, end)
     if period is not None:
         cond = cond & period

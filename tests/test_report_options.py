@@ -79,3 +79,14 @@ def test_load_rung_numbers_rules(spark):
                    F.col("w").cast("decimal(9,3)").alias("w"), "cur")
     got = [r[0] for r in df.select(X.load_rung("q", "w", "cur")).collect()]
     assert got == [2, 3, 4, 5, 0]
+
+
+def test_literal_opening_flag_keeps_opening_entries(t):
+    rows = t.sales_invoice.where((F.col("docstatus") == 1) & (F.col("posting_date") >= E.ITEMS_FROM))
+    assert rows.where("is_opening = 'Yes'").count() > 0
+    invoices = lambda df: df.select("sales_invoice_id").distinct().count()
+    with_lines = rows.join(t.sales_invoice_item, rows["name"] == F.col("parent"), "left_semi")
+    assert invoices(sales.item_sales_report(t, start=E.ITEMS_FROM)) == with_lines.where(
+        "is_opening = 'No'").count()
+    assert invoices(sales.item_sales_report(t, start=E.ITEMS_FROM, literal_opening=True)
+                    ) == with_lines.count()
