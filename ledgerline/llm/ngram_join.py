@@ -6,14 +6,15 @@ sets share at most the sum of the coordinate minima, so a pair whose sum is
 too small for the similarity is dropped without looking at the sets. Points
 that may be near each other meet in cells, and every cell holds an R-tree over
 its points: leaves of similar points with the largest count per group, leaf
-against leaf first, then point against point. Surviving pairs are verified on
-the full sets.
+against leaf first, then point against point. Surviving pairs are bounded once
+more in 65,536 groups where most of them are no links, and verified on the full
+sets.
 
 Cells come from a prefix filter, without which each point would meet each
 other one: in one global order of shingles (rare first, by a sketch of fixed
 size counted over all documents) two similar sets must share one of the first
-quarter of their shingles, for the smaller set one of the first seventh. The
-order decides the work only, never the result.
+quarter of their shingles, which for the smaller set is one of the first
+seventh. The order decides the work only, never the result.
 
 Documents with equal sets are one point. Clusters are joined in two rounds:
 first every point is verified against the smallest point it shares most cells
@@ -37,12 +38,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .tables import stored
+from .tables import small_side, stored
 from .textbytes import (BLANK_WORD, LOWERED, mix, prefix_hash, shingle_hash, span_hash,
                         summed_blocks, text_chunks, words_of)
 
 K = 5
-GROUPS = 64
+GROUPS = 256
 LEAF = 32
 TILE = 512
 SKETCH = 1 << 18
@@ -105,7 +106,7 @@ def _pointer(sketch, k: int):
                                      .sum(dtype=np.uint64).view(np.int64)))
                 out["point"].append(np.bincount(
                     (hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-                    .astype(np.int32).tobytes())
+                    .astype(np.int32))
                 order = np.lexsort((hashes, seen[_slot(hashes)]))
                 # probe prefix n - ceil(t n) + 1, index prefix n - ceil(2t/(1+t) n) + 1
                 probe = n - -(-NUMERATOR * n // DENOMINATOR) + 1 if n else 0
@@ -114,7 +115,7 @@ def _pointer(sketch, k: int):
                 out["own"].append(own)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(out["n"], pa.int32()), pa.array(out["d1"], pa.int64()),
-                 pa.array(out["d2"], pa.int64()), pa.array(out["point"], pa.binary()),
+                 pa.array(out["d2"], pa.int64()), pa.array(out["point"], pa.list_(pa.int32())),
                  pa.array(out["prefix"], pa.list_(pa.int64())), pa.array(out["own"], pa.int32())],
                 names=["doc_id", "n", "d1", "d2", "point", "prefix", "own"])
     return points
@@ -126,8 +127,8 @@ def document_points(documents: DataFrame, key: str = "doc_id", text: str = "text
     rows = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketch = documents.sparkSession.sparkContext.broadcast(shingle_sketch(rows.select("text"), k))
     return stored(rows.mapInArrow(
-        _pointer(sketch, k), "doc_id long, n int, d1 long, d2 long, point binary, "
-                             "prefix array<long>, own int"), "join-points")
+        _pointer(sketch, k), "doc_id long, n int, d1 long, d2 long, "
+                             "point array<int>, prefix array<long>, own int"), "join-points")
 
 
 class RTree:
@@ -148,14 +149,14 @@ class RTree:
     def pairs(self, other: RTree, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Indices of points whose summed minima allow the similarity."""
         for i, a in enumerate(self.leaves):
-            bound = np.minimum(self.top[i], other.top).sum(axis=1)
+            bound = np.minimum(self.top[i], other.top).sum(axis=1, dtype=np.int64)
             reach = 7 * bound >= 3 * (self.smallest[i] + other.smallest)
             for j in np.flatnonzero(reach):
                 if same and j < i:
                     continue
                 b = other.leaves[j]
                 shared = np.minimum(self.points[a][:, None, :], other.points[b][None, :, :]
-                                    ).sum(axis=2)
+                                    ).sum(axis=2, dtype=np.int64)
                 near = 7 * shared >= 3 * (self.sizes[a][:, None] + other.sizes[b][None, :])
                 if same and i == j:
                     near = np.triu(near, 1)
@@ -164,55 +165,83 @@ class RTree:
                     yield a[x], b[y]
 
 
+def _near(points: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a cell of one leaf whose summed minima allow the similarity."""
+    shared = np.minimum(points[:, None, :], points[None, :, :]).sum(axis=2, dtype=np.int64)
+    return np.nonzero(np.triu(7 * shared >= 3 * (sizes[:, None] + sizes[None, :]), 1))
+
+
 def _cell_pairs(cell: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Node pairs of one tile that may be similar and are not yet joined."""
-    sides = [np.flatnonzero(cell["side"] == s) for s in (0, 1)]
-    within = not len(sides[1])
-    trees = [RTree(cell["point"][s], cell["n"][s]) for s in sides if len(s)]
-    if not trees or not within and len(trees) < 2:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    left, right = [], []
-    for x, y in trees[0].pairs(trees[0] if within else trees[1], within):
-        x, y = sides[0][x], sides[0 if within else 1][y]
-        n, own = cell["n"], cell["own"]
-        # the smaller set must hold the cell's shingle in its index prefix
-        ok = np.where(n[x] < n[y], own[x], np.where(n[x] > n[y], own[y], own[x] | own[y]))
-        ok &= cell["label"][x] != cell["label"][y]
-        left.append(cell["node"][x[ok]])
-        right.append(cell["node"][y[ok]])
+    node, size, label = cell["node"], cell["n"], cell["label"]
+    right = cell["side"] == 1
+    left, found = [], []
+    if not right.any():
+        if len(node) <= LEAF:
+            hits = [_near(cell["point"], size)]
+        else:
+            tree = RTree(cell["point"], size)
+            hits = tree.pairs(tree, True)
+        sides = (np.arange(len(node)),) * 2
+    else:
+        sides = np.flatnonzero(~right), np.flatnonzero(right)
+        hits = RTree(cell["point"][sides[0]], size[sides[0]]).pairs(
+            RTree(cell["point"][sides[1]], size[sides[1]]), False) if len(sides[0]) else ()
+    for x, y in hits:
+        x, y = sides[0][x], sides[1][y]
+        apart = label[x] != label[y]
+        left.append(node[x[apart]])
+        found.append(node[y[apart]])
     if not left:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    a, b = np.concatenate(left), np.concatenate(right)
+    a, b = np.concatenate(left), np.concatenate(found)
     return np.minimum(a, b), np.maximum(a, b)
 
 
+CELL = ("x1", "x2", "i", "j")
+
+
 def _tile_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow task over rows sorted by tile: holds one tile at a time."""
-    def solved(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(parts)
-        cell = {c: t[c].to_numpy() for c in ("side", "node", "n", "own", "label")}
-        cell["n"] = cell["n"].astype(np.int64)
-        cell["point"] = np.frombuffer(b"".join(t["point"].to_pylist()), np.int32).reshape(-1, GROUPS)
-        a, b = _cell_pairs(cell)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    held: list[pa.RecordBatch] = []
-    last = None
+    """Arrow task over rows sorted by tile: holds a batch and one tile."""
+    names = (*CELL, "side", "node", "n", "label")
+    held: dict[str, np.ndarray] = {}
+
+    def solved(rows: dict[str, np.ndarray], bounds: list[int]) -> pa.RecordBatch:
+        pairs = [_cell_pairs({c: v[s:e] for c, v in rows.items()})
+                 for s, e in zip(bounds[:-1], bounds[1:])]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([p[k] for p in pairs])) for k in (0, 1)], names=["a", "b"])
+
     for batch in batches:
-        keys = np.stack([batch.column(c).to_numpy() for c in ("token", "i", "j")], axis=1)
-        if not len(keys):
+        if not batch.num_rows:
             continue
-        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-        bounds = [0, *cuts.tolist(), len(keys)]
-        for s, e in zip(bounds[:-1], bounds[1:]):
-            tile = tuple(keys[s].tolist())
-            if held and tile != last:
-                yield solved(held)
-                held = []
-            held.append(batch.slice(s, e - s))
-            last = tile
+        rows = {c: batch.column(c).to_numpy() for c in names}
+        rows["n"] = rows["n"].astype(np.int64)
+        rows["point"] = batch.column("point").flatten().to_numpy().reshape(-1, GROUPS)
+        if held:
+            rows = {c: np.concatenate([held[c], v]) for c, v in rows.items()}
+        new = np.zeros(len(rows["node"]) - 1, bool)
+        for c in CELL:
+            new |= rows[c][1:] != rows[c][:-1]
+        bounds = [0, *(np.flatnonzero(new) + 1).tolist()]
+        if len(bounds) > 1:
+            yield solved(rows, bounds)
+        held = {c: v[bounds[-1]:] for c, v in rows.items()}
     if held:
-        yield solved(held)
+        yield solved(held, [0, len(held["node"])])
+
+
+def _fine_bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose sets, in 65,536 groups, allow the similarity.
+
+    ``fine`` holds the groups of a set, each once; what two sets share is at
+    most the groups they share plus the shingles that fell on a taken group."""
+    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("fine").alias("fa"))
+    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("fine").alias("fb"))
+    doubled = F.least(F.col("na") - F.size("fa"), F.col("nb") - F.size("fb"))
+    return pairs.join(left, "a").join(right, "b").where(
+        7 * (F.size(F.array_intersect("fa", "fb")) + doubled) >= 3 * (F.col("na") + F.col("nb"))
+    ).select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -226,14 +255,30 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _setter(k: int):
+    """Arrow task: node, text -> the set, its size and its 16-bit groups."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [h.view(np.int64) for _, h in shingle_sets(batch.column(1), k)]
+            held = [h for _, h in shingle_sets(batch.column(1), k)]
+            fine = [np.unique((h >> np.uint64(48)).astype(np.uint16)).view(np.int16) for h in held]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(held, pa.list_(pa.int64()))], names=["node", "set"])
+                [batch.column(0), pa.array([len(h) for h in held], pa.int32()),
+                 pa.array(fine, pa.list_(pa.int16())),
+                 pa.array([h.view(np.int64) for h in held], pa.list_(pa.int64()))],
+                names=["node", "n", "fine", "set"])
     return sets
 
 
+def _bounded(pairs: DataFrame, coords: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose summed minima allow the similarity."""
+    left = coords.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
+    right = coords.select(F.col("node").alias("b"), F.col("n").alias("nb"),
+                          F.col("point").alias("pb"))
+    shared = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0),
+                         lambda s, x: s + x)
+    return pairs.join(left, "a").join(right, "b").where(
+        7 * shared >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
 def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "text",
                       k: int = K) -> tuple[DataFrame, DataFrame]:
     """(members, links): set size and representative of every document, and
@@ -243,51 +288,62 @@ def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "te
         F.min("doc_id").alias("node")), "join-classes")
     members = points.select("doc_id", "n", "d1", "d2").join(
         classes, ["n", "d1", "d2"], "left").select("doc_id", "n", "node")
+    texts = documents.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
 
-    # One row per set and prefix shingle; cells of one set have no pair.
+    def verified(pairs: DataFrame, name: str, mostly_links: bool) -> DataFrame:
+        nodes = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(),
+                       f"{name}-nodes")
+        sets = stored(texts.join(small_side(nodes), "node", "left_semi").mapInArrow(
+            _setter(k), "node long, n int, fine array<smallint>, set array<long>"), f"{name}-sets")
+        if not mostly_links:
+            pairs = stored(_fine_bounded(pairs, sets), f"{name}-near")
+        return stored(_verified(pairs, sets), name)
+
+    # One row per set and prefix shingle; a cell is worth something when it
+    # holds two sets, one of them by its index prefix.
     reps = points.join(classes.select(F.col("node").alias("doc_id"), "n", "d1", "d2"),
                        ["doc_id", "n", "d1", "d2"])
     rows = reps.select(F.col("doc_id").alias("node"), "n", "own",
                        F.posexplode("prefix").alias("at", "token")).select(
         "token", "node", "n", (F.col("at") < F.col("own")).alias("own"))
     cell = Window.partitionBy("token")
-    shared = stored(rows.select("*", F.count(F.lit(1)).over(cell).alias("c"),
-                                F.min("node").over(cell).alias("hub")).where(F.col("c") > 1),
-                    "join-cells")
-
-    candidates = shared.select("node").distinct()
-    texts = documents.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
-    sets = stored(texts.join(candidates, "node", "left_semi").mapInArrow(
-        _setter(k), "node long, set array<long>"), "join-sets")
+    shared = stored(rows.select(
+        "token", "node", "n", F.count(F.lit(1)).over(cell).alias("c"),
+        F.max("own").over(cell).alias("own"), F.min("node").over(cell).alias("hub")).where(
+        (F.col("c") > 1) & F.col("own")).select("token", "node", "n", "hub"), "join-cells")
+    coords = stored(reps.select(F.col("doc_id").alias("node"), "n", "point").join(
+        shared.select("node").distinct(), "node", "left_semi"), "join-coords")
 
     # Round 1: each point against the hub it shares most cells with.
-    hubs = (shared.where(F.col("hub") != F.col("node")).groupBy("node", "hub").count()
-            .groupBy("node").agg(F.max(F.struct("count", -F.col("hub"))).alias("best"))
-            .select(F.col("node").alias("b"), (-F.col("best")["col2"]).alias("a")))
-    first = stored(_verified(hubs.select("a", "b"), sets), "join-links1")
+    hubs = (shared.where(F.col("hub") != F.col("node")).groupBy("node", "hub")
+            .agg(F.count(F.lit(1)).alias("cells")).groupBy("node")
+            .agg(F.max(F.struct(F.col("cells"), (-F.col("hub")).alias("minus"))).alias("best"))
+            .select((-F.col("best.minus")).alias("a"), F.col("node").alias("b")))
+    first = verified(stored(_bounded(hubs, coords), "join-hubs"), "join-links1", True)
     clusters = connected_components(first)
 
-    # Round 2: points of different clusters that share a cell.
+    # Round 2: points of different clusters that share a cell. Cells of the
+    # same points are one cell, known by two sums over its points.
     labelled = shared.join(clusters, "node", "left").select(
-        "token", "node", "n", "own", F.coalesce("label", "node").alias("label"))
-    mixed = labelled.select("*", F.min("label").over(cell).alias("low"),
-                            F.max("label").over(cell).alias("high"),
-                            F.count(F.lit(1)).over(cell).alias("c")).where(
-        F.col("low") < F.col("high"))
+        "token", "node", "n", F.coalesce("label", "node").alias("label"))
+    mixed = labelled.select(
+        "node", "n", "label", F.count(F.lit(1)).over(cell).alias("c"),
+        F.min("label").over(cell).alias("low"), F.max("label").over(cell).alias("high"),
+        F.bit_xor(F.xxhash64("node")).over(cell).alias("x1"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).over(cell).alias("x2")).where(
+        F.col("low") < F.col("high")).select("x1", "x2", "c", "node", "n", "label").distinct()
     tiles = F.ceil(F.col("c") / TILE).cast("int")
-    block = F.pmod(F.xxhash64("node"), tiles).cast("int")
-    placed = mixed.select("token", "node", "n", "own", "label", block.alias("block"),
+    block = F.pmod(F.xxhash64("node", F.lit(2)), tiles).cast("int")
+    placed = mixed.select("x1", "x2", "node", "label", block.alias("block"),
                           F.explode(F.sequence(F.lit(0), tiles - 1)).alias("other"))
-    placed = placed.select("token", F.least("block", "other").alias("i"),
+    placed = placed.select("x1", "x2", F.least("block", "other").alias("i"),
                            F.greatest("block", "other").alias("j"),
                            (F.col("block") > F.col("other")).cast("int").alias("side"),
-                           "node", "n", "own", "label")
-    coords = reps.select(F.col("doc_id").alias("node"), "point").distinct()
-    pairs = (placed.join(coords, "node")
-             .select("token", "i", "j", "side", "node", "n", "own", "label", "point")
-             .repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+                           "node", "label")
+    pairs = (placed.join(coords, "node").select(*CELL, "side", "node", "n", "label", "point")
+             .repartition(*CELL).sortWithinPartitions(*CELL)
              .mapInArrow(_tile_task, "a long, b long").distinct())
-    second = stored(_verified(stored(pairs, "join-pairs"), sets), "join-links2")
+    second = verified(stored(pairs, "join-pairs"), "join-links2", False)
     return members, first.unionByName(second)
 
 
@@ -307,4 +363,4 @@ def distinct_documents(documents: DataFrame, key: str = "doc_id", text: str = "t
     found = near_duplicates(documents, key, text, k)
     gone = stored(found.where(F.col("component_id") != F.col("doc_id"))
                   .select(F.col("doc_id").alias("__gone")).distinct(), "join-gone")
-    return documents.join(gone, documents[key] == gone["__gone"], "left_anti")
+    return documents.join(small_side(gone), F.col(key) == F.col("__gone"), "left_anti")

@@ -28,6 +28,12 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def small_side(frame: DataFrame) -> DataFrame:
+    """``frame``, a stored table, as a join side: counted, and broadcast up to
+    ``BROADCAST_ROWS`` rows; beyond that the join shuffles."""
+    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+
+
 def join_small(large: DataFrame, small: DataFrame, on: list[str], salt_by: str,
                how: str = "inner", rows: int | None = None) -> DataFrame:
     """Joins a table with one that is expected to be small.
