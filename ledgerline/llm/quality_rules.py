@@ -152,8 +152,10 @@ def estimate_rules(documents: DataFrame, rules: Sequence[Rule], text: str = "tex
                    key: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> dict[str, tuple]:
     """(cost, selectivity) of each rule on the ``sample_rows`` documents with
     the smallest key hash; one row comes back to the driver."""
-    sample = (documents.select(F.col(key).alias("k"), F.col(text).alias("t"))
-              .orderBy(F.xxhash64("k"), F.col("k")).limit(sample_rows))
+    place = F.xxhash64(F.col(key))
+    bound = (documents.select(place.alias("place")).orderBy("place").limit(sample_rows)
+             .agg(F.max("place")).scalar())
+    sample = documents.where(place <= bound).select(F.col(text).alias("t"))
     names = list(dict.fromkeys(x for r in rules for x in r.uses))
     measured = sample.select(F.length(F.coalesce("t", F.lit(""))).alias("chars"),
                              n_blank_words(F.col("t")).alias("words"),
