@@ -38,13 +38,26 @@ HIDDEN = frozenset(
     "textarea button datalist".split())
 # Elements of page furniture.
 FURNITURE = frozenset("nav footer aside form dialog menu".split())
-# Words of class, id and role that name page furniture.
+# Words of class, id and role that name page furniture wherever they stand.
 FURNITURE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo nav navbar "
-    "navigation menu breadcrumb breadcrumbs header footer sidebar aside cookie cookies consent gdpr "
-    "notice notices popup modal overlay newsletter subscribe subscription comment comments "
-    "discussion disqus respond reply replies share sharing social related recommended widget "
-    "complementary contentinfo search pagination pager login signup".split())
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo nav navbar navigation "
+    "menu breadcrumb breadcrumbs footer sidebar aside cookie cookies gdpr popup newsletter comments "
+    "disqus complementary contentinfo pagination pager login signup".split())
+# Words that name furniture or a topic of the text.
+DOUBTFUL_WORDS = frozenset(
+    "banner header consent notice notices modal overlay subscribe subscription comment discussion "
+    "respond reply replies share sharing social related recommended widget search".split())
+# The ones that are content when they stand alone inside an article.
+TOPICS = frozenset("banner header notice notices discussion respond search consent related".split())
+# Words that make a doubtful one the name of a part of the page.
+WIDGETS = frozenset(
+    "bar box button buttons form icon icons link links list posts post articles stories thread count "
+    "counter panel popup tools".split())
+# Words that change nothing about a name.
+PLACES = frozenset(
+    "site page main top bottom left right global primary secondary mobile area section wrapper wrap "
+    "container block inner outer entry article item items holder".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words that turn such a name into one of the content's own.
 NOT_FURNITURE = frozenset("with has no content".split())
 # Elements that start and end a line.
@@ -59,24 +72,54 @@ ARTICLE = frozenset(("article", "main"))
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)"
                     r"(?:>|\Z)", re.S)
-_NAMES = re.compile(r"(?:\s|^)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?",
-                    re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?"
+                        r"|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)")
 _RAW_END = {t: re.compile(rf"</{t}\s*[^>]*(?:>|\Z)", re.I) for t in RAW}
 _SPACE = re.compile(r"\s+")
 
 
+def _attributes(text: str) -> Iterator[tuple[str, str]]:
+    """Names, in lower case, with their values; a name without one has ''."""
+    for m in _ATTRIBUTE.finditer(text):
+        if m[1]:
+            value = m[2] or ""
+            yield m[1].lower(), value.strip(value[:1]) if value[:1] in ("'", '"') else value
+
+
+def _names_furniture(name: str, token: str, tag: str, in_article: bool) -> bool:
+    """Whether a class, an id or a role names furniture. Outside an article
+    any sure word does; inside one, and for doubtful words, the whole token
+    has to be such a name, for an id may be the slug of a heading."""
+    words = set(re.split(r"[^a-z0-9]+", token)) - {""}
+    if words & NOT_FURNITURE or name == "id" and tag in HEADINGS:
+        return False
+    sure, doubtful = words & FURNITURE_WORDS, words & DOUBTFUL_WORDS
+    if sure and not in_article:
+        return True
+    rest = {w for w in words - sure - doubtful if not w.isdigit()}
+    if not (sure or doubtful) or rest - WIDGETS - PLACES:
+        return False
+    if sure or rest & WIDGETS or len(doubtful) > 1:
+        return True
+    if name == "role":
+        return not (in_article and doubtful == {"header"})
+    if in_article:
+        return name == "class" and not doubtful & TOPICS
+    return name == "class" or tag != "section"
+
+
 def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in FURNITURE or (tag == "header" and not in_article):
         return True
-    if tag in ("html", "body") or "=" not in attributes and "hidden" not in attributes:
+    if tag in ("html", "body") or "=" not in attributes and "hidden" not in attributes.lower():
         return False
-    for m in _NAMES.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true":
+    for name, value in _attributes(attributes):
+        value = value.lower()
+        if name == "hidden" or name == "aria-hidden" and value.strip() == "true":
+            return True
+        if name in ("class", "id", "role") and tag not in ARTICLE and any(
+                _names_furniture(name, x, tag, in_article) for x in value.split()):
             return True
-        words = set(re.split(r"[^a-z0-9]+", value))
-        if name in ("class", "id", "role") and words & FURNITURE_WORDS and not words & NOT_FURNITURE:
-            return tag not in ARTICLE and not (in_article and words & FURNITURE_WORDS == {"header"})
     return False
 
 

@@ -455,6 +455,34 @@ def test_html_without_article():
         ["Head", LONG.strip(), LONG.strip(), "Short."])
 
 
+@pytest.mark.parametrize("opening", [
+    '<div style="overflow: hidden">', '<div title="the hidden gem">', "<div data-x='a hidden b'>",
+    '<section id="discussion">', '<section id="related-work">', '<section id="share-of-renewables">',
+    '<div class="notice">', '<div class="search-results">', '<div id="comment-on-the-method">'])
+@pytest.mark.parametrize("page", [f"<article><h1>Head</h1>%s<p>{LONG}</p></article>",
+                                  f"<div><h1>Head</h1><p>{LONG}</p>%s<p>{LONG}</p></div>"])
+def test_html_names_that_are_not_furniture(page, opening):
+    if page.startswith("<div") and "notice" in opening:
+        return      # a notice outside an article is furniture
+    text = html_blocks.main_text(page % opening)
+    assert text.splitlines() == ["Head"] + [LONG.strip()] * page.count(LONG)
+
+
+@pytest.mark.parametrize("heading", ['<h2 id="share-of-renewables">', '<h2 id="comments">'])
+def test_html_heading_slugs(heading):
+    assert html_blocks.main_text(f"<article>{heading}Title</h2><p>{LONG}</p></article>") \
+        == f"Title\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("opening", [
+    '<div hidden>', '<div class=x HIDDEN>', '<div hidden="until-found">', '<div aria-hidden="true">',
+    '<div class="x related-posts">', '<div class="share-buttons">', '<div id="comments">',
+    '<div class="sidebar">', '<div role="navigation">', '<div class="comment-list">'])
+def test_html_furniture_inside_article(opening):
+    assert html_blocks.main_text(f"<article><p>{LONG}</p>{opening}<p>{LONG}</p></div></article>") \
+        == LONG.strip()
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "<!--", "<script>", "&amp", "<a b='",
                                   "</p></p>", "<title>x", "<nav><p>only menu"])
 def test_html_without_text(page):
