@@ -1,19 +1,23 @@
 """HTML extraction by line-block distribution.
 
 Markup is stripped to one line per block; a line's weight is the length of its
-text, nothing for links lists and for blocks of page furniture (navigation,
-headers, footers, sidebars, notices, adverts, forms, comments). Weights are
-summed over windows of ``WINDOW`` consecutive lines. A surge point is a line
-with text whose window sum reaches ``SURGE`` while text goes on in it; the
-segment runs to the dive point, where a window of lines holds no text. The
-lines with text between surge and dive are the main text. A page that marks its article
-(``article``, ``main``) has weight there only, and any text in it surges.
+text. Lines of page furniture (navigation, headers, footers, sidebars, notices,
+adverts, forms, comments) are taken out, so they end no segment; lists of links
+weigh nothing. Weights are summed over windows of ``WINDOW`` consecutive lines.
+A surge point is a line with weight whose window sum reaches the page's bound;
+the segment runs to the dive point, where a window of lines weighs nothing. The
+lines with weight between surge and dive are the main text.
+
+The bound is ``SURGE``, or ``SHARE`` of the page's heaviest window where that is
+less. Lines of an article (``article``, ``main``) have the bound as a bonus, so
+any text in one surges; windows end at its edges, and on such a page the text
+outside has to reach ``RIVAL`` of the heaviest window, and ``SURGE``.
 
 Pages are parsed in tasks over Arrow batches, one page at a time; nothing
 larger than a page is held.
 
-Defined cases: null and empty pages, and pages without text, give an empty
-text; long pages are read whole; unclosed and cut-off markup ends at the end
+Defined cases: null and empty pages, and pages without a letter or digit in
+their text, give an empty text; long pages are read whole; unclosed and cut-off markup ends at the end
 of the page; repeated rows are parsed one by one; an empty table gives an
 empty result; only the named columns are read, so other columns cannot clash.
 """
@@ -21,8 +25,10 @@ empty result; only the named columns are read, so other columns cannot clash.
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +36,8 @@ from pyspark.sql import functions as F
 
 WINDOW = 3
 SURGE = 80
+SHARE = 0.25    # of the heaviest window, the bound of a page of little text
+RIVAL = 0.5     # of the heaviest window, the bound outside an article
 
 # Elements whose content is never text of the page.
 RAW = ("script", "style")
@@ -68,6 +76,7 @@ BLOCKS = frozenset(
 # Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 ARTICLE = frozenset(("article", "main"))
+LISTS = frozenset("ul ol dl dir menu".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)"
@@ -76,6 +85,7 @@ _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|
                         r"|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)")
 _RAW_END = {t: re.compile(rf"</{t}\s*[^>]*(?:>|\Z)", re.I) for t in RAW}
 _SPACE = re.compile(r"\s+")
+_WORD = re.compile(r"[^\W_]")
 
 
 def _attributes(text: str) -> Iterator[tuple[str, str]]:
@@ -123,19 +133,20 @@ def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, characters inside links, furniture, inside an article) per line."""
-    lines: list[tuple[str, int, bool, bool]] = []
+def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
+    """(text, characters inside links, furniture, inside an article, inside a
+    list) per line."""
+    lines: list[tuple[str, int, bool, bool, bool]] = []
     buffer: list[str] = []
     linked = 0
     stack: list[tuple[str, bool, bool]] = []    # open elements: tag, furniture, hidden
-    furniture = hidden = articles = links = 0
+    furniture = hidden = articles = links = lists = 0
     at = 0
 
     def end_line() -> None:
         nonlocal buffer, linked
         text = _SPACE.sub(" ", html.unescape("".join(buffer))).strip()
-        lines.append((text, linked, furniture > 0, articles > 0))
+        lines.append((text, linked, furniture > 0, articles > 0, lists > 0))
         buffer, linked = [], 0
 
     def add(text: str) -> None:
@@ -146,11 +157,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
                 linked += len(text.strip())
 
     def close(entry: tuple[str, bool, bool]) -> None:
-        nonlocal furniture, hidden, articles, links
+        nonlocal furniture, hidden, articles, links, lists
         furniture -= entry[1]
         hidden -= entry[2]
         articles -= entry[0] in ARTICLE
         links -= entry[0] == "a"
+        lists -= entry[0] in LISTS
 
     for m in iter(lambda: _TOKEN.search(page, at), None):
         add(page[at:m.start()])
@@ -183,35 +195,38 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool]]:
             hidden += entry[2]
             articles += tag in ARTICLE
             links += tag == "a"
+            lists += tag in LISTS
     tail = page[at:]
     add(tail if not tail.startswith("<") else "")
     end_line()
     return lines
 
 
+def _segments(weights: list[int], bound: float, window: int) -> Iterator[int]:
+    """Places of the lines with weight between surge and dive points."""
+    on = False
+    for i, w in enumerate(weights):
+        total = sum(weights[i:i + window])
+        on = total > 0 if on else w > 0 and total >= bound
+        if on and w:
+            yield i
+
+
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """Text between the surge and dive points of the line weights."""
-    lines = lines_of(page or "")
-    marked = any(inside and text and not off for text, _, off, inside in lines)
-    weights = []
-    for text, linked, off, inside in lines:
-        if off or not text or (marked and not inside) or (not marked and 2 * linked > len(text)):
-            weights.append(0)
-        else:
-            weights.append(surge if marked else len(text))
-    # lines that hold nothing at all are layout, not distance
-    kept = [(w, text) for w, (text, _, off, _) in zip(weights, lines) if text or off]
-    n = len(kept)
-    sums = [sum(w for w, _ in kept[i:i + window]) for i in range(n)]
+    # lines that hold nothing at all are layout, furniture is no distance
+    lines = [(text, 0 if listed and not inside and 2 * linked > len(text) else len(text), inside)
+             for text, linked, off, inside, listed in lines_of(page or "") if text and not off]
+    if not any(w and _WORD.search(text) for text, w, _ in lines):
+        return ""
+    runs = [list(run) for _, run in groupby(lines, key=lambda x: x[2])]
+    peak = max(sum(w for _, w, _ in run[i:i + window]) for run in runs for i in range(len(run)))
+    marked = any(inside for _, _, inside in lines)
+    bound = max(surge, RIVAL * peak) if marked else min(surge, SHARE * peak)
     out: list[str] = []
-    on = False
-    for i, (w, text) in enumerate(kept):
-        if not on and w and sums[i] >= surge:
-            on = True
-        elif on and not sums[i]:
-            on = False
-        if on and w:
-            out.append(text)
+    for run in runs:
+        weights = [w + math.ceil(bound) * inside for _, w, inside in run]
+        out += [run[i][0] for i in _segments(weights, bound, window)]
     return "\n".join(out)
 
 

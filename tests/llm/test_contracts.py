@@ -483,6 +483,30 @@ def test_html_furniture_inside_article(opening):
         == LONG.strip()
 
 
+def test_html_line_lengths_decide():
+    main = html_blocks.main_text
+    para, close = LONG.strip(), "The end."
+    short = "A single paragraph of a page that holds sixty characters, ok."
+    assert main(f"<div><h1>T</h1><p>{short}</p></div>") == f"T\n{short}"
+    assert main(f"<p>{para}</p>" + '<div class="ad">Buy</div>' * 4 + f"<p>{close}</p>") \
+        == f"{para}\n{close}"
+    linked = '<p><a href="/x">A paragraph most of which is a link</a> and a rest</p>'
+    assert main(f"<div><p>{para}</p>{linked}<p>{close}</p></div>") == "\n".join(
+        [para, "A paragraph most of which is a link and a rest", close])
+    menu = "<ul>" + "".join(f'<li><a href="/{i}">Place {i}</a></li>' for i in range(9)) + "</ul>"
+    assert main(f"{menu}<p>{para}</p>{menu}") == para
+
+
+def test_html_article_is_a_bonus():
+    main, para = html_blocks.main_text, LONG.strip()
+    body = "".join(f"<p>{LONG * 3}</p>" for _ in range(4))
+    teaser = "<article><p>A short teaser</p></article>"
+    assert main(f"<div>{body}</div>{teaser}") == "\n".join([(LONG * 3).strip()] * 4
+                                                           + ["A short teaser"])
+    assert main(f"<div>Skip</div><article><p>Be.</p>{body}</article><p>{para}</p>") == "\n".join(
+        ["Be."] + [(LONG * 3).strip()] * 4)
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "<", "<p", "<!--", "<script>", "&amp", "<a b='",
                                   "</p></p>", "<title>x", "<nav><p>only menu"])
 def test_html_without_text(page):
