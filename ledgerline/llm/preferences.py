@@ -20,11 +20,15 @@ columns cannot clash.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import stored
+
 LEARNED_ROLE = "assistant"
-PAIR_BLOCK = 1000
 
 
 def rendered(role: Column, text: Column) -> Column:
@@ -42,32 +46,85 @@ def ordered_turns(turns: DataFrame, conversation: str = "conv_id", turn: str = "
     return rows.select("conv_id", (F.row_number().over(order) - 1).alias("place"), "role", "text")
 
 
-def neighbour_pairs(turns: DataFrame, block: int = PAIR_BLOCK) -> DataFrame:
+def _ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of one sorted range: ``at`` counts its rows, ``run`` its different values
+    of ``same`` and ``rank`` the rows of each, all but ``rank`` from 0."""
+    at, run, rank, last = -1, -1, 0, None
+    for batch in batches:
+        out: list[tuple[int, int, int]] = []
+        for value in batch.column("same").to_pylist():
+            at += 1
+            run, rank = (run, rank + 1) if run >= 0 and value == last else (run + 1, 1)
+            last = value
+            out.append((at, run, rank))
+        columns = [pa.array([x[i] for x in out], pa.int64()) for i in range(3)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *columns],
+                                         names=[*batch.schema.names, "at", "run", "rank"])
+
+
+def _two_by_two(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """(n, two): ``rows`` (conv_id, learned, same and what ``order`` names) in
+    order, those of equal ``same`` taken two by two; ``two`` holds one row where
+    their number is odd. Equal values of ``same`` have to be neighbours.
+
+    Rows are sorted in ranges, and the driver gets a few values of each range
+    to carry counts over its edge, so no task gets more than a range however
+    many rows are alike."""
+    spark = rows.sparkSession
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        F.spark_partition_id().cast("long").alias("part"), "conv_id", "learned", "same")
+    kind = dict(rows.dtypes)["conv_id"]
+    seen = stored(ranges.mapInArrow(
+        _ranks, f"part long, conv_id {kind}, learned long, same string, at long, run long, rank long"),
+        name)
+    edges, before, open_rank, open_same = [], 0, 0, None
+    for r in seen.groupBy("part").agg(
+            F.count(F.lit(1)).alias("rows"), F.max("run").alias("runs"),
+            F.min_by("same", "at").alias("first"), F.max_by("same", "at").alias("last"),
+            F.max_by("rank", "at").alias("rank")).orderBy("part").collect():
+        carried = open_rank if before and r["first"] == open_same else 0
+        edges.append((r["part"], before, carried))
+        before += r["rows"]
+        open_rank, open_same = r["rank"] + (0 if r["runs"] else carried), r["last"]
+    rank = F.col("rank") + F.when(F.col("run") == 0, F.col("carried")).otherwise(F.lit(0))
+    numbered = seen.join(F.broadcast(spark.createDataFrame(
+        edges, "part long, before long, carried long")), "part").select(
+        (F.col("before") + F.col("at")).alias("n"), rank.alias("rank"), "conv_id", "learned")
+    return stored(numbered.groupBy((F.col("n") - F.pmod(F.col("rank") - 1, F.lit(2))).alias("n"))
+                  .agg(F.sort_array(F.collect_list(F.struct(
+                      F.col("n").alias("n"), "conv_id", "learned"))).alias("two")), name)
+
+
+def neighbour_pairs(turns: DataFrame) -> DataFrame:
     """(pair_id, chosen_id, rejected_id) from ordered turns of a table that
-    names no pairs: conversations are put in order of their opening turn, so
-    those that begin alike are neighbours, and taken two by two.
+    names no pairs: conversations of the same opening turn, whatever their
+    ids, are taken two by two, in order of their ids. The ones left, at most
+    one of an opening, are taken two by two in order of their openings, so at
+    most one conversation of the table stays alone.
 
-    Only conversations of one ``block`` of consecutive ids meet, so neither
-    the order nor an opening that very many share makes one large group; the
-    last of an odd block stays alone. Chosen is the one with more assistant
-    text, the first in order if equal. A null id is in no pair.
+    Chosen is the one with more assistant text, the first in order if equal.
+    A null id is in no pair.
     """
     learned = F.when(F.col("role") == LEARNED_ROLE, F.length("text")).otherwise(F.lit(0))
     opens = F.col("place") == 0
     talks = turns.where(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(
         F.min(F.when(opens, F.col("role"))).alias("opening_role"),
         F.min(F.when(opens, F.col("text"))).alias("opening"), F.sum(learned).alias("learned"))
-    group = Window.partitionBy(F.floor(F.col("conv_id") / block)).orderBy(
-        "opening_role", "opening", "conv_id")
-    seen = talks.select(
-        "conv_id", "learned", F.row_number().over(group).alias("n"),
-        F.lead("conv_id").over(group).alias("other"),
-        F.lead("learned").over(group).alias("other_learned"))
-    first = F.col("learned") >= F.col("other_learned")
-    return seen.where((F.col("n") % 2 == 1) & F.col("other").isNotNull()).select(
-        F.col("conv_id").alias("pair_id"),
-        F.when(first, F.col("conv_id")).otherwise(F.col("other")).alias("chosen_id"),
-        F.when(first, F.col("other")).otherwise(F.col("conv_id")).alias("rejected_id"))
+    alike = F.sha2(F.concat_ws(":", F.length("opening_role").cast("string"), "opening_role",
+                               "opening"), 256)
+    first_round = _two_by_two(talks.withColumn("same", alike),
+                              ["opening_role", "opening", "conv_id"], "openings")
+    left = first_round.where(F.size("two") == 1).select(
+        "n", F.col("two")[0]["conv_id"].alias("conv_id"),
+        F.col("two")[0]["learned"].alias("learned"), F.lit("").alias("same"))
+    paired = first_round.unionByName(_two_by_two(left, ["n"], "left-over")).where(
+        F.size("two") == 2)
+    one, other = F.col("two")[0], F.col("two")[1]
+    first = one["learned"] >= other["learned"]
+    return paired.select(
+        one["conv_id"].alias("pair_id"),
+        F.when(first, one["conv_id"]).otherwise(other["conv_id"]).alias("chosen_id"),
+        F.when(first, other["conv_id"]).otherwise(one["conv_id"]).alias("rejected_id"))
 
 
 def _joined(of: Column) -> Column:

@@ -566,5 +566,35 @@ def test_preferences_pair_every_conversation(spark):
     assert len(ids) == len(set(ids)) == total // 2 * 2
 
 
+def _opening_pairs(spark, openings):
+    turns = [(i, n, r, t) for i, o in openings.items()
+             for n, r, t in ((0, "user", o), (1, "assistant", f"answer {i}"))]
+    frame = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    ordered = preferences.ordered_turns(frame.repartition(5))
+    out = preferences.format_preferences(ordered, preferences.neighbour_pairs(ordered)).collect()
+    ids = [i for r in out for i in (r.chosen_id, r.rejected_id)]
+    assert len(ids) == len(set(ids)) == len(openings) // 2 * 2
+    return out
+
+
+def test_preferences_pair_equal_openings_of_any_ids(spark):
+    # sparse ids; every opening is shared by ids far apart
+    out = _opening_pairs(spark, {i * 5000 + 7: f"opening {i % 10}" for i in range(40)})
+    assert all(r.n_prompt == 1 and r.prompt.startswith("<|user|>\nopening") for r in out)
+
+
+def test_preferences_one_opening_over_many_ranges(spark):
+    # one very common opening, an odd number of others: at most one stays alone
+    openings = {i * 1009: "hot" for i in range(2001)} | {i * 1009 + 1: f"own {i}" for i in range(30)}
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = _opening_pairs(spark, openings)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sum(r.n_prompt == 1 for r in out) == 1000
+    assert len(out) == 1015
+
+
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
