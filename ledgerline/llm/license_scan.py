@@ -5,9 +5,12 @@ same window in the license templates. A hit at document word p and template
 word q votes for the diagonal p - q, the place where the template would start;
 votes are summed per (document, template, diagonal), neighbouring diagonals
 whose spans lie next to each other (a word put in or left out) are merged, and
-a merged span counts when enough of the template's windows are in it. Hits are
-joined on the words themselves beside their hash, so every vote is verified
-and a diagonal with all windows of a template is an exact occurrence.
+a merged span counts when enough of the template's words are aligned in it,
+words put in or left out between them aside, and all windows of its key phrases
+are. Hits are joined on the words themselves beside their hash, so every vote
+is verified and a diagonal with all windows of a template is an exact
+occurrence. Templates are a table (label, text, keys); several texts may have
+one label.
 
 Defined cases: null and empty texts have no words, no labels and score 0;
 long texts are scanned whole, only windows that occur in a template leave the
@@ -17,17 +20,16 @@ result; only the key and the text are read, so other columns cannot clash.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .columns import let, plain_words
+from .license_texts import TEXTS
 from .tables import stored
 
 K = 3
 SLACK = 3            # words that may be put in or left out between two diagonals
-MIN_COVERAGE = 0.75  # windows of a template that a span must hold
+MIN_COVERAGE = 0.75  # words of a template that a span must hold
 
 # The base phrases and their labels.
 BASE_PHRASES = {
@@ -36,37 +38,49 @@ BASE_PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-# Sentences of well-known licenses, by label.
-TEMPLATES = {
-    "permission is hereby granted free of charge to any person obtaining a copy of this software"
-    " and associated documentation files": "mit",
-    "licensed under the apache license version 2 0": "apache-2",
-    "you may not use this file except in compliance with the license": "apache-2",
-    "licensed under cc by nc 4 0": "cc-by-nc",
-    "licensed under cc by sa 4 0": "cc-by-sa",
-    "licensed under cc by 4 0": "cc-by",
-    "creative commons attribution noncommercial": "cc-by-nc",
-    "creative commons attribution sharealike": "cc-by-sa",
-    "licensed under the gnu general public license version 3": "gpl-3",
-    "gnu lesser general public license": "lgpl",
-    "gnu affero general public license": "agpl",
-    "redistribution and use in source and binary forms with or without modification are permitted":
-        "bsd",
-    "mozilla public license version 2 0": "mpl-2",
-    "all rights reserved": "all-rights-reserved",
-}
+_WINDOWS = "template, label, size, at, window, need, needs"
+
+
+def standard_templates(spark: SparkSession) -> DataFrame:
+    """(label, text, keys) of ``license_texts``, a table of fixed size."""
+    return spark.sql("SELECT * FROM VALUES " + ", ".join(
+        "(" + ", ".join(_quoted(x) for x in row) + ")" for row in TEXTS) + " AS t(label, text, keys)")
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _needed(words: list[str], keys: list[list[str]], k: int) -> set[int]:
+    """Places of the windows of the key phrases."""
+    needed: set[int] = set()
+    for key in keys:
+        at = next((i for i in range(len(words) - len(key) + 1) if words[i:i + len(key)] == key),
+                  None)
+        if at is None or len(key) < k:
+            raise ValueError(f"{key} is no phrase of {k} words or more of {words}")
+        needed |= set(range(at, at + len(key) - k + 1))
+    return needed
 
 
-def template_windows(spark: SparkSession, phrases: Mapping[str, str], k: int = K) -> DataFrame:
-    """(template, label, size, at, window): one row per window of a template.
-    The templates are constants, so this table has a fixed size."""
+def template_windows(templates: DataFrame, k: int = K, first: int = 0) -> DataFrame:
+    """One row per window of a template, from (label, text, keys). The table is
+    small (licenses, not documents) and goes through the driver; templates of
+    less than ``k`` words have no window."""
     rows = []
-    for i, (phrase, label) in enumerate(phrases.items()):
-        words = phrase.split()
-        rows += [f"({i}, '{label}', {len(words)}, {j}, '{' '.join(words[j:j + k])}')"
-                 for j in range(len(words) - k + 1)]
-    return spark.sql("SELECT * FROM VALUES " + ", ".join(rows)
-                     + " AS t(template, label, size, at, window)")
+    read = templates.select("label", plain_words(F.col("text")).alias("words"), F.transform(
+        F.split(F.coalesce("keys", F.lit("")), r"\|"), plain_words).alias("keys")).collect()
+    for i, r in enumerate(read, first):
+        needed = _needed(r.words, [x for x in r["keys"] if x], k)
+        rows += [f"({i}, {_quoted(r.label)}, {len(r.words)}, {j}, "
+                 f"{_quoted(' '.join(r.words[j:j + k]))}, {str(j in needed).lower()}, {len(needed)})"
+                 for j in range(len(r.words) - k + 1)]
+    if not rows:
+        return templates.sparkSession.sql(
+            "SELECT 0 AS template, '' AS label, 0 AS size, 0 AS at, '' AS window, false AS need, "
+            "0 AS needs WHERE false")
+    return templates.sparkSession.sql(
+        "SELECT * FROM VALUES " + ", ".join(rows) + f" AS t({_WINDOWS})")
 
 
 def _hits(text: Column, hashes: list[int], k: int) -> Column:
@@ -86,9 +100,11 @@ def _hits(text: Column, hashes: list[int], k: int) -> Column:
 def diagonal_votes(hits: DataFrame, windows: DataFrame) -> DataFrame:
     """Votes per (row, template, diagonal) from (row, p, window)."""
     return (hits.join(F.broadcast(windows), "window")
-            .groupBy("row", "template", "label", "size", (F.col("p") - F.col("at")).alias("diagonal"))
+            .groupBy("row", "template", "label", "size", "needs",
+                     (F.col("p") - F.col("at")).alias("diagonal"))
             .agg(F.count(F.lit(1)).alias("votes"), F.min("p").alias("first"),
-                 F.max("p").alias("last")))
+                 F.max("p").alias("last"), F.collect_set("at").alias("ats"),
+                 F.collect_set(F.when(F.col("need"), F.col("at"))).alias("needed")))
 
 
 def merged_spans(votes: DataFrame, k: int = K, slack: int = SLACK) -> DataFrame:
@@ -103,22 +119,28 @@ def merged_spans(votes: DataFrame, k: int = K, slack: int = SLACK) -> DataFrame:
     marked = votes.withColumn("new", F.coalesce(apart, F.lit(True)).cast("int"))
     numbered = marked.withColumn("span", F.sum("new").over(
         order.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy("row", "template", "label", "size", "span").agg(
+    aligned = F.array_distinct(F.flatten(F.transform(
+        F.flatten(F.collect_list("ats")), lambda at: F.sequence(at, at + (k - 1)))))
+    return numbered.groupBy("row", "template", "label", "size", "needs", "span").agg(
         F.sum("votes").alias("votes"), F.min("first").alias("first"),
         (F.max("last") + (k - 1)).alias("last"), F.max("votes").alias("best"),
-        F.count(F.lit(1)).alias("diagonals"))
+        F.count(F.lit(1)).alias("diagonals"), F.size(aligned).alias("aligned"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("needed")))).alias("held"))
 
 
 def scan(documents: DataFrame, key: str = "doc_id", text: str = "text",
-         min_coverage: float = MIN_COVERAGE) -> tuple[DataFrame, DataFrame]:
+         min_coverage: float = MIN_COVERAGE,
+         templates: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents, spans): ``row``, ``doc_id``, ``n_words`` of every document,
     and the verified spans (row, template, label, first, last, coverage, base,
-    start of each exact base phrase)."""
+    start of each exact base phrase). ``templates`` is a table (label, text,
+    keys), the standard one if not given."""
     spark = documents.sparkSession
-    base = template_windows(spark, BASE_PHRASES).withColumn("base", F.lit(True))
-    more = template_windows(spark, TEMPLATES).withColumn("base", F.lit(False)).withColumn(
-        "template", F.col("template") + len(BASE_PHRASES))
-    windows = base.unionByName(more)
+    phrases = spark.sql("SELECT * FROM VALUES " + ", ".join(
+        f"({_quoted(label)}, {_quoted(phrase)}, '')" for phrase, label in BASE_PHRASES.items())
+        + " AS t(label, text, keys)")
+    windows = template_windows(phrases).unionByName(template_windows(
+        standard_templates(spark) if templates is None else templates, first=len(BASE_PHRASES)))
     hashes = [r[0] for r in windows.select(
         F.xxhash64(F.split("window", " "))).distinct().collect()]
     scanned = documents.select(F.col(key).alias("doc_id"),
@@ -126,11 +148,11 @@ def scan(documents: DataFrame, key: str = "doc_id", text: str = "text",
     rows = stored(scanned.select(F.monotonically_increasing_id().alias("row"), "doc_id",
                                  "s.n_words", "s.hits"), "license-hits")
     hits = rows.select("row", F.inline("hits"))
-    votes = diagonal_votes(hits, windows.drop("base"))
+    votes = diagonal_votes(hits, windows)
     spans = merged_spans(votes)
     n_base = len(BASE_PHRASES)
-    counted = spans.withColumn("coverage", F.least(F.lit(1.0), F.col("votes")
-                                                   / (F.col("size") - (K - 1))))
+    counted = spans.where(F.col("held") == F.col("needs")).withColumn(
+        "coverage", F.col("aligned") / F.col("size"))
     exact = votes.where((F.col("template") < n_base) & (F.col("votes") == F.col("size") - (K - 1)))
     verified = (counted.where((F.col("template") >= n_base) & (F.col("coverage") >= min_coverage))
                 .select("row", "template", "label", "first", "last", "coverage",
@@ -142,9 +164,10 @@ def scan(documents: DataFrame, key: str = "doc_id", text: str = "text",
     return rows.select("row", "doc_id", "n_words"), verified
 
 
-def label_documents(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def label_documents(documents: DataFrame, key: str = "doc_id", text: str = "text",
+                    templates: DataFrame | None = None) -> DataFrame:
     """Counts, labels and score of every document."""
-    rows, spans = scan(documents, key, text)
+    rows, spans = scan(documents, key, text, templates=templates)
 
     def labels(only: Column) -> Column:
         return F.array_join(F.sort_array(F.collect_set(F.when(only, F.col("label")))), ",")

@@ -198,6 +198,44 @@ def test_license_scan_merges_neighbouring_diagonals(spark):
     assert labels == {1: ("mit", 0), 2: ("", 0)}
 
 
+def test_license_scan_standard_notices(spark):
+    notices = {
+        "it under the terms of the GNU General Public License as published by the Free Software "
+        "Foundation, either version 3 of the License": "gpl-3",
+        "it under the terms of the GNU General Public License as published by the Free Software "
+        "Foundation; either version 2 of the License": "gpl-2",
+        "it under the terms of the GNU Lesser General Public License as published by the Free "
+        "Software Foundation, either version 3 of the License": "lgpl",
+        "is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl-2",
+        "under a Creative Commons Attribution 4.0 International License": "cc-by",
+        "under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+        "Licensed under the GNU Lesser General Public License, version 3": "lgpl",
+        "The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software.": "mit",
+        "Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer.": "bsd",
+        # words put into or left out of a short template
+        "licensed under the well known Apache License, Version 2.0": "apache-2",
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+        "the GNU General Public in its License": "",
+        "Creative Commons and attribution of works": ""}
+    frame = spark.createDataFrame(list(enumerate(notices)), "doc_id long, text string")
+    found = {r.doc_id: r.labels for r in license_scan.label_documents(frame).collect()}
+    assert found == dict(enumerate(notices.values()))
+
+
+def test_license_scan_with_templates_of_a_table(spark):
+    frame = spark.createDataFrame(
+        [(1, "use it as the house \\' rules of our own say"), (2, "licensed under CC BY 4.0")],
+        "doc_id long, text string")
+    own = spark.createDataFrame([("o'wn", "the house rules of our own", "rules of our"),
+                                 ("own", "x", None)], "label string, text string, keys string")
+    found = license_scan.label_documents(frame, templates=own).collect()
+    assert {r.doc_id: r.labels for r in found} == {1: "o'wn", 2: ""}
+    none = license_scan.label_documents(frame, templates=own.limit(0)).collect()
+    assert {r.labels for r in none} == {""}
+
+
 # -- 1 -----------------------------------------------------------------------
 
 URLS = [None, "", "no scheme", "http://Example.ORG/es/1?x=1", "https://a.example.org/en/12#t",
