@@ -1,14 +1,17 @@
 """Landed pulls merged into versioned snapshots (MRG-1).
 
 Pulls overlap (``modified >= ds``), so a row can be landed several times and a
-changed row lands again. A compaction takes the files landed since the last
-one, keeps the newest version of each of their keys, and writes the next
+changed row lands again. A compaction takes the files that no version has taken
+yet, whatever their modification time (a long pull, or a restored folder, shows
+up with files older than ones already taken), keeps the newest version of each of their keys, and writes the next
 version of the table: rows of the old version whose key no new pull has, as
 they are, and for the other keys the newest of old and new. Old pulls are not
 read again.
 
-A version is a folder of its own. After it is written, one row is added to the
-table's list of versions; readers take the newest version of that list, so
+A version is a folder of its own, and so is the list of files it has taken. A
+version's rows keep their landing time and ``ds`` in columns that readers do not
+see, so a pull found late does not beat a row landed after it. After both are
+written, one row is added to the table's list of versions; readers take the newest version of that list, so
 they never see a half-written table and a failed run leaves the old one.
 """
 
@@ -24,6 +27,8 @@ from ..operators.aggregates import latest_per_key
 from .extract import SOURCE_TABLES, laid_out, safe_table_name, write_parquet
 
 _VERSIONS = "version long, upto timestamp, row_count long"
+_TAKEN = "file string, version long"
+_LANDING = ("__landed", "__ds")     # hidden columns of a version
 
 
 def _versions_path(snapshot_dir: str, table: str) -> str:
@@ -34,6 +39,10 @@ def _version_path(snapshot_dir: str, table: str, version: int) -> str:
     return f"{snapshot_dir.rstrip('/')}/{table}/version={version}"
 
 
+def _taken_path(snapshot_dir: str, table: str) -> str:
+    return f"{snapshot_dir.rstrip('/')}/_taken/{table}"
+
+
 def current_version(spark: SparkSession, snapshot_dir: str, table: str):
     """(version, upto, row_count) of the newest complete version, or None."""
     try:
@@ -50,7 +59,7 @@ def read_snapshot(spark: SparkSession, snapshot_dir: str, table: str) -> DataFra
     now = current_version(spark, snapshot_dir, table)
     if now is None:
         raise ValueError(f"no snapshot of {table} in {snapshot_dir}")
-    return spark.read.parquet(_version_path(snapshot_dir, table, now.version))
+    return spark.read.parquet(_version_path(snapshot_dir, table, now.version)).drop(*_LANDING)
 
 
 def landed_since(spark: SparkSession, path: str, upto=None) -> DataFrame:
@@ -61,20 +70,45 @@ def landed_since(spark: SparkSession, path: str, upto=None) -> DataFrame:
     return rows if upto is None else rows.where(landed > F.lit(upto))
 
 
+def files_not_taken(spark: SparkSession, path: str, snapshot_dir: str, table: str, now
+                    ) -> tuple[DataFrame, list[str]]:
+    """(rows with their landing time, files to list as taken) of the files
+    under ``path`` that no version up to ``now`` has taken. Files are named by
+    their place in the table's folder. A version written before files were
+    listed counts as having taken those that are not newer than its ``upto``."""
+    folder = f"/{path.rsplit('/', 1)[-1]}/"
+    pulls = landed_since(spark, path)
+    listed = [f.rsplit(folder, 1)[-1] for f in pulls.inputFiles()]
+    if now is None:
+        return pulls, listed
+    try:
+        taken = spark.read.schema(_TAKEN).parquet(_taken_path(snapshot_dir, table))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        taken = None
+    # a failed run may have left a list of a version that is not there
+    taken = taken.where(F.col("version") <= now.version) if taken is not None else None
+    if taken is None or taken.isEmpty():
+        return landed_since(spark, path, now.upto), listed
+    new = [r.file for r in spark.createDataFrame([(f,) for f in listed], "file string").join(
+        taken, "file", "left_anti").collect()]
+    # the file's place is known before it is opened, so others are not
+    return pulls.where(F.substring_index("_metadata.file_path", folder, -1).isin(new)), new
+
+
 def merge_pulls(current: DataFrame | None, pulls: DataFrame, key: str, modified: str) -> DataFrame:
-    """Newest version of every key: later ``modified`` first, then the later
-    landing (a pull beats the snapshot), then the later ``ds``. A row without
-    ``modified`` is older than any with one."""
-    order = [modified, "__landed", "__ds"]
+    """Newest version of every key, with its landing: later ``modified`` first,
+    then the later landing, then the later ``ds``. A row without ``modified`` is
+    older than any with one, one without a landing than any pull."""
+    order = [modified, *_LANDING]
     rows = pulls.withColumn("__ds", F.col("ds").cast("string")).drop("ds")
     if current is None:
-        return latest_per_key(rows, [key], order).drop("__landed", "__ds")
+        return latest_per_key(rows, [key], order)
     keys = rows.select(key).distinct()
-    old = current.join(keys, key, "left_semi").withColumns(
-        {"__landed": F.lit(None).cast("timestamp"), "__ds": F.lit(None).cast("string")})
+    old = current.join(keys, key, "left_semi")
     newest = latest_per_key(rows.unionByName(old, allowMissingColumns=True), [key], order)
-    return current.join(keys, key, "left_anti").unionByName(
-        newest.drop("__landed", "__ds"), allowMissingColumns=True)
+    return current.join(keys, key, "left_anti").unionByName(newest, allowMissingColumns=True)
 
 
 def compact_table(spark: SparkSession, landing_dir: str, snapshot_dir: str, table: str,
@@ -89,20 +123,25 @@ def compact_table(spark: SparkSession, landing_dir: str, snapshot_dir: str, tabl
     """
     path = f"{landing_dir.rstrip('/')}/{safe_table_name(source_table)}"
     now = current_version(spark, snapshot_dir, table)
-    pulls = landed_since(spark, path, now.upto if now is not None else None)
+    pulls, files = files_not_taken(spark, path, snapshot_dir, table, now)
     upto = pulls.agg(F.max("__landed")).first()[0]
     if upto is None and now is not None:
         return now.row_count
+    old = spark.read.parquet(_version_path(snapshot_dir, table, now.version)) if now else None
     if modified in pulls.columns:
-        old = read_snapshot(spark, snapshot_dir, table) if now is not None else None
         merged = merge_pulls(old, pulls, key, modified)
+    elif now is not None and upto < now.upto:
+        merged = old        # the version is of a pull landed after these
     else:
         last = pulls.agg(F.max(F.struct("__landed", F.col("ds").cast("string").alias("ds")))
                          .alias("m")).select("m.ds").scalar()
         merged = pulls.where(F.col("ds").cast("string") == last).drop("ds", "__landed")
     version = 0 if now is None else now.version + 1
+    upto = max(upto, now.upto) if now is not None and upto is not None and now.upto else upto
     dealt, order = laid_out(merged, layout)
     rows = write_parquet(dealt, _version_path(snapshot_dir, table, version), sort_within=order)
+    spark.createDataFrame([(f, version) for f in files], _TAKEN).coalesce(1).write.mode(
+        "overwrite").parquet(f"{_taken_path(snapshot_dir, table)}/part={version}")
     spark.createDataFrame([(version, upto, rows)], _VERSIONS).coalesce(1).write.mode(
         "append").parquet(_versions_path(snapshot_dir, table))
     return rows

@@ -288,6 +288,74 @@ def test_compaction_reads_new_pulls_only(spark, tmp_dir):
     assert "file_modification_time" in plan.toString()
 
 
+def _set_landing_time(folder, seconds):
+    import os
+    from pathlib import Path
+
+    for f in Path(folder).rglob("*.parquet"):
+        os.utime(f, (seconds, seconds))
+
+
+def test_compaction_takes_files_published_late(spark, tmp_dir):
+    from ledgerline.sources import compaction as C
+
+    landing, snapshot, land = _orders_landing(spark, tmp_dir)
+    t1, t2 = dt.datetime(2026, 7, 1), dt.datetime(2026, 7, 2)
+    land("2026-07-02", ("a", 1, t2), ("tie", 1, None))
+    C.compact_landing(spark, landing, snapshot, {"orders": "tabOrder"})
+    # published after the compaction, with files written an hour before its pull
+    land("2026-07-01", ("a", 2, t1), ("b", 2, t1), ("tie", 2, None))
+    upto = C.current_version(spark, snapshot, "orders").upto
+    _set_landing_time(X.landing_path(landing, "tabOrder", "2026-07-01"), upto.timestamp() - 3600)
+    expected = {"a": 1, "b": 2, "tie": 1}
+    for _ in range(2):      # the second run finds nothing new
+        assert C.compact_landing(spark, landing, snapshot, {"orders": "tabOrder"}) == {"orders": 3}
+        read = C.read_snapshot(spark, snapshot, "orders")
+        assert {r.name: r.v for r in read.collect()} == expected
+        assert sorted(read.columns) == ["modified", "name", "v"]
+        now = C.current_version(spark, snapshot, "orders")
+        assert (now.version, now.upto) == (1, upto)
+    land("2026-07-03", ("b", 3, t2))
+    C.compact_landing(spark, landing, snapshot, {"orders": "tabOrder"})
+    read = C.read_snapshot(spark, snapshot, "orders")
+    assert {r.name: r.v for r in read.collect()} == {"a": 1, "b": 3, "tie": 1}
+
+
+def test_compaction_opens_files_not_taken_only(spark, tmp_dir):
+    from ledgerline.sources import compaction as C
+
+    landing, snapshot, land = _orders_landing(spark, tmp_dir)
+    land("2026-07-01", *[(f"a{i}", 1, None) for i in range(50)])
+    C.compact_landing(spark, landing, snapshot, {"orders": "tabOrder"})
+    land("2026-07-02", ("b", 1, None))
+    now = C.current_version(spark, snapshot, "orders")
+    new, files = C.files_not_taken(spark, f"{landing}/taborder", snapshot, "orders", now)
+    assert files and all(f.startswith("ds=2026-07-02/") for f in files)
+    assert [r.name for r in new.collect()] == ["b"]
+    leaf = new._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert leaf.metrics().get("numFiles").get().value() == len(files)
+
+
+def test_late_pull_without_modified_does_not_replace_a_newer_one(spark, tmp_dir):
+    from ledgerline.sources import compaction as C
+
+    landing, snapshot, tables = f"{tmp_dir}/landing", f"{tmp_dir}/snapshot", {"company": "tabCompany"}
+
+    def land(ds, *names):
+        X.write_parquet(spark.createDataFrame([(n,) for n in names], "name string"),
+                        X.landing_path(landing, "tabCompany", ds))
+
+    land("2026-07-02", "NEW")
+    C.compact_landing(spark, landing, snapshot, tables)
+    land("2026-07-01", "OLD", "OLDER")
+    upto = C.current_version(spark, snapshot, "company").upto
+    _set_landing_time(X.landing_path(landing, "tabCompany", "2026-07-01"), upto.timestamp() - 3600)
+    assert C.compact_landing(spark, landing, snapshot, tables) == {"company": 1}
+    assert [r.name for r in C.read_snapshot(spark, snapshot, "company").collect()] == ["NEW"]
+    land("2026-07-03", "NEW", "NEWER")
+    assert C.compact_landing(spark, landing, snapshot, tables) == {"company": 2}
+
+
 def test_failed_compaction_leaves_the_old_snapshot(spark, tmp_dir, monkeypatch):
     from ledgerline.sources import compaction as C
 
