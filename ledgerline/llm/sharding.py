@@ -19,6 +19,7 @@ text columns are read, so other columns cannot clash.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -104,6 +105,24 @@ def store_map(slot_map: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(target).withColumn("version", F.lit(version))
 
 
+def newest_map(spark: SparkSession, path: str, n_slots: int, n_shards: int) -> DataFrame:
+    """The newest stored version; version 0 is stored first where there is none."""
+    try:
+        newest = spark.read.schema("vslot int, shard int, version int").parquet(path).agg(
+            F.max("version")).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        newest = None
+    if newest is None:
+        return store_map(initial_map(spark, n_slots, n_shards), path)
+    stored = spark.read.parquet(f"{path.rstrip('/')}/version={newest}").select(
+        "vslot", "shard", F.lit(newest).alias("version"))
+    if stored.count() != n_slots:
+        raise ValueError(f"the map in {path} is not one of {n_slots} slots")
+    return stored
+
+
 def records_of(documents: DataFrame, key: str = "doc_id", text: str = "text",
                n_slots: int = N_SLOTS) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
@@ -121,13 +140,14 @@ def shard_documents(documents: DataFrame, map_path: str, n_shards: int = N_SHARD
 
     Places are numbered inside each virtual slot (small, even groups) and
     shifted by the rows of the shard's earlier slots, so no task ever orders a
-    whole shard.
+    whole shard. The newest map under ``map_path`` is rebalanced and stored as
+    the next version, so a grown corpus moves only slots that overfill a shard.
     """
     records = records_of(documents, key, text, n_slots)
     weights = slot_bytes(records)
     stored = store_map(
-        rebalanced_map(initial_map(documents.sparkSession, n_slots, n_shards), weights, n_shards),
-        map_path)
+        rebalanced_map(newest_map(documents.sparkSession, map_path, n_slots, n_shards), weights,
+                       n_shards), map_path)
     earlier = Window.partitionBy("shard").orderBy("vslot").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = (stored.select("vslot", "shard", "version").join(weights, "vslot")

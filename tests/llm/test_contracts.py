@@ -166,6 +166,27 @@ def test_rebalancing_moves_only_what_overfills(spark, tmp_dir):
     assert spark.read.parquet(tmp_dir).select("version").distinct().count() == 2
 
 
+def test_sharding_edits_the_stored_map(spark, tmp_dir):
+    path = tmp_dir + "/slots"
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(
+        F.lit("x"), (F.col("id") % 97).cast("int")).alias("text"))
+    shard = lambda d: {r.virtual_slot: (r.shard, r.map_version) for r in sharding.shard_documents(
+        d, path, n_shards=4, n_slots=64).collect()}
+    first = shard(docs)
+    stored = {r.version for r in spark.read.parquet(path).select("version").distinct().collect()}
+    assert stored == {0, 1} and {v for _, v in first.values()} == {1}
+    heavy = docs.withColumn("text", F.when(F.col("doc_id") < 40, F.repeat(F.lit("y"), 500))
+                            .otherwise(F.col("text")))
+    second = shard(heavy)
+    v1 = spark.read.parquet(f"{path}/version=1").withColumn("version", F.lit(1)).drop("bytes")
+    weights = sharding.slot_bytes(sharding.records_of(heavy, n_slots=64))
+    expected = {r.vslot: (r.shard, 2)
+                for r in sharding.rebalanced_map(v1, weights, 4).collect()}
+    assert second == {k: expected[k] for k in second}
+    with pytest.raises(ValueError):
+        sharding.shard_documents(docs, path, n_shards=4, n_slots=32)
+
+
 # -- 2 -----------------------------------------------------------------------
 
 LICENSE_COLUMNS = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
