@@ -109,6 +109,9 @@ METRICS: dict[str, Callable[[Column], Column]] = {
     "n_repeat_words": n_repeat_words,
 }
 
+#: Metrics that the result holds; the others are worked out inside the cascade.
+BASE_METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
 #: Work of a metric: (per character, per word), in arbitrary units.
 METRIC_WORK = {
     "n_words": (1.0, 0.0), "word_chars": (1.5, 0.0), "n_symbols": (0.6, 0.0),
@@ -149,9 +152,11 @@ RULES = (
 
 
 def estimate_rules(documents: DataFrame, rules: Sequence[Rule], text: str = "text",
-                   key: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> dict[str, tuple]:
+                   key: str = "doc_id", sample_rows: int = SAMPLE_ROWS,
+                   ready: Sequence[str] = ()) -> dict[str, tuple]:
     """(cost, selectivity) of each rule on the ``sample_rows`` documents with
-    the smallest key hash; one row comes back to the driver."""
+    the smallest key hash; one row comes back to the driver. Metrics that are
+    ``ready`` as columns cost nothing."""
     place = F.xxhash64(F.col(key))
     bound = (documents.select(place.alias("place")).orderBy("place").limit(sample_rows)
              .agg(F.max("place")).scalar())
@@ -166,7 +171,7 @@ def estimate_rules(documents: DataFrame, rules: Sequence[Rule], text: str = "tex
           for i, r in enumerate(rules)]).first()
     chars, words = row["chars"] or 0.0, row["words"] or 0.0
     return {r.name: (1.0 + sum(METRIC_WORK[x][0] * chars + METRIC_WORK[x][1] * words
-                               for x in r.uses), row[f"r_{i}"] or 0.0)
+                               for x in r.uses if x not in ready), row[f"r_{i}"] or 0.0)
             for i, r in enumerate(rules)}
 
 
@@ -188,17 +193,23 @@ def first_failure(rules: Sequence[Rule], metric: Metric) -> Column:
 
 def judge_documents(documents: DataFrame, text: str = "text", key: str = "doc_id",
                     sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """All metrics, base verdict, verdict and failing rule of every document."""
-    estimates = estimate_rules(documents, RULES, text, key, sample_rows)
+    """Base metrics, base verdict, verdict and failing rule of every document.
+    The other metrics are inline in the cascade, so they run only for what the
+    base rules and the rules before theirs leave undecided."""
+    estimates = estimate_rules(documents, RULES, text, key, sample_rows, BASE_METRICS)
     t = F.col("t")
     measured = (documents.select(F.col(key).alias("doc_id"), F.col(text).alias("t"))
-                .select("doc_id", *[f(t).alias(n) for n, f in METRICS.items()]))
+                .select("doc_id", "t", *[METRICS[n](t).alias(n) for n in BASE_METRICS]))
+
+    def metric(name: str) -> Column:
+        return F.col(name) if name in BASE_METRICS else METRICS[name](t)
+
     base = first_failure(BASE_RULES, F.col)
     return (measured
             .withColumn("base_failed", base.isNotNull())
             .withColumn("failed_rule", F.coalesce(
-                base, first_failure(order_rules(RULES, estimates), F.col)))
-            .withColumn("kept", F.col("failed_rule").isNull()))
+                base, first_failure(order_rules(RULES, estimates), metric)))
+            .withColumn("kept", F.col("failed_rule").isNull()).drop("t"))
 
 
 def filter_documents(documents: DataFrame, text: str = "text", key: str = "doc_id",

@@ -110,6 +110,19 @@ def test_quality_empty(nothing):
     assert quality_rules.filter_documents(nothing).count() == 0
 
 
+def test_quality_cascade_works_out_what_is_undecided(spark, monkeypatch):
+    # a metric that fails on documents the base rules have decided
+    plain = quality_rules.METRICS["n_exclamations"]
+    monkeypatch.setitem(quality_rules.METRICS, "n_exclamations", lambda t: F.when(
+        F.length(t) < 20, F.raise_error(F.lit("decided before")).cast("long")).otherwise(plain(t)))
+    monkeypatch.setattr(quality_rules, "estimate_rules", lambda d, rules, *_: {
+        r.name: (1.0, 0.1) for r in rules})
+    frame = spark.createDataFrame([(1, "short"), (2, " ".join(f"word{i}!!" for i in range(40)))],
+                                  "doc_id long, text string")
+    judged = quality_rules.judge_documents(frame).collect()
+    assert {r.doc_id: r.failed_rule for r in judged} == {1: "too_few_words", 2: "exclamations"}
+
+
 def test_rules_run_by_rejection_per_cost():
     rules = quality_rules.RULES
     estimates = {r.name: (10.0, 0.1) for r in rules}
