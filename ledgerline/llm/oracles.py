@@ -1,8 +1,8 @@
 """DuckDB SQL for the registered queries that SQL can express.
 
 No SQL is given for op1 (mined rules), op2 (merged diagonals), op4 (checksum
-and slot hash), op5 (markup), op10 (strings at every byte): tests compare
-those with plain Python.
+and slot hash), op5 (markup), op10 (strings at every byte), op11 (XXH64): tests
+compare those with plain Python.
 """
 
 from __future__ import annotations
@@ -193,6 +193,80 @@ SELECT doc_id, domain, language, origin, tokens, budget AS leaf_budget,
 FROM part
 """
 
+SOURCES = """
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({lowered}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+found AS (SELECT id, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM found GROUP BY ALL
+         HAVING count(DISTINCT id) >= 30),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (
+  SELECT g.lang, g.source, k.term, (count(f.id))::HUGEINT AS n, any_value(k.n) AS lang_n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN found f USING (lang, source, term)
+  GROUP BY g.lang, g.source, k.term),
+shares AS (
+  SELECT lang, source, term, n,
+    1 + (1000000000 * (n + 5)) // (sum(n) OVER g + 5 * count(*) OVER g) AS p,
+    1 + (1000000000 * (lang_n + 5)) // (sum(lang_n) OVER g + 5 * count(*) OVER g) AS q
+  FROM counts WINDOW g AS (PARTITION BY lang, source)),
+apart AS (
+  SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+  FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+  GROUP BY ALL),
+pairs AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0) AS value
+  FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN apart a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source),
+rows AS (
+  SELECT * FROM pairs UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM rows QUALIFY part = 'pair' OR rank <= 50
+""".replace("{lowered}", _LOWER.format("coalesce(text, '')"))
+
+AUDIT = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_words('text', _BLANK)} AS w
+  FROM documents),
+judged AS (
+  SELECT part, concat(
+      CASE WHEN len(w) < 200 THEN 'A' ELSE '' END,
+      CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END,
+      CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) THEN 'C' ELSE '' END,
+      CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+      CASE WHEN min(doc_id) OVER (PARTITION BY t) < doc_id THEN 'E' ELSE '' END) AS fails,
+    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good,
+    doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic
+  FROM docs),
+kinds AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM judged GROUP BY ALL),
+orders(o) AS (
+  SELECT '' UNION ALL
+  SELECT o || x FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE instr(o, x) = 0),
+stops AS (
+  SELECT k.*, o AS filter_order,
+         coalesce(list_min(list_transform(string_split(nullif(fails, ''), ''), lambda x: instr(o, x))), 9)
+           AS stop
+  FROM kinds k, orders WHERE length(o) = 5),
+steps AS (
+  SELECT part, filter_order, step, substr(filter_order, step, 1) AS letter,
+    sum(n) FILTER (stop > step) AS kept, sum(n) FILTER (stop = step) AS removed,
+    sum(n) FILTER (stop < step AND contains(fails, substr(filter_order, step, 1))) AS redundant,
+    sum(n) FILTER (fails = substr(filter_order, step, 1)) AS unique_fails,
+    sum(good) FILTER (stop = step) AS good_lost, sum(toxic) FILTER (stop = step) AS toxic_lost
+  FROM stops, (SELECT unnest(range(1, 6))::INT AS step) GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept,
+  coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+  coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+  coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, letter), 0)::BIGINT AS shapley
+FROM steps
+"""
+
 
 ORACLES: dict[str, str] = {
     "op3_preferences": PREFERENCES,
@@ -200,4 +274,6 @@ ORACLES: dict[str, str] = {
     "op7_quality_rules": QUALITY,
     "op8_ngram_join": NEAR_DUPLICATES,
     "op9_mixing": _mixing(17, 3),
+    "op12_source_audit": SOURCES,
+    "op13_filter_audit": AUDIT,
 }

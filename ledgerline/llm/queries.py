@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (decontamination, html_blocks, license_scan, mixing, ngram_join, oracles,
-               preferences, quality_rules, sharding, suffix_dedup, url_rules)
+from . import (decontamination, filter_audit, html_blocks, license_scan, mixing, ngram_join, oracles,
+               preferences, quality_rules, sharding, simhash_join, source_audit, suffix_dedup,
+               url_rules)
 
 
 MIX_EPOCHS, MIX_SEED = 3, 17
@@ -79,6 +80,21 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.epochs_of(plan, levels, seed=MIX_SEED)
 
 
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_join.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+                        .alias("fingerprint"), "component_id")
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit_sources(_table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(_table(spark, sf_dir, "documents"),
+                                        _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -91,6 +107,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ngram_join": op8_ngram_join,
         "op9_mixing": op9_mixing,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op11_simhash_dedup": op11_simhash_dedup,
+        "op12_source_audit": op12_source_audit,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 

@@ -6,6 +6,9 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import permutations
+
+import xxhash
 
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BLANK = re.compile(r"[^\x20\x09-\x0D]+")
@@ -193,3 +196,94 @@ def mixture(docs, weights, seed, share=1.0, epochs=1):
                 break
             taken.append((r[0], full))
     return taken
+
+
+def simhash(text, k=3):
+    words = blank_words((text or "").translate(LOWER))
+    grams = [" ".join(words[i:i + k]) for i in range(max(1, len(words) - k + 1))] if words else []
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def simhash_groups(docs, reach=2):
+    """docs: (doc_id, text); (doc_id, fingerprint, component_id) of each."""
+    prints = [(d, simhash(t)) for d, t in docs]
+    codes = sorted({f for _, f in prints})
+    parent = {f: f for f in codes}
+
+    def root(f):
+        while parent[f] != f:
+            f = parent[f]
+        return f
+
+    for i, a in enumerate(codes):
+        for b in codes[i + 1:]:
+            if (a ^ b).bit_count() <= reach:
+                parent[root(b)] = root(a)
+    low = {}
+    for d, f in prints:
+        low[root(f)] = min(d, low.get(root(f), d))
+    return [(d, f"{f:016x}", low[root(f)]) for d, f in prints]
+
+
+LETTERS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def source_audit(docs, least=30, top=50):
+    """docs: (text, lang, source); rows of both parts."""
+    rows = [(LETTERS.findall((t or "").translate(LOWER)), lang or "", source or "")
+            for t, lang, source in docs]
+    out = []
+    for lang in {r[1] for r in rows}:
+        here = [r for r in rows if r[1] == lang]
+        held = Counter(x for words, _, _ in here for x in set(words))
+        kept = {x for x, n in held.items() if n >= least}
+        counts = {s: Counter() for _, _, s in here}
+        for words, _, s in here:
+            counts[s].update(x for x in words if x in kept)
+        whole = sum(counts.values(), Counter())
+
+        def shares(c):
+            below = sum(c.values()) + 5 * len(kept)
+            return {x: 1 + 10**9 * (c[x] + 5) // below for x in kept}
+        p, q = {s: shares(c) for s, c in counts.items()}, shares(whole)
+        for s in counts:
+            pairs = [(-sum(abs(p[s][x] - p[o][x]) for x in kept), o.encode()) for o in counts if o != s]
+            terms = [(q[x] - p[s][x], x.encode()) for x in kept if counts[s][x] and p[s][x] > q[x]]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                out += [(lang, s, part, item.decode(), -value, rank)
+                        for rank, (value, item) in enumerate(found, 1)]
+    return out
+
+
+def filter_audit(docs, labels):
+    """docs: (doc_id, text, part); labels: (doc_id, quality, toxic)."""
+    good = {d for d, q, _ in labels if q == 1 and d is not None}
+    toxic = {d for d, _, t in labels if t == 1 and d is not None}
+    fails = []
+    for d, text, part in docs:
+        t = text or ""
+        w = blank_words(t)
+        fails.append((part or "", d, {x for x, bad in (
+            ("A", len(w) < 200), ("B", 100 * len(set(w)) < 50 * len(w)),
+            ("C", 100 * len(re.findall("[A-Z]", t)) > 3 * len(t)),
+            ("D", bool(re.search(r"[#$%&*|]", t))),
+            ("E", d is not None and any(o is not None and o < d and (x or "") == t
+                                        for o, x, _ in docs))) if bad}))
+    out = []
+    for part in {p for p, _, _ in fails}:
+        here = [(d, f) for p, d, f in fails if p == part]
+        shapley = Counter()
+        rows = []
+        for order in permutations("ABCDE"):
+            left = here
+            for step, letter in enumerate(order, 1):
+                gone = [x for x in left if letter in x[1]]
+                left = [x for x in left if letter not in x[1]]
+                failing = sum(letter in f for _, f in here)
+                shapley[letter] += len(gone)
+                rows.append((part, "".join(order), step, len(left), len(gone), failing - len(gone),
+                             sum(f == {letter} for _, f in here), sum(d in good for d, _ in gone),
+                             sum(d in toxic for d, _ in gone), letter))
+        out += [(*r[:-1], shapley[r[-1]]) for r in rows]
+    return out
