@@ -122,8 +122,8 @@ def prefix_steps(cells: DataFrame, letters: str) -> DataFrame:
         F.struct("mask", "n", "good", "toxic"))).alias("cells")), "audit-parts")
     rows = by_part.count() * sum(math.perm(len(letters), k) for k in range(len(letters) + 1))
     # the session bounds a recursion by rows (a million unless told otherwise)
-    if 0 <= int(spark.conf.get(ROW_LIMIT, "1000000")) < rows:
-        spark.conf.set(ROW_LIMIT, rows)
+    if 0 <= int(spark.conf.get(ROW_LIMIT, "1000000")) <= rows:
+        spark.conf.set(ROW_LIMIT, rows + 1)
     return stored(spark.sql(_STEPS.replace("{letters}", letters).replace(
         "{last}", str(len(letters) - 1)), cells=by_part), "audit-steps")
 
