@@ -46,7 +46,7 @@ MIN_DOCUMENTS = 30
 TOP_TERMS = 50
 SCALE, SMOOTHING = 1_000_000_000, 5
 TILE = 128              # sources compared by one task
-BLOCK_ROWS = 250_000    # counted terms of a block of a language, about
+BLOCK_ROWS = 1 << 14    # counted terms of a block of a language, about
 HELD = 1 << 19          # packed counts a task holds before it merges them
 STRIP = 1 << 18         # numbers of a strip of terms compared at once
 

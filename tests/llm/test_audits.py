@@ -197,7 +197,7 @@ def test_source_audit_on_table(spark):
          brute.source_audit([tuple(r) for r in docs.collect()]))
 
 
-@pytest.mark.parametrize("tile,block_rows,held", [(128, 250_000, 1 << 19), (2, 10, 8), (1, 3, 1 << 19)])
+@pytest.mark.parametrize("tile,block_rows,held", [(128, 1 << 14, 1 << 19), (2, 10, 8), (1, 3, 1 << 19)])
 def test_source_audit_on_fixture(documents, rows, monkeypatch, tile, block_rows, held):
     monkeypatch.setattr(source_audit, "HELD", held)
     monkeypatch.setattr(source_audit, "STRIP", 4 * tile)
