@@ -22,6 +22,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.relational import union_all
+
 log = logging.getLogger(__name__)
 
 DEFAULT_FETCHSIZE = 50_000
@@ -101,16 +103,19 @@ def read_table(spark: SparkSession, source: JdbcSource | ParquetSource, table: s
                num_partitions: int | None = None,
                predicates: Sequence[str] | None = None,
                split_column: str | None = SPLIT_COLUMN, split_from: str = SPLIT_FROM,
-               split_to: str | None = None) -> DataFrame:
+               split_to: str | None = None, splits: int | None = None,
+               split_by: Sequence[str] | None = None) -> DataFrame:
     """SRC-1..4, SRC-6: read a whole table, some columns, or some rows.
 
     ``columns`` and ``where`` are applied on the DataFrame; the JDBC and
     Parquet sources push both into the scan (``ReadSchema`` /
     ``PushedFilters``). A JDBC read is always split: by a numeric/date
     ``partition_column`` with bounds and a number of partitions, by explicit
-    ``predicates`` (one partition each), or by default by months of
-    ``split_column``, rows without one included. A table that offers none of
-    these is refused instead of being read through one cursor.
+    ``predicates`` (one partition each), into ``splits`` parts of equal row
+    count over the columns ``split_by`` (see ``splits``; a text ``where`` is
+    respected), or by default by months of ``split_column``, rows without one
+    included. A table that offers none of these is refused instead of being
+    read through one cursor.
     """
     if isinstance(source, ParquetSource):
         df = spark.read.parquet(source.path(table))
@@ -122,6 +127,12 @@ def read_table(spark: SparkSession, source: JdbcSource | ParquetSource, table: s
               .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
               .option("numPartitions", str(num_partitions)).load())
     else:
+        if not predicates and splits is not None:
+            from .splits import plan_splits
+
+            predicates = plan_splits(spark, source, quote_table(table),
+                                     split_by or [split_column or SPLIT_COLUMN], splits,
+                                     where if isinstance(where, str) else None)
         if not predicates and split_column is None:
             raise ValueError(f"{table}: name a split_column, a partition_column or predicates")
         df = _predicate_read(spark, source, quote_table(table), predicates or modified_ranges(
@@ -169,11 +180,14 @@ def read_query(spark: SparkSession, source: JdbcSource | None, query: str,
     """SRC-5: an arbitrary query with ``:name`` bind parameters.
 
     Over JDBC the query runs in the database, parameters bound as literals;
-    ``predicates`` over its result columns split the read, one task each.
+    ``predicates`` over its result columns split the read, one task each (the
+    database runs the query once for each of them).
     With ``source=None`` it runs over registered views, bound by Spark.
     """
     if source is None:
-        return spark.sql(query, args=dict(params or {}))
+        args = dict(params or {})
+        parts = [spark.sql(f"SELECT * FROM ({query}) AS q WHERE {p}", args=args) for p in predicates or ()]
+        return union_all(parts) if parts else spark.sql(query, args=args)
     bound = bind_parameters(query, params or {})
     if predicates:
         return _predicate_read(spark, source, f"({bound}) AS q", predicates)
@@ -214,16 +228,20 @@ def landing_path(output_dir: str, table: str, ds: str | None = None) -> str:
 def write_parquet(df: DataFrame, path: str, compression: str = "snappy",
                   mode: str = "overwrite", partition_by: Sequence[str] = (),
                   sort_within: Sequence[str] = (), max_rows_per_file: int | None = None,
-                  replace_partitions: bool = False) -> int:
+                  replace_partitions: bool = False,
+                  also: Mapping[str, Column] | None = None) -> int | dict:
     """SNK-1 / SNK-3: write a Parquet dataset and return its row count.
 
     The count is an ``Observation`` collected by the write itself (no second
     pass). An empty result still writes a schema-bearing dataset and logs a
     warning. ``replace_partitions`` overwrites only the partitions present in
     ``df`` (dynamic partition overwrite), so re-running a load is idempotent.
+    With ``also`` (named aggregates over the rows) the write observes these too
+    and returns everything observed, the count as ``rows``.
     """
     obs = Observation("rows_written")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                          *[c.alias(n) for n, c in (also or {}).items()])
     if sort_within:
         observed = observed.sortWithinPartitions(*sort_within)
     writer = observed.write.mode(mode).option("compression", compression)
@@ -234,20 +252,37 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy",
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    rows = int(obs.get.get("rows", 0))
+    seen = obs.get
+    rows = int(seen.get("rows", 0))
     if rows == 0:
         log.warning("no rows written to %s", path)
     else:
         log.info("wrote %s rows to %s", rows, path)
-    return rows
+    return {**{n: seen.get(n) for n in also}, "rows": rows} if also else rows
 
 
 def extract_query_to_landing(spark: SparkSession, source: JdbcSource | None, query: str,
                              output_path: str, params: Mapping[str, object] | None = None,
-                             compression: str = "snappy") -> tuple[str, int]:
+                             compression: str = "snappy",
+                             predicates: Sequence[str] | None = None,
+                             split_by: Sequence[str] | None = None,
+                             splits: int | None = None) -> tuple[str, int]:
     """SRC-5 + SNK-1/3: land the result of an arbitrary query; returns
-    (path, rows written). An empty result still leaves a readable dataset."""
-    df = read_query(spark, source, query, params)
+    (path, rows written). An empty result still leaves a readable dataset.
+
+    The read is split by ``predicates`` over the result's columns, or into
+    ``splits`` parts of equal row count over the columns ``split_by``: the
+    bounds come from the query's own result and are pushed as predicates. A row
+    that changes between the parts' queries is read as each of them finds it.
+    """
+    if not predicates and splits is not None:
+        from .splits import plan_splits
+
+        if not split_by:
+            raise ValueError("name the columns to split the result by")
+        predicates = plan_splits(spark, source, f"({bind_parameters(query, params or {})}) AS q",
+                                 split_by, splits)
+    df = read_query(spark, source, query, params, predicates)
     return output_path, write_parquet(df, output_path, compression=compression)
 
 
