@@ -23,15 +23,21 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.functions.columns import first_non_blank, load_ladder, load_rung, week_sunday
-from ledgerline.operators import quality
+from ledgerline.operators import key_filter, quality
 from ledgerline.operators.aggregates import detail_and_total, latest_per_key
 from ledgerline.operators.calendar import calendar_of
+from ledgerline.operators.hot_keys import lookup_spread
+from ledgerline.operators.prefix import running_totals
 from ledgerline.operators.relational import exists_in, missing_from
-from ledgerline.plans import finance, models, purchase, sales
+from ledgerline.plans import finance, incremental, models, purchase, sales
 from ledgerline.session import scratch_path
-from ledgerline.sources.compaction import compact_landing, read_snapshot
-from ledgerline.sources.extract import (ParquetSource, extract_to_landing, landing_path,
-                                        write_parquet)
+from ledgerline.sources.compaction import (compact_landing, compact_table, read_snapshot,
+                                           rows_of_keys)
+from ledgerline.sources.deletions import drop_deleted
+from ledgerline.sources.extract import (ParquetSource, extract_query_to_landing, extract_to_landing,
+                                        landing_path, write_parquet)
+from ledgerline.sources.marks import pull_increment
+from ledgerline.sources.splits import plan_splits
 from ledgerline.sources.testbed import ErpTables, landed_testbed
 from ledgerline.streaming.increments import (current_rows, pull_to_folder, stream_increments,
                                              with_modified)
@@ -260,6 +266,162 @@ def _compacted_snapshot(s: SparkSession, d: str) -> DataFrame:
     return read_snapshot(s, snapshot, "orders")
 
 
+def _order_rows(orders: DataFrame, plus: int = 0) -> DataFrame:
+    return orders.select(F.col("o_orderkey").alias("name"), (F.col("o_totalprice") + plus).alias("price"),
+                         F.col("o_orderdate").cast("timestamp_ntz").alias("modified"))
+
+
+def _marked_pulls(s: SparkSession, d: str) -> DataFrame:
+    """Three pulls of a growing order table, each from the mark of the one
+    before; the second dies before its mark (its landed rows stay)."""
+    orders, key, day = _raw(s, d, "orders"), F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    landing, snapshot = scratch_path(s, "landing"), scratch_path(s, "snapshot")
+    first, second = dt.date(1996, 1, 1), dt.date(1998, 6, 1)
+    moved = _order_rows(orders.where((day < F.lit(first)) & (key % 10 == 0)), 7).withColumn(
+        "modified", F.lit(dt.datetime(1998, 6, 1, 8)).cast("timestamp_ntz"))
+    states = [_order_rows(orders.where(day < F.lit(first)), 3).withColumn(
+                  "price", F.col("price") - F.when(F.col("name") % 10 != 0, 3).otherwise(0)),
+              _order_rows(orders.where(day < F.lit(second)), 0),
+              _order_rows(orders.where((day >= F.lit(first)) | (key % 10 != 0))).unionByName(moved)]
+    for i, (state, began) in enumerate(zip(states, (first, second, dt.date(2001, 8, 2)))):
+        source = ParquetSource(scratch_path(s, "source"))
+        write_parquet(state, source.path("tabOrder"))
+        if i == 1:      # landed, but never marked
+            extract_to_landing(s, source, "tabOrder", landing, ds="pull1",
+                               where=F.col("modified") >= F.lit(first))
+        else:
+            pull_increment(s, source, "tabOrder", landing, f"pull{i}",
+                           began=dt.datetime.combine(began, dt.time()))
+    compact_table(s, landing, snapshot, "orders", "tabOrder")
+    return read_snapshot(s, snapshot, "orders")
+
+
+def _split_query_extract(s: SparkSession, d: str) -> DataFrame:
+    """A report-shaped query landed in twelve parts of equal row count."""
+    _raw(s, d, "lineitem").createOrReplaceTempView("pulled_lineitem")
+    query = ("SELECT l_suppkey, l_returnflag, COUNT(*) AS n_lines, MAX(l_shipdate) AS last_ship "
+             "FROM pulled_lineitem WHERE l_quantity > :least GROUP BY l_suppkey, l_returnflag")
+    path, _rows = extract_query_to_landing(s, None, query, scratch_path(s, "query"), {"least": 10},
+                                           split_by=["l_returnflag", "l_suppkey"], splits=12)
+    return s.read.parquet(path)
+
+
+def _planned_splits(s: SparkSession, d: str) -> DataFrame:
+    """Rows of ``orders`` by the parts of a plan over a text and a number:
+    every row is in exactly one part."""
+    orders = _raw(s, d, "orders")
+    orders.createOrReplaceTempView("pulled_orders")
+    parts = plan_splits(s, None, "pulled_orders", ["o_orderpriority", "o_orderkey"], 16)
+    hits = sum((F.when(F.expr(p), 1).otherwise(0) for p in parts), F.lit(0))
+    return orders.select("o_orderkey", "o_orderpriority", hits.cast("int").alias("n_parts"))
+
+
+def _deleted_rows(s: SparkSession, d: str) -> DataFrame:
+    """Orders that are gone from the source leave the snapshot."""
+    orders = _raw(s, d, "orders")
+    landing, snapshot = scratch_path(s, "landing"), scratch_path(s, "snapshot")
+    write_parquet(_order_rows(orders), landing_path(landing, "tabOrder", "2001-07-01"))
+    compact_table(s, landing, snapshot, "orders", "tabOrder")
+    _order_rows(orders.where(F.col("o_orderkey") % 50 != 0)).createOrReplaceTempView("orders_now")
+    drop_deleted(s, None, "orders_now", snapshot, "orders")
+    return read_snapshot(s, snapshot, "orders")
+
+
+def _dimension_load(s: SparkSession, d: str) -> DataFrame:
+    """Two loads of customers and of products; stamps tell what changed."""
+    snapshot, times = scratch_path(s, "dimensions"), [dt.datetime(2001, 7, 1), dt.datetime(2001, 7, 15)]
+    nation = _raw(s, d, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    customers = _raw(s, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"), "country")
+    products = _raw(s, d, "part").select(
+        F.col("p_partkey").alias("product_sku"), F.col("p_name").alias("product_name"),
+        F.col("p_retailprice").cast("double").alias("unit_price"))
+    key, sku = F.col("customer_id"), F.col("product_sku")
+    incremental.load_dimension(s, "customers", customers.where(key % 7 != 0), snapshot, times[0])
+    incremental.load_dimension(s, "products", products, snapshot, times[0])
+    incremental.load_dimension(s, "customers", customers.where(key % 5 != 0).withColumn(
+        "country", F.when(key % 3 == 0, F.lit(None)).otherwise(F.col("country"))), snapshot, times[1])
+    incremental.load_dimension(s, "products", products.withColumn(
+        "unit_price", F.when(sku % 4 == 0, F.col("unit_price") + 1).otherwise(F.col("unit_price"))),
+        snapshot, times[1])
+
+    def shown(name: str, key: str, content: str) -> DataFrame:
+        return read_snapshot(s, snapshot, name).select(
+            F.lit(name).alias("dimension"), F.col(key).cast("long").alias("id"),
+            F.col(content).cast("string").alias("content"),
+            F.date_format("created_at", "yyyy-MM-dd").alias("created"),
+            F.date_format("updated_at", "yyyy-MM-dd").alias("updated"))
+    return shown("customers", "customer_id", "country").unionByName(
+        shown("products", "product_sku", "product_name"))
+
+
+def _tracker_by_increments(s: SparkSession, d: str) -> DataFrame:
+    """The sales tracker of sums that three pulls kept up: invoices change
+    amount, day and status between pulls."""
+    si = _t(s, d).sales_invoice.select("name", "posting_date", "base_grand_total", "docstatus")
+    landing, snapshot, state = (scratch_path(s, x) for x in ("landing", "snapshot", "daily"))
+    kind = F.pmod(F.xxhash64("name"), F.lit(10))
+    early = si.withColumns({
+        "base_grand_total": F.when(kind == 0, F.col("base_grand_total") + 5).otherwise(F.col("base_grand_total"))
+        .cast("decimal(18,2)"),
+        "posting_date": F.when(kind == 1, F.date_add("posting_date", 3)).otherwise(F.col("posting_date")),
+        "docstatus": F.when(kind == 2, 1).when(kind == 3, 2).otherwise(F.col("docstatus"))})
+    for i, pull in enumerate((early, si.where(kind.isin(0, 3)), si.where(kind.isin(1, 2, 9)))):
+        stamped = pull.withColumn("modified", F.lit(dt.datetime(2001, 7, 1 + i)).cast("timestamp_ntz"))
+        write_parquet(stamped, landing_path(landing, "tabSales Invoice", f"2001-07-0{1 + i}"))
+        compact_landing(s, landing, snapshot, {"sales_invoice": "tabSales Invoice"})
+        daily = incremental.refresh_daily_sales(s, snapshot, state)
+    return sales.tracker_of_days(daily.select("posting_date", "sales_today"), AS_OF, MONTHLY_TARGET)
+
+
+def _increment_checks(s: SparkSession, d: str) -> DataFrame:
+    """Key checks of new order lines against filters of what is there: lines
+    repeated within the increment and against the snapshot, lines without order."""
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    lines = _raw(s, d, "lineitem").select("l_orderkey", "l_linenumber")
+    old = lines.where(key % 4 != 0).distinct().withColumn(
+        "name", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    landing, snapshot = scratch_path(s, "landing"), scratch_path(s, "snapshot")
+    write_parquet(old.withColumn("modified", F.lit(dt.datetime(2001, 7, 1)).cast("timestamp_ntz")),
+                  landing_path(landing, "tabLine", "2001-07-01"))
+    n = compact_table(s, landing, snapshot, "lines", "tabLine")
+    there = read_snapshot(s, snapshot, "lines")
+    held = key_filter.key_filter(there, ["name"], key_filter.filter_bits(n))
+    new = lines.where((key % 4 == 0) | (line == 3)).withColumn(
+        "name", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    twice = key_filter.pk_violations_of_increment(
+        new, ["name"], held, lambda keys: rows_of_keys(s, snapshot, "lines", keys))
+    orders = _raw(s, d, "orders").where(F.col("o_orderkey") % 6 != 0).select("o_orderkey")
+    known = key_filter.key_filter(orders, ["o_orderkey"], key_filter.filter_bits(orders.count()))
+    lost = key_filter.fk_orphans_of_increment(new, "l_orderkey", known, "o_orderkey",
+                                              lambda keys: orders, ["name"])
+    return (twice.select(F.lit("repeated").alias("check_name"), "name", "n_rows")
+            .unionByName(lost.groupBy("name").agg(F.count(F.lit(1)).alias("n_rows"))
+                         .withColumn("check_name", F.lit("no order"))))
+
+
+def _running_totals(s: SparkSession, d: str) -> DataFrame:
+    """Submitted sales of every day and customer, with the running total of all
+    and of the customer."""
+    si = _t(s, d).sales_invoice.where(F.col("docstatus") == 1)
+    daily = si.groupBy("posting_date", "customer").agg(F.sum("base_grand_total").alias("amount"))
+    all_days = running_totals(daily, ["posting_date", "customer"], "amount", "total")
+    both = running_totals(all_days, ["posting_date"], "amount", "customer_total", within=["customer"])
+    return both.select("posting_date", "customer", *[F.col(c).cast("double").alias(c)
+                                                     for c in ("amount", "total", "customer_total")])
+
+
+def _hot_key_lookup(s: SparkSession, d: str) -> DataFrame:
+    """Lines per supplier name where a third of all lines is one supplier's and
+    some have none."""
+    supplier = F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).when(
+        F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.col("l_suppkey"))
+    lines = _raw(s, d, "lineitem").select(supplier.alias("suppkey"), "l_quantity")
+    named = lookup_spread(lines, _raw(s, d, "supplier"), "suppkey", "s_suppkey", ["s_name"])
+    return named.groupBy("s_name").agg(F.count(F.lit(1)).alias("n_lines"),
+                                       F.sum("l_quantity").cast("double").alias("quantity"))
+
+
 def _landing_report(s: SparkSession, d: str) -> DataFrame:
     """Where three extracts were landed and the rows their writes counted."""
     landing, source = scratch_path(s, "landing"), ParquetSource(d)
@@ -317,6 +479,15 @@ def _operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_merge": _incremental_merge,
         "compacted_snapshot": _compacted_snapshot,
         "landing_report": _landing_report,
+        "marked_pulls": _marked_pulls,
+        "planned_splits": _planned_splits,
+        "split_query_extract": _split_query_extract,
+        "deleted_rows": _deleted_rows,
+        "dimension_load": _dimension_load,
+        "tracker_by_increments": _tracker_by_increments,
+        "increment_checks": _increment_checks,
+        "running_totals": _running_totals,
+        "hot_key_lookup": _hot_key_lookup,
         "star_schema_load": _star_schema_load,
     }
 

@@ -302,6 +302,10 @@ def _month_sales(sales_invoice: DataFrame, day: Column) -> DataFrame:
     return si.groupBy("posting_date").agg(F.sum("base_grand_total").alias("sales_today"))
 
 
+def _of_month(daily: DataFrame, day: Column) -> DataFrame:
+    return daily.where(F.col("posting_date").between(F.trunc(day, "MM"), F.last_day(day)))
+
+
 def target_tracker(sales_invoice: DataFrame, as_of: DateLike | None = None,
                    monthly_target: int = 0) -> DataFrame:
     """RPT-13: cumulative sales against the cumulative target, days with sales.
@@ -310,8 +314,15 @@ def target_tracker(sales_invoice: DataFrame, as_of: DateLike | None = None,
     over the days left in the month (NULL on the last day).
     """
     day = as_of_or_today(as_of)
+    return tracker_of_days(_month_sales(sales_invoice, day), as_of, monthly_target)
+
+
+def tracker_of_days(daily: DataFrame, as_of: DateLike | None = None,
+                    monthly_target: int = 0) -> DataFrame:
+    """RPT-13 from sales per day (``posting_date``, ``sales_today``)."""
+    day = as_of_or_today(as_of)
     target = daily_target(monthly_target, days_in_month(day))
-    daily = _month_sales(sales_invoice, day)
+    daily = _of_month(daily, day)
     tracked = daily.select(
         "posting_date", "sales_today",
         running_sum("sales_today", "posting_date").alias("cumulative_sales"),
@@ -332,9 +343,16 @@ def calendar_target_tracker(sales_invoice: DataFrame, as_of: DateLike | None = N
     """RPT-14: the tracker on every day of the month, with a new daily target
     from today on that spreads today's deficit over the remaining days."""
     day = as_of_or_today(as_of)
+    return calendar_tracker_of_days(_month_sales(sales_invoice, day), as_of, monthly_target)
+
+
+def calendar_tracker_of_days(daily: DataFrame, as_of: DateLike | None = None,
+                             monthly_target: int = 0) -> DataFrame:
+    """RPT-14 from sales per day (``posting_date``, ``sales_today``)."""
+    day = as_of_or_today(as_of)
     target = daily_target(monthly_target, days_in_month(day))
-    daily = _month_sales(sales_invoice, day)
-    days = month_calendar(sales_invoice.sparkSession, day)
+    daily = _of_month(daily, day)
+    days = month_calendar(daily.sparkSession, day)
     days = days.join(daily, "posting_date", "left").select(
         "posting_date", F.coalesce(F.col("sales_today"), F.lit(0)).alias("sales_today"))
     tracked = days.select(

@@ -99,3 +99,19 @@ def application_id(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of a location; the driver's JVM lists
+    and looks up folders through it."""
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(sc._jsc.hadoopConfiguration()), at
+
+
+def read_if_there(spark: SparkSession, path: str, schema: str):
+    """A Parquet table that may not have been written yet: empty then."""
+    fs, at = file_system(spark, path)
+    if not fs.exists(at):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)

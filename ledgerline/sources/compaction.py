@@ -33,12 +33,12 @@ import uuid
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.aggregates import latest_per_key
+from ..session import file_system, read_if_there
 from .extract import SOURCE_TABLES, laid_out, safe_table_name, write_parquet
 
 #: Rows that a new table gets per bucket, and the most buckets it gets.
@@ -66,15 +66,6 @@ def _at(snapshot_dir: str, kind: str, table: str, run: str | None = None) -> str
     return base if run is None else f"{base}/run={run}"
 
 
-def _read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 # ---------------------------------------------------------------------------
 # Versions
 # ---------------------------------------------------------------------------
@@ -82,7 +73,7 @@ def _read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def _history(spark: SparkSession, snapshot_dir: str, table: str) -> list[Row]:
     """Complete versions that lead to the newest one, newest first: one row per
     compaction of the table."""
-    known = _read_if_there(spark, _at(snapshot_dir, "_versions", table), _VERSIONS).collect()
+    known = read_if_there(spark, _at(snapshot_dir, "_versions", table), _VERSIONS).collect()
     if any(r.run is None for r in known):
         raise ValueError(f"the snapshot of {table} in {snapshot_dir} was written before pulls were "
                          "listed; compact into a new folder")
@@ -133,6 +124,17 @@ def read_snapshot(spark: SparkSession, snapshot_dir: str, table: str,
     return _visible(rows)
 
 
+def rows_of_keys(spark: SparkSession, snapshot_dir: str, table: str, keys: DataFrame,
+                 key: str = "name") -> DataFrame:
+    """Rows of the newest version in the buckets that hold ``keys``; other
+    buckets are not read."""
+    now = current_version(spark, snapshot_dir, table)
+    asked = {r[0] for r in keys.select(bucket_of(key, now.buckets)).distinct().collect()}
+    held = manifest(spark, snapshot_dir, table, now)
+    return _visible(_bucket_rows(spark, snapshot_dir, table, now,
+                                 {b: run for b, run in held.items() if b in asked}))
+
+
 def _visible(rows: DataFrame) -> DataFrame:
     return rows.where(~F.coalesce("__gone", F.lit(False))).drop(*_LANDING)
 
@@ -155,15 +157,13 @@ def landed_since(spark: SparkSession, path: str, upto=None) -> DataFrame:
 
 def landed_pulls(spark: SparkSession, path: str) -> list[Pull]:
     """Complete pulls (``ds=`` folders with a commit marker) of one table."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(conf)
+    fs, folder = file_system(spark, path)
     if not fs.exists(folder):
         return []
     out = []
     for status in fs.listStatus(folder):
         name = status.getPath().getName()
-        marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        _, marker = file_system(spark, f"{status.getPath().toString()}/_SUCCESS")
         if status.isDirectory() and name.startswith("ds=") and fs.exists(marker):
             out.append(Pull(name[3:], fs.getFileStatus(marker).getModificationTime(),
                             f"{path.rstrip('/')}/{name}"))
@@ -174,7 +174,7 @@ def pulls_not_taken(spark: SparkSession, path: str, snapshot_dir: str, table: st
                     history: Sequence[Row]) -> list[Pull]:
     """Pulls under ``path`` that no version of ``history`` has taken."""
     runs = {r.run for r in history}
-    listed = _read_if_there(spark, _at(snapshot_dir, "_taken", table), _TAKEN + ", run string")
+    listed = read_if_there(spark, _at(snapshot_dir, "_taken", table), _TAKEN + ", run string")
     taken = {(r.ds, r.marked) for r in listed.collect() if r.run in runs}
     return [p for p in landed_pulls(spark, path) if (p.ds, p.marked) not in taken]
 

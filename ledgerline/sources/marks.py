@@ -24,10 +24,10 @@ from __future__ import annotations
 import datetime as dt
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from ..session import read_if_there
 from .extract import (SPLIT_COLUMN, JdbcSource, ParquetSource, landing_path, quote_table, read_table,
                       safe_table_name, sql_literal, write_parquet)
 
@@ -49,12 +49,7 @@ def _marks_path(landing_dir: str, table: str) -> str:
 
 def marks(spark: SparkSession, landing_dir: str, table: str):
     """One row per finished pull of a table."""
-    try:
-        return spark.read.schema(_MARKS).parquet(_marks_path(landing_dir, table))
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], _MARKS)
+    return read_if_there(spark, _marks_path(landing_dir, table), _MARKS)
 
 
 def next_bound(spark: SparkSession, landing_dir: str, table: str, ds: str,

@@ -612,6 +612,71 @@ SELECT o_orderkey AS name, price, CAST(modified AS TIMESTAMP) AS modified FROM l
 QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY modified DESC NULLS LAST, pull DESC) = 1
 """
 
+MARKED_PULLS = """
+SELECT o_orderkey AS name,
+  o_totalprice + if(o_orderkey % 10 = 0 AND o_orderdate < TIMESTAMP '1996-01-01', 7, 0) AS price,
+  if(o_orderkey % 10 = 0 AND o_orderdate < TIMESTAMP '1996-01-01', TIMESTAMP '1998-06-01 08:00:00',
+     CAST(o_orderdate AS TIMESTAMP)) AS modified
+FROM orders
+"""
+
+PLANNED_SPLITS = """
+SELECT o_orderkey, o_orderpriority, 1 AS n_parts FROM orders
+"""
+
+SPLIT_QUERY_EXTRACT = """
+SELECT l_suppkey, l_returnflag, count(*) AS n_lines, max(l_shipdate) AS last_ship
+FROM lineitem WHERE l_quantity > 10 GROUP BY ALL
+"""
+
+DELETED_ROWS = """
+SELECT o_orderkey AS name, o_totalprice + 0 AS price, CAST(o_orderdate AS TIMESTAMP) AS modified
+FROM orders WHERE o_orderkey % 50 <> 0
+"""
+
+DIMENSION_LOAD = """
+people AS (
+  SELECT c_custkey AS id, n_name AS country, c_custkey % 7 <> 0 AS early, c_custkey % 5 <> 0 AS late,
+         if(c_custkey % 3 = 0, NULL, n_name) AS later
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)
+SELECT 'customers' AS dimension, id, if(late, later, country) AS content,
+       if(early, '2001-07-01', '2001-07-15') AS created,
+       if(NOT early OR late AND later IS DISTINCT FROM country, '2001-07-15', '2001-07-01') AS updated
+FROM people WHERE early OR late
+UNION ALL
+SELECT 'products', p_partkey, p_name, '2001-07-01', if(p_partkey % 4 = 0, '2001-07-15', '2001-07-01')
+FROM part
+"""
+
+INCREMENT_CHECKS = """
+old AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 4 <> 0),
+new AS (SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 4 = 0 OR l_linenumber = 3)
+SELECT 'repeated' AS check_name, l_orderkey || '-' || l_linenumber AS name, count(*) AS n_rows
+FROM (SELECT *, 1 AS is_new FROM new UNION ALL SELECT *, 0 FROM old)
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1 AND max(is_new) = 1
+UNION ALL
+SELECT 'no order', l_orderkey || '-' || l_linenumber, count(*) FROM new
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 6 <> 0)
+GROUP BY l_orderkey, l_linenumber
+"""
+
+RUNNING_TOTALS = """
+daily AS (
+  SELECT posting_date, customer, sum(base_grand_total) AS amount
+  FROM erp_sales_invoice WHERE docstatus = 1 GROUP BY ALL)
+SELECT posting_date, customer, amount::DOUBLE AS amount,
+  (sum(amount) OVER (ORDER BY posting_date, customer))::DOUBLE AS total,
+  (sum(amount) OVER (PARTITION BY customer ORDER BY posting_date))::DOUBLE AS customer_total
+FROM daily
+"""
+
+HOT_KEY_LOOKUP = """
+SELECT s_name, count(*) AS n_lines, sum(l_quantity)::DOUBLE AS quantity
+FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_linenumber = 7 THEN NULL ELSE l_suppkey END AS k,
+             l_quantity FROM lineitem)
+LEFT JOIN supplier ON s_suppkey = k GROUP BY s_name
+"""
+
 _BODIES = {
     "supplier_total_owed": SUPPLIER_TOTAL_OWED,
     "supplier_balances": SUPPLIER_BALANCES,
@@ -655,6 +720,15 @@ _BODIES = {
     "detail_with_total": DETAIL_WITH_TOTAL,
     "incremental_merge": INCREMENTAL_MERGE,
     "compacted_snapshot": COMPACTED_SNAPSHOT,
+    "marked_pulls": MARKED_PULLS,
+    "planned_splits": PLANNED_SPLITS,
+    "split_query_extract": SPLIT_QUERY_EXTRACT,
+    "deleted_rows": DELETED_ROWS,
+    "dimension_load": DIMENSION_LOAD,
+    "tracker_by_increments": TARGET_TRACKER,
+    "increment_checks": INCREMENT_CHECKS,
+    "running_totals": RUNNING_TOTALS,
+    "hot_key_lookup": HOT_KEY_LOOKUP,
 }
 
 
