@@ -35,7 +35,8 @@ from .textbytes import (LOWERED, PLAIN_WORD, prefix_hash, shingle_hash, span_has
 
 WINDOW = 13
 GRAM = 5
-BITMAP_BITS = 1 << 23
+#: Slots per distinct benchmark shingle, and bounds of the bitmap's size.
+SLOTS_PER_GRAM, LEAST_BITS, MOST_BITS = 16, 1 << 23, 1 << 28
 
 
 def item_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text",
@@ -61,7 +62,14 @@ def _slots(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (hashes & np.uint64(bits - 1)).astype(np.int64)      # bits: a power of two
 
 
-def gram_bitmap(grams: DataFrame, bits: int = BITMAP_BITS) -> tuple[np.ndarray, list[int]]:
+def bitmap_bits(grams: DataFrame) -> int:
+    """Size of the bitmap: a power of two with ``SLOTS_PER_GRAM`` slots for each
+    distinct shingle, so that one in sixteen slots is set, up to 32 MB."""
+    n = grams.agg(F.approx_count_distinct("gram")).first()[0]
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (SLOTS_PER_GRAM * n).bit_length()))
+
+
+def gram_bitmap(grams: DataFrame, bits: int = LEAST_BITS) -> tuple[np.ndarray, list[int]]:
     """One flag per hash slot of a benchmark shingle, and the lengths (in
     words) that shingles have. The flags are ``bits`` in number."""
     def flags(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
@@ -116,14 +124,16 @@ def _scanner(bitmap, lengths: list[int], window: int):
 
 def scan_documents(documents: DataFrame, grams: DataFrame, key: str = "doc_id",
                    text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(row, doc_id, n_words, hits) of every document, stored."""
-    bitmap, lengths = gram_bitmap(grams)
+    """(row, doc_id, n_words, hits) of every document, stored. Rows are
+    numbered before they are stored: a number put on a later read would change
+    with the splits of that read."""
+    bitmap, lengths = gram_bitmap(grams, bitmap_bits(grams))
     shared = documents.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
     rows = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     schema = (f"doc_id {dict(rows.dtypes)['doc_id']}, n_words long, "
               "hits array<struct<p:long,gram:string,from:long,around:string>>")
-    scanned = stored(rows.mapInArrow(_scanner(shared, lengths, window), schema), "decon-scan")
-    return scanned.select(F.monotonically_increasing_id().alias("row"), "*")
+    scanned = rows.mapInArrow(_scanner(shared, lengths, window), schema)
+    return stored(scanned.select(F.monotonically_increasing_id().alias("row"), "*"), "decon-scan")
 
 
 def occurrences(scanned: DataFrame, windows: DataFrame, grams: DataFrame) -> DataFrame:
@@ -159,10 +169,9 @@ def contamination_rule(n_hit: Column, n_words: Column) -> Column:
     return (n_hit > 0) & (20 * n_hit >= n_words)
 
 
-def judge_documents(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id",
-                    text: str = "text", item_key: str = "item_id", item_text: str = "text"
-                    ) -> DataFrame:
-    """Words, hit words, items and verdict of every document."""
+def _judged_rows(documents: DataFrame, benchmark: DataFrame, key: str, text: str, item_key: str,
+                 item_text: str) -> DataFrame:
+    """(row, doc_id, n_words, n_hit, items, contaminated) of every document."""
     windows = stored(item_windows(benchmark, item_key, item_text), "decon-windows")
     grams = stored(window_grams(windows), "decon-grams")
     scanned = scan_documents(documents, grams, key, text)
@@ -172,14 +181,27 @@ def judge_documents(documents: DataFrame, benchmark: DataFrame, key: str = "doc_
     items = (join_small(found.select("row", "window").distinct(), windows, ["window"], "row")
              .groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("items")))
     return (scanned.select("row", "doc_id", "n_words").join(hit.join(items, "row"), "row", "left")
-            .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+            .select("row", "doc_id", "n_words",
+                    F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items"))
             .withColumn("contaminated", contamination_rule(F.col("n_hit"), F.col("n_words"))))
 
 
+def judge_documents(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id",
+                    text: str = "text", item_key: str = "item_id", item_text: str = "text"
+                    ) -> DataFrame:
+    """Words, hit words, items and verdict of every document."""
+    return _judged_rows(documents, benchmark, key, text, item_key, item_text).drop("row")
+
+
 def clean_documents(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
-    """Documents that are not contaminated, as they came."""
-    bad = stored(judge_documents(documents, benchmark, key, text).where("contaminated")
-                 .select(F.col("doc_id").alias(key)).distinct(), "decon-bad")
-    return join_small(documents, bad, [key], key, "left_anti").select(*documents.columns)
+    """Documents that are not contaminated, as they came. A verdict follows
+    from the text alone, so rows go by their text: a key that is null or
+    repeated neither hides nor spreads one."""
+    digest = F.sha2(F.col(text), 256)
+    marked = documents.select(digest.alias("digest"), F.col(text).alias("text"))
+    bad = stored(judge_documents(marked, benchmark, "digest", "text").where("contaminated")
+                 .select(F.col("doc_id").alias("__digest")).distinct(), "decon-bad")
+    return join_small(documents.withColumn("__digest", digest), bad, ["__digest"], key,
+                      "left_anti").select(*documents.columns)
