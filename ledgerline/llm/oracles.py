@@ -25,15 +25,23 @@ talks AS (
   SELECT conv_id, min(r) FILTER (place = 0) AS r0, min(t) FILTER (place = 0) AS t0,
          coalesce(sum(length(t)) FILTER (r = 'assistant'), 0) AS learned
   FROM numbered WHERE conv_id IS NOT NULL GROUP BY conv_id),
-ranked AS (
-  SELECT conv_id, learned, conv_id // 1000 AS block,
-         row_number() OVER (PARTITION BY conv_id // 1000 ORDER BY r0, t0, conv_id) AS n
-  FROM talks),
+openings AS (
+  SELECT *, row_number() OVER alike AS k, count(*) OVER (PARTITION BY r0, t0) AS of_opening,
+         row_number() OVER (ORDER BY r0, t0, conv_id) AS place
+  FROM talks WINDOW alike AS (PARTITION BY r0, t0 ORDER BY conv_id)),
+alone AS (      -- the last conversation of an opening that an odd number share
+  SELECT *, row_number() OVER (ORDER BY place) AS n FROM openings
+  WHERE k = of_opening AND of_opening % 2 = 1),
+met AS (
+  SELECT x.conv_id AS one, x.learned AS has, y.conv_id AS two, y.learned AS had
+  FROM openings x JOIN openings y ON x.r0 = y.r0 AND x.t0 = y.t0 AND y.k = x.k + 1 WHERE x.k % 2 = 1
+  UNION ALL
+  SELECT x.conv_id, x.learned, y.conv_id, y.learned
+  FROM alone x JOIN alone y ON y.n = x.n + 1 WHERE x.n % 2 = 1),
 pairs AS (
-  SELECT x.conv_id AS pair_id,
-         CASE WHEN x.learned >= y.learned THEN x.conv_id ELSE y.conv_id END AS chosen_id,
-         CASE WHEN x.learned >= y.learned THEN y.conv_id ELSE x.conv_id END AS rejected_id
-  FROM ranked x JOIN ranked y ON x.block = y.block AND y.n = x.n + 1 WHERE x.n % 2 = 1),
+  SELECT one AS pair_id, CASE WHEN has >= had THEN one ELSE two END AS chosen_id,
+         CASE WHEN has >= had THEN two ELSE one END AS rejected_id
+  FROM met),
 sized AS (
   SELECT p.*, (SELECT count(*) FROM numbered WHERE conv_id = p.chosen_id) AS n_chosen,
          (SELECT count(*) FROM numbered WHERE conv_id = p.rejected_id) AS n_rejected FROM pairs p),
