@@ -1,12 +1,14 @@
 """Quality rules as a short-circuit cascade.
 
 Every rule reads a few text metrics and says whether a document is to be
-rejected. The cost of a rule (work per document, from the lengths seen on a
-sample) and its selectivity (share of the sample it rejects) are estimated
-on a bounded sample; rules then run in the order of rejection per cost, as
-branches of one CASE expression, so a later rule is evaluated only for the
-documents that the earlier ones let through. The order never changes which
-documents are kept, only the work done and the rule that is named.
+rejected. On a bounded sample the cost of each metric is measured (the time of
+a pass that works it out, less that of a pass that only reads) and the
+selectivity of each rule counted (the share it rejects). Rules then run in the
+order of rejection per cost. They are nested branches of one expression: a metric
+is worked out once, where the first rule that needs it is reached, so only for the
+documents that the earlier rules let through. The order never changes which
+documents are kept, only the work done and the rule that is named; as times vary,
+so may the order of rules of about equal worth.
 
 Defined cases: null and empty texts have no words and fail the word-count
 rule; duplicate rows are judged one by one; an empty table gives an empty
@@ -16,6 +18,7 @@ carried by ``filter_documents`` and ignored by ``judge_documents``.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -23,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import BLANKS, blank_words, let, n_blank_words
+from .tables import stored
 
 REPEAT_WINDOW = 8
 SAMPLE_ROWS = 2000
@@ -112,13 +116,6 @@ METRICS: dict[str, Callable[[Column], Column]] = {
 #: Metrics that the result holds; the others are worked out inside the cascade.
 BASE_METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
-#: Work of a metric: (per character, per word), in arbitrary units.
-METRIC_WORK = {
-    "n_words": (1.0, 0.0), "word_chars": (1.5, 0.0), "n_symbols": (0.6, 0.0),
-    "n_exclamations": (0.5, 0.0), "n_capitals": (0.6, 0.0), "n_lines": (1.0, 0.0),
-    "n_dup_lines": (1.5, 0.0), "n_repeat_words": (3.0, 60.0),
-}
-
 Metric = Callable[[str], Column]
 
 
@@ -151,27 +148,35 @@ RULES = (
 )
 
 
+def _seconds(frame: DataFrame, of: Column, passes: int = 2) -> float:
+    """Time of a pass that works out a column, the best of ``passes``."""
+    best = float("inf")
+    for _ in range(passes):
+        began = time.perf_counter()
+        frame.agg(F.sum(of)).collect()
+        best = min(best, time.perf_counter() - began)
+    return best
+
+
 def estimate_rules(documents: DataFrame, rules: Sequence[Rule], text: str = "text",
                    key: str = "doc_id", sample_rows: int = SAMPLE_ROWS,
                    ready: Sequence[str] = ()) -> dict[str, tuple]:
-    """(cost, selectivity) of each rule on the ``sample_rows`` documents with
-    the smallest key hash; one row comes back to the driver. Metrics that are
-    ``ready`` as columns cost nothing."""
+    """(seconds of its metrics, share rejected) of each rule on the
+    ``sample_rows`` documents with the smallest key hash (as many again where
+    keys repeat). Metrics that are ``ready`` as columns cost nothing."""
     place = F.xxhash64(F.col(key))
     bound = (documents.select(place.alias("place")).orderBy("place").limit(sample_rows)
              .agg(F.max("place")).scalar())
-    sample = documents.where(place <= bound).select(F.col(text).alias("t"))
+    sample = stored(documents.where(place <= bound).select(F.col(text).alias("t"))
+                    .limit(2 * sample_rows), "quality-sample")
     names = list(dict.fromkeys(x for r in rules for x in r.uses))
-    measured = sample.select(F.length(F.coalesce("t", F.lit(""))).alias("chars"),
-                             n_blank_words(F.col("t")).alias("words"),
-                             *[METRICS[x](F.col("t")).alias(f"m_{x}") for x in names])
-    row = measured.agg(
-        F.avg("chars").alias("chars"), F.avg("words").alias("words"),
-        *[F.avg(r.reject(lambda x: F.col(f"m_{x}")).cast("double")).alias(f"r_{i}")
-          for i, r in enumerate(rules)]).first()
-    chars, words = row["chars"] or 0.0, row["words"] or 0.0
-    return {r.name: (1.0 + sum(METRIC_WORK[x][0] * chars + METRIC_WORK[x][1] * words
-                               for x in r.uses if x not in ready), row[f"r_{i}"] or 0.0)
+    measured = sample.select(*[METRICS[x](F.col("t")).alias(f"m_{x}") for x in names])
+    row = measured.agg(*[F.avg(r.reject(lambda x: F.col(f"m_{x}")).cast("double")).alias(f"r_{i}")
+                         for i, r in enumerate(rules)]).first()
+    read = _seconds(sample, F.octet_length("t"))
+    cost = {x: max(_seconds(sample, METRICS[x](F.col("t"))) - read, 0.0)
+            for x in names if x not in ready}
+    return {r.name: (1e-4 + sum(cost.get(x, 0.0) for x in r.uses), row[f"r_{i}"] or 0.0)
             for i, r in enumerate(rules)}
 
 
@@ -183,40 +188,44 @@ def order_rules(rules: Sequence[Rule], estimates: Mapping[str, tuple]) -> list[R
     return sorted(rules, key=rank)
 
 
-def first_failure(rules: Sequence[Rule], metric: Metric) -> Column:
-    """Name of the first rule that rejects; null when all let it through."""
-    out = F.lit(None).cast("string")
-    for r in reversed(rules):
-        out = F.when(r.reject(metric), F.lit(r.name)).otherwise(out)
-    return out
+def first_failure(rules: Sequence[Rule], text: Column, known: Mapping[str, Column]) -> Column:
+    """Name of the first rule that rejects; null when all let it through. A
+    metric that is not in ``known`` is worked out where a rule first needs it
+    and handed to the rules after it."""
+    if not rules:
+        return F.lit(None).cast("string")
+    rule, missing = rules[0], [x for x in rules[0].uses if x not in known]
+
+    def judged(all_known: Mapping[str, Column]) -> Column:
+        return F.when(rule.reject(all_known.__getitem__), F.lit(rule.name)).otherwise(
+            first_failure(rules[1:], text, all_known))
+    if not missing:
+        return judged(known)
+    made = F.struct(*[METRICS[x](text).alias(x) for x in missing])
+    return let(made, lambda m: judged({**known, **{x: m[x] for x in missing}}))
 
 
 def judge_documents(documents: DataFrame, text: str = "text", key: str = "doc_id",
                     sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Base metrics, base verdict, verdict and failing rule of every document.
-    The other metrics are inline in the cascade, so they run only for what the
+    The other metrics are worked out inside the cascade, so only for what the
     base rules and the rules before theirs leave undecided."""
     estimates = estimate_rules(documents, RULES, text, key, sample_rows, BASE_METRICS)
     t = F.col("t")
+    ready = {n: F.col(n) for n in BASE_METRICS}
     measured = (documents.select(F.col(key).alias("doc_id"), F.col(text).alias("t"))
                 .select("doc_id", "t", *[METRICS[n](t).alias(n) for n in BASE_METRICS]))
-
-    def metric(name: str) -> Column:
-        return F.col(name) if name in BASE_METRICS else METRICS[name](t)
-
-    base = first_failure(BASE_RULES, F.col)
+    base = first_failure(BASE_RULES, t, ready)
     return (measured
             .withColumn("base_failed", base.isNotNull())
-            .withColumn("failed_rule", F.coalesce(
-                base, first_failure(order_rules(RULES, estimates), metric)))
+            .withColumn("failed_rule", first_failure(
+                (*BASE_RULES, *order_rules(RULES, estimates)), t, ready))
             .withColumn("kept", F.col("failed_rule").isNull()).drop("t"))
 
 
 def filter_documents(documents: DataFrame, text: str = "text", key: str = "doc_id",
                      sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Documents that no rule rejects, with their columns. Metrics are inline
-    in the cascade, so an expensive one runs only for what is still undecided."""
+    """Documents that no rule rejects, with their columns."""
     rules = (*BASE_RULES, *RULES)
     ordered = order_rules(rules, estimate_rules(documents, rules, text, key, sample_rows))
-    failed = first_failure(ordered, lambda name: METRICS[name](F.col(text)))
-    return documents.where(failed.isNull())
+    return documents.where(first_failure(ordered, F.col(text), {}).isNull())
