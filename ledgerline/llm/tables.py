@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -10,7 +14,26 @@ from ..session import scratch_path
 #: A side of at most so many rows (of a few short columns) may be broadcast.
 BROADCAST_ROWS = 200_000
 SALTS = 64
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings of a write of an intermediate table: its shuffle files go with it,
+#: and Arrow batches stay small beside an executor's memory.
+WRITE_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+              "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+_LOCK = threading.RLock()
+
+
+@contextmanager
+def _write_settings(spark: SparkSession) -> Iterator[None]:
+    """The session's settings for one write; one write at a time, so that none
+    takes another's settings for the session's own."""
+    with _LOCK:
+        before = {k: spark.conf.get(k) for k in WRITE_CONF}
+        for k, v in WRITE_CONF.items():
+            spark.conf.set(k, v)
+        try:
+            yield
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
@@ -19,12 +42,8 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     files of the write are dropped with it."""
     spark = frame.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(CLEANUP)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with _write_settings(spark):
         frame.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
