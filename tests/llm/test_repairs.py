@@ -170,3 +170,59 @@ def test_rule_costs_are_measured(spark):
     assert found["repeated_windows"][0] > found["exclamations"][0] > 0
     same_key = docs.withColumn("doc_id", F.lit(1))
     assert set(quality_rules.estimate_rules(same_key, rules, sample_rows=5)) == set(found)
+
+
+# -- 10 ----------------------------------------------------------------------
+
+def cut(frame):
+    return sorted(((r.doc_id, r.n_bytes, r.n_removed, len(r.removed), bytes(r.kept))
+                   for r in frame.collect()), key=repr)
+
+
+def line_rows():
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(500)]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    short, middle, long = prose(10)[:40], prose(30)[:90], prose(60)[:150]
+    return [(i, f"{prose(12)} {[short, middle, long][i % 3]} {prose(12)}") for i in range(90)]
+
+
+@pytest.mark.parametrize("hot_lead", [1, 5, 4096])
+def test_lines_that_many_documents_hold(spark, monkeypatch, hot_lead):
+    """The same result by buckets and by hashed strings."""
+    import hashlib
+
+    from ledgerline.llm import suffix_dedup
+
+    monkeypatch.setattr(suffix_dedup, "HOT_LEAD", hot_lead)
+    rows = line_rows()
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = [(d, n, removed, runs, hashlib.sha256(kept).hexdigest())
+             for d, n, removed, runs, kept in cut(suffix_dedup.dedup_documents(frame))]
+    assert found == sorted(brute.suffix_dedup(rows), key=repr)
+    assert any(x[2] for x in found)
+
+
+@pytest.mark.parametrize("hot_lead", [1, 4096])
+def test_suffixes_of_null_and_repeated_ids(spark, monkeypatch, hot_lead):
+    """Rows of one id with different texts in the order of their hashes, rows
+    without id last; equal rows are one document."""
+    import hashlib
+
+    from ledgerline.llm import suffix_dedup
+
+    monkeypatch.setattr(suffix_dedup, "HOT_LEAD", hot_lead)
+    rng = random.Random(5)
+    letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line = letters(160)
+    rows = [(4, line + letters(300)), (4, letters(150)), (4, letters(50) + line), (2, letters(40) + line),
+            (None, line + letters(20)), (None, letters(120) + line), (9, "short"), (9, None)]
+    rows += [rows[1]] * 2
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    tie = {r.text: r.h for r in frame.select("text", F.xxhash64("text").alias("h")).collect()}
+    ordered = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, tie[r[1]]))
+    expected = {ordered[i]: x for i, *x in brute.suffix_dedup(list(enumerate(t for _, t in ordered)))}
+    found = sorted(((d, n, removed, runs, hashlib.sha256(kept).hexdigest())
+                    for d, n, removed, runs, kept in cut(suffix_dedup.dedup_documents(frame))), key=repr)
+    assert found == sorted(((r[0], *expected[r]) for r in rows), key=repr)
+    assert sum(x[2] > 0 for x in found) >= 3
