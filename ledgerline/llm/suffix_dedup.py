@@ -67,7 +67,7 @@ GRAM = 32
 HOT_SHARE = 1000        # a text is hot beyond one in so many documents
 COMBINE_BYTES = 1 << 25
 WORD = 8                # bytes compared at once
-HOT_LEAD = 4096         # suffixes of one lead that one bucket takes
+HOT_LEAD = 100_000      # suffixes of one lead that one bucket takes
 BUCKET_SUFFIXES = 100_000
 LAST = (1 << 63) - 1    # place of rows without doc_id
 

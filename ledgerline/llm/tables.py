@@ -17,7 +17,7 @@ SALTS = 64
 #: Settings of a write of an intermediate table: its shuffle files go with it,
 #: and Arrow batches stay small beside an executor's memory.
 WRITE_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-              "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+              "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 _LOCK = threading.RLock()
 
 
