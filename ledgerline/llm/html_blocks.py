@@ -2,8 +2,10 @@
 
 Markup is stripped to one line per block; a line's weight is the length of its
 text. Lines of page furniture (navigation, headers, footers, sidebars, notices,
-adverts, forms, comments) are taken out, so they end no segment; lists of links
-weigh nothing. Weights are summed over windows of ``WINDOW`` consecutive lines.
+adverts, forms, comments) are taken out, so they end no segment; menus weigh
+nothing: outside articles, runs of linked list lines whose texts are labels of
+less than ``LABEL_WORDS`` words on average and that no sentence introduces, and
+any such run on a page with an article. Weights are summed over windows of ``WINDOW`` consecutive lines.
 A surge point is a line with weight whose window sum reaches the page's bound;
 the segment runs to the dive point, where a window of lines weighs nothing. The
 lines with weight between surge and dive are the main text.
@@ -13,8 +15,8 @@ less. Lines of an article (``article``, ``main``) have the bound as a bonus, so
 any text in one surges; windows end at its edges, and on such a page the text
 outside has to reach ``RIVAL`` of the heaviest window, and ``SURGE``.
 
-Pages are parsed in tasks over Arrow batches, one page at a time; nothing
-larger than a page is held.
+Pages are parsed in tasks over Arrow batches, one page at a time, in time linear
+in its length; nothing larger than a page is held.
 
 Defined cases: null and empty pages, and pages without a letter or digit in
 their text, give an empty text; long pages are read whole; unclosed and cut-off markup ends at the end
@@ -38,6 +40,7 @@ WINDOW = 3
 SURGE = 80
 SHARE = 0.25    # of the heaviest window, the bound of a page of little text
 RIVAL = 0.5     # of the heaviest window, the bound outside an article
+LABEL_WORDS = 4  # linked list lines of fewer words are labels of a menu
 
 # Elements whose content is never text of the page.
 RAW = ("script", "style")
@@ -65,6 +68,11 @@ WIDGETS = frozenset(
 PLACES = frozenset(
     "site page main top bottom left right global primary secondary mobile area section wrapper wrap "
     "container block inner outer entry article item items holder".split())
+# Words of names that stand for the content's own parts.
+CONTENT_PARTS = frozenset("post posts article articles stories".split())
+# Places that are written in one word with what stands there.
+GLUED_PLACES = frozenset("site page main top bottom left right side area section wrapper wrap "
+                         "container block".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words that turn such a name into one of the content's own.
 NOT_FURNITURE = frozenset("with has no content".split())
@@ -96,19 +104,33 @@ def _attributes(text: str) -> Iterator[tuple[str, str]]:
             yield m[1].lower(), value.strip(value[:1]) if value[:1] in ("'", '"') else value
 
 
+def _split_name(word: str) -> set[str]:
+    """The two words of a name written as one (``commentlist``), where one of
+    them names furniture and the other one its kind or place; else the word."""
+    names, others = FURNITURE_WORDS | DOUBTFUL_WORDS, WIDGETS | GLUED_PLACES
+    if word not in names | WIDGETS | PLACES:
+        for i in range(2, len(word) - 1):
+            a, b = word[:i], word[i:]
+            if a in names and b in others or a in others and b in names:
+                return {a, b}
+    return {word}
+
+
 def _names_furniture(name: str, token: str, tag: str, in_article: bool) -> bool:
     """Whether a class, an id or a role names furniture. Outside an article
     any sure word does; inside one, and for doubtful words, the whole token
     has to be such a name, for an id may be the slug of a heading."""
-    words = set(re.split(r"[^a-z0-9]+", token)) - {""}
+    words = {x for w in re.split(r"[^a-z0-9]+", token) if w for x in _split_name(w)}
     if words & NOT_FURNITURE or name == "id" and tag in HEADINGS:
         return False
     sure, doubtful = words & FURNITURE_WORDS, words & DOUBTFUL_WORDS
     if sure and not in_article:
         return True
     rest = {w for w in words - sure - doubtful if not w.isdigit()}
-    if not (sure or doubtful) or rest - WIDGETS - PLACES:
+    if not (sure or doubtful) or rest - WIDGETS - PLACES - GLUED_PLACES:
         return False
+    if not sure and doubtful == {"header"}:
+        rest -= CONTENT_PARTS       # the head of an article is no widget
     if sure or rest & WIDGETS or len(doubtful) > 1:
         return True
     if name == "role":
@@ -140,6 +162,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
     buffer: list[str] = []
     linked = 0
     stack: list[tuple[str, bool, bool]] = []    # open elements: tag, furniture, hidden
+    depths: dict[str, list[int]] = {}           # where the open elements of a tag stand in it
+    blocks: list[int] = []                      # where the open blocks stand in it
     furniture = hidden = articles = links = lists = 0
     at = 0
 
@@ -156,8 +180,12 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
             if links:
                 linked += len(text.strip())
 
-    def close(entry: tuple[str, bool, bool]) -> None:
+    def close() -> None:
         nonlocal furniture, hidden, articles, links, lists
+        entry = stack.pop()
+        depths[entry[0]].pop()
+        if entry[0] in BLOCKS:
+            blocks.pop()
         furniture -= entry[1]
         hidden -= entry[2]
         articles -= entry[0] in ARTICLE
@@ -175,21 +203,23 @@ def lines_of(page: str) -> list[tuple[str, int, bool, bool, bool]]:
         if tag in BLOCKS:
             end_line()
         if ends:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            depth = depths[tag][-1] if depths.get(tag) else None
             # an inline end tag does not close the blocks around it
-            if depth is not None and (tag in BLOCKS or tag in HIDDEN or not any(
-                    x[0] in BLOCKS for x in stack[depth + 1:])):
-                for entry in stack[depth:]:
-                    close(entry)
-                del stack[depth:]
+            if depth is not None and (tag in BLOCKS or tag in HIDDEN or not blocks
+                                      or blocks[-1] <= depth):
+                while len(stack) > depth:
+                    close()
         elif tag in RAW:
             end = _RAW_END[tag].search(page, at)
             at = end.end() if end else len(page)
         elif tag not in VOID and not m[4].endswith("/"):
             if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack \
                     and stack[-1][0] == tag:
-                close(stack.pop())      # these end where the next of their kind begins
+                close()         # these end where the next of their kind begins
             entry = (tag, _is_furniture(tag, m[4], articles > 0), tag in HIDDEN)
+            depths.setdefault(tag, []).append(len(stack))
+            if tag in BLOCKS:
+                blocks.append(len(stack))
             stack.append(entry)
             furniture += entry[1]
             hidden += entry[2]
@@ -212,11 +242,26 @@ def _segments(weights: list[int], bound: float, window: int) -> Iterator[int]:
             yield i
 
 
+def weighted_lines(page: str) -> list[tuple[str, int, bool]]:
+    """(text, weight, inside an article) of the lines that are no furniture."""
+    # lines that hold nothing at all are layout, furniture is no distance
+    rows = [(text, inside, listed and not inside and 2 * linked > len(text))
+            for text, linked, off, inside, listed in lines_of(page) if text and not off]
+    marked = any(inside for _, inside, _ in rows)
+    lines: list[tuple[str, int, bool]] = []
+    for in_list, run in groupby(rows, key=lambda x: x[2]):
+        group = list(run)
+        before = lines[-1] if lines else ("", 0, False)
+        introduced = before[0].endswith(":") and len(before[0].split()) >= LABEL_WORDS
+        menu = in_list and (marked or not introduced and
+                            sum(len(x[0].split()) for x in group) < LABEL_WORDS * len(group))
+        lines += [(text, 0 if menu else len(text), inside) for text, inside, _ in group]
+    return lines
+
+
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     """Text between the surge and dive points of the line weights."""
-    # lines that hold nothing at all are layout, furniture is no distance
-    lines = [(text, 0 if listed and not inside and 2 * linked > len(text) else len(text), inside)
-             for text, linked, off, inside, listed in lines_of(page or "") if text and not off]
+    lines = weighted_lines(page or "")
     if not any(w and _WORD.search(text) for text, w, _ in lines):
         return ""
     runs = [list(run) for _, run in groupby(lines, key=lambda x: x[2])]

@@ -287,3 +287,24 @@ def filter_audit(docs, labels):
                              sum(d in toxic for d, _ in gone), letter))
         out += [(*r[:-1], shapley[r[-1]]) for r in rows]
     return out
+
+
+def surge_and_dive(lines, window=3):
+    """Main lines of (text, weight, in article): a line with weight is main when
+    some line with weight at or before it, of its run, surges and no window of
+    lines from there to it weighs nothing."""
+    if not any(w and any(c.isalnum() for c in t) for t, w, _ in lines):
+        return []
+    run_of, runs = [], -1
+    for i, line in enumerate(lines):
+        runs += i == 0 or line[2] != lines[i - 1][2]
+        run_of.append(runs)
+    total = [sum(lines[j][1] for j in range(i, min(i + window, len(lines))) if run_of[j] == run_of[i])
+             for i in range(len(lines))]
+    heaviest = max(total)
+    article = any(x[2] for x in lines)
+    bound = max(80, heaviest / 2) if article else min(80, heaviest / 4)
+    surges = [w > 0 and (inside or total[i] >= bound) for i, (_, w, inside) in enumerate(lines)]
+    return [lines[i][0] for i in range(len(lines)) if lines[i][1] and any(
+        surges[j] and run_of[j] == run_of[i] and (lines[i][2] or all(total[j:i + 1]))
+        for j in range(i + 1))]

@@ -4,6 +4,7 @@ columns."""
 
 import hashlib
 import random
+import time
 
 import brute
 import pytest
@@ -569,6 +570,65 @@ def test_html_line_lengths_decide():
     assert main(f"{menu}<p>{para}</p>{menu}") == para
 
 
+@pytest.mark.parametrize("name", ["commentlist", "relatedposts", "sharebar", "commentsection",
+                                  "sidenav", "postcomments", "x socialicons"])
+def test_html_names_in_one_word(name):
+    page = f'<article><p>{LONG}</p><ol class="{name}"><li>{LONG}</ol></article>'
+    assert html_blocks.main_text(page) == LONG.strip()
+
+
+@pytest.mark.parametrize("name", ["shareholder", "thread", "address", "navy", "adage", "research",
+                                  "commentary", "post-header", "postheader", "entry-header"])
+def test_html_words_that_hold_no_furniture(name):
+    page = f'<article><div class="{name}"><h1>Head</h1></div><p>{LONG}</p></article>'
+    assert html_blocks.main_text(page) == f"Head\n{LONG.strip()}"
+
+
+def test_html_linked_lists():
+    main, para = html_blocks.main_text, LONG.strip()
+    titles = [f"Essay {i} on the history of sound" for i in range(5)]
+    items = "".join(f'<li><a href="/{i}">{t}</a></li>' for i, t in enumerate(titles))
+    assert main(f"<div><p>{para}</p><ul>{items}</ul></div>") == "\n".join([para, *titles])
+    names = "".join(f'<li><a href="/{i}">Place {i}</a></li>' for i in range(4))
+    led = "These are the places we saw on the way:"
+    assert main(f"<p>{para}</p><p>{led}</p><ul>{names}</ul>") == "\n".join(
+        [para, led] + [f"Place {i}" for i in range(4)])
+    assert main(f"<p>{para}</p><ul>{names}</ul>") == para
+    assert main(f"<article><p>{para}</p></article><ul>{items}</ul>") == para
+
+
+def test_html_surge_and_dive_against_brute_force():
+    rng = random.Random(8)
+    for _ in range(400):
+        parts, lines, inside = [], [], False
+        for _ in range(rng.randint(1, 25)):
+            kind = rng.random()
+            if kind < 0.08:
+                inside = not inside
+                parts.append("<article>" if inside else "</article>")
+            elif kind < 0.2:
+                parts.append(f'<div class="ad">{LONG}</div>')
+            elif kind < 0.5:
+                parts.append('<ul><li><a href="/">Menu label</a></li></ul>')
+                lines.append(("Menu label", 10 * inside, inside))
+            else:
+                text = "x" * rng.choice([1, 3, 12, 30, 79, 80, 200, 900])
+                parts.append(f"<p>{text}</p>")
+                lines.append((text, len(text), inside))
+        page = "".join(parts) + "</article>" * inside
+        assert html_blocks.main_text(page) == "\n".join(brute.surge_and_dive(lines)), page
+
+
+@pytest.mark.parametrize("opening, closing", [("<div>", "</b>"), ("<b><div>", "</b>"), ("<b>", "</i>"),
+                                              ("<div><p>", "</div>"), ("<ul><li>", "</a>")])
+def test_html_long_nested_page(opening, closing):
+    n = 150_000
+    start = time.monotonic()
+    text = html_blocks.main_text(f"<p>{LONG}</p>" + opening * n + "deep" + closing * n)
+    assert text.startswith(LONG.strip())
+    assert time.monotonic() - start < 30
+
+
 def test_html_article_is_a_bonus():
     main, para = html_blocks.main_text, LONG.strip()
     body = "".join(f"<p>{LONG * 3}</p>" for _ in range(4))
