@@ -12,8 +12,9 @@ Law of the query: ``bytes`` - shard sizes are near equal.
 
 Defined cases: null texts weigh the overhead only and have the checksum of
 no bytes (0); empty texts likewise; repeated keys and equal texts are placed
-row by row (equal keys share a slot); a null key has the slot of null's hash;
-an empty table gives an empty result and a round-robin map; only the key and
+row by row (equal keys share a slot, whose rows are numbered in ``PARTS`` parts,
+equal rows of a part counted before they are); a null key has the slot of null's
+hash; an empty table gives an empty result and a round-robin map; only the key and
 text columns are read, so other columns cannot clash.
 """
 
@@ -23,9 +24,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .tables import stored as stored_table
+
 N_SLOTS = 8192
 N_SHARDS = 40
 ROW_OVERHEAD = 16
+#: A slot's rows are numbered in so many parts, equal rows of one key counted in
+#: so many salts: a key that holds much of the table is many tasks' work.
+PARTS, SALTS = 16, 64
 
 
 def slot_of(key: Column, n_slots: int = N_SLOTS) -> Column:
@@ -96,12 +102,14 @@ def rebalanced_map(current: DataFrame, weights: DataFrame, n_shards: int) -> Dat
 
 
 def store_map(slot_map: DataFrame, path: str) -> DataFrame:
-    """Adds the map's version to the store under ``path``; a re-run of a
-    version replaces that version only. Returns the stored version."""
+    """Adds the map's version to the store under ``path`` and returns it. A
+    version is written once: of two runs that edit the same map the later one
+    fails (PATH_ALREADY_EXISTS) and replaces nothing. A folder without
+    ``_SUCCESS`` is what a broken run left, and has to be removed."""
     spark = slot_map.sparkSession
     version = slot_map.agg(F.max("version")).first()[0]
     target = f"{path.rstrip('/')}/version={version}"
-    slot_map.drop("version").coalesce(1).write.mode("overwrite").parquet(target)
+    slot_map.drop("version").coalesce(1).write.mode("errorifexists").parquet(target)
     return spark.read.parquet(target).withColumn("version", F.lit(version))
 
 
@@ -138,24 +146,36 @@ def shard_documents(documents: DataFrame, map_path: str, n_shards: int = N_SHARD
     """Every record with its size, checksum, virtual slot, shard and its place
     in the shard (``slot``, gapless from 0).
 
-    Places are numbered inside each virtual slot (small, even groups) and
-    shifted by the rows of the shard's earlier slots, so no task ever orders a
-    whole shard. The newest map under ``map_path`` is rebalanced and stored as
-    the next version, so a grown corpus moves only slots that overfill a shard.
+    The records (four short columns) are stored once; texts are read once.
+    Equal rows are counted before the shuffle, counts are summed in order inside
+    each part of a virtual slot, and parts are shifted by the rows before them in
+    their shard, so no task ever orders a whole shard, nor all rows of a hot key.
+    The newest map under ``map_path`` is rebalanced and stored as the next
+    version, so a grown corpus moves only slots that overfill a shard.
     """
-    records = records_of(documents, key, text, n_slots)
-    weights = slot_bytes(records)
-    stored = store_map(
+    records = stored_table(records_of(documents, key, text, n_slots), "shard-records")
+    counted = stored_table(
+        records.withColumn("part", F.pmod(F.xxhash64("text_crc32", "size"), F.lit(PARTS)).cast("int"))
+        .withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        .groupBy("vslot", "part", "doc_id", "text_crc32", "size", "salt")
+        .agg(F.count(F.lit(1)).alias("copies")), "shard-counts")
+    # n_slots * PARTS rows at most, whatever the size of the corpus
+    parts = counted.groupBy("vslot", "part").agg(
+        F.sum("copies").alias("rows"), F.sum(F.col("size") * F.col("copies")).alias("bytes"))
+    weights = parts.groupBy("vslot").agg(F.sum("bytes").alias("bytes"))
+    slot_map = store_map(
         rebalanced_map(newest_map(documents.sparkSession, map_path, n_slots, n_shards), weights,
                        n_shards), map_path)
-    earlier = Window.partitionBy("shard").orderBy("vslot").rowsBetween(
+    earlier = Window.partitionBy("shard").orderBy("vslot", "part").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = (stored.select("vslot", "shard", "version").join(weights, "vslot")
-               .select("vslot", "shard", "version",
+    offsets = (slot_map.select("vslot", "shard", "version").join(parts, "vslot")
+               .select("vslot", "part", "shard", "version",
                        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before")))
-    inside = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size")
-    return (records.withColumn("place", F.row_number().over(inside) - 1)
-            .join(F.broadcast(offsets), "vslot")
+    inside = Window.partitionBy("vslot", "part").orderBy(
+        "doc_id", "text_crc32", "size", "salt").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("before") + F.coalesce(F.col("upto"), F.lit(0))
+    return (counted.withColumn("upto", F.sum("copies").over(inside))
+            .join(F.broadcast(offsets), ["vslot", "part"])
             .select("doc_id", "size", "text_crc32", "shard",
-                    (F.col("before") + F.col("place")).cast("long").alias("slot"),
+                    F.explode(F.sequence(first, first + F.col("copies") - 1)).alias("slot"),
                     F.col("vslot").alias("virtual_slot"), F.col("version").alias("map_version")))

@@ -9,6 +9,7 @@ import time
 import brute
 import pytest
 from conftest import SF_SMALL
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (decontamination, html_blocks, license_scan, mixing, ngram_join,
@@ -201,6 +202,34 @@ def test_sharding_edits_the_stored_map(spark, tmp_dir):
         sharding.shard_documents(docs, path, n_shards=4, n_slots=32)
 
 
+def test_sharding_hot_key(spark, tmp_dir):
+    """A key that holds most rows, equal and unequal ones, and null keys."""
+    docs = spark.range(4000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id")).when(F.col("id") % 10 < 3, F.lit(None))
+        .otherwise(F.lit(7)).cast("long").alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, F.lit("same text")).otherwise(
+            F.concat(F.lit("text "), F.col("id") % 300)).alias("text")).repartition(5)
+    placed = sharding.shard_documents(docs, tmp_dir, n_shards=3, n_slots=64)
+    out = placed.collect()
+    slots = {}
+    for r in out:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    expected = docs.groupBy("doc_id", F.octet_length("text") + 16).count().collect()
+    got = placed.groupBy("doc_id", "size").count().collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, map(tuple, expected)))
+    assert len({r.shard for r in out if r.doc_id == 7}) == 1
+
+
+def test_sharding_map_version_is_written_once(spark, tmp_dir):
+    v0 = sharding.store_map(sharding.initial_map(spark, 64, 4), tmp_dir)
+    weights = spark.range(64).select(F.col("id").cast("int").alias("vslot"), (F.col("id") + 1).alias("bytes"))
+    first = sharding.store_map(sharding.rebalanced_map(v0, weights, 4), tmp_dir).collect()
+    with pytest.raises(AnalysisException):
+        sharding.store_map(sharding.rebalanced_map(v0, weights, 4), tmp_dir)
+    assert spark.read.parquet(f"{tmp_dir}/version=1").count() == len(first) == 64
+
+
 # -- 2 -----------------------------------------------------------------------
 
 LICENSE_COLUMNS = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
