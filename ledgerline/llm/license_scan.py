@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .columns import let, plain_words
 from .license_texts import TEXTS
-from .tables import stored
+from .tables import BROADCAST_ROWS, stored
 
 K = 3
 SLACK = 3            # words that may be put in or left out between two diagonals
@@ -134,13 +134,16 @@ def scan(documents: DataFrame, key: str = "doc_id", text: str = "text",
     """(documents, spans): ``row``, ``doc_id``, ``n_words`` of every document,
     and the verified spans (row, template, label, first, last, coverage, base,
     start of each exact base phrase). ``templates`` is a table (label, text,
-    keys), the standard one if not given."""
+    keys), the standard one if not given; its windows are broadcast, so a table
+    of more than ``BROADCAST_ROWS`` of them is refused."""
     spark = documents.sparkSession
     phrases = spark.sql("SELECT * FROM VALUES " + ", ".join(
         f"({_quoted(label)}, {_quoted(phrase)}, '')" for phrase, label in BASE_PHRASES.items())
         + " AS t(label, text, keys)")
     windows = template_windows(phrases).unionByName(template_windows(
         standard_templates(spark) if templates is None else templates, first=len(BASE_PHRASES)))
+    if windows.count() > BROADCAST_ROWS:
+        raise ValueError(f"templates of more than {BROADCAST_ROWS} windows have to be scanned in parts")
     hashes = [r[0] for r in windows.select(
         F.xxhash64(F.split("window", " "))).distinct().collect()]
     scanned = documents.select(F.col(key).alias("doc_id"),

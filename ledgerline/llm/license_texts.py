@@ -91,5 +91,4 @@ TEXTS = [
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with "
             "or without fee is hereby granted", ""),
     ("unlicense", "This is free and unencumbered software released into the public domain", ""),
-    ("all-rights-reserved", "all rights reserved", ""),
 ]
