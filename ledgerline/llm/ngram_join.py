@@ -14,7 +14,9 @@ Cells come from a prefix filter, without which each point would meet each
 other one: in one global order of shingles (rare first, by a sketch of fixed
 size counted over all documents) two similar sets must share one of the first
 quarter of their shingles, which for the smaller set is one of the first
-seventh. The order decides the work only, never the result.
+seventh. The order decides the work only, never the result. Cells are summed in
+windows; those of shingles that the sketch counts above a fixed share of all may
+be large and are summed before the shuffle, and their sums joined back.
 
 Documents with equal sets are one point. Clusters are joined in two rounds:
 first every point is verified against the smallest point it shares most cells
@@ -24,7 +26,8 @@ different tasks, so no task holds more than two tiles of a cell.
 
 Defined cases: null and empty texts, and texts without words, have empty sets
 and are linked with nothing; a text of fewer than ``K`` words is one shingle;
-rows that share a doc_id are one document; an empty table gives an empty
+rows that share a doc_id are one document; a row without one is a copy of the
+documents with its very set, else its component is null; an empty table gives an empty
 result; only the named columns are read, so other columns cannot clash.
 """
 
@@ -34,11 +37,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .tables import small_side, stored
+from .tables import join_small, small_side, stored
 from .textbytes import (BLANK_WORD, LOWERED, mix, prefix_hash, shingle_hash, span_hash,
                         summed_blocks, text_chunks, words_of)
 
@@ -47,6 +50,9 @@ GROUPS = 256
 LEAF = 32
 TILE = 512
 SKETCH = 1 << 18
+#: A shingle is hot when its slot of the sketch holds more than one in
+#: ``HOT_PARTS`` of all counts, and more than ``HOT_LEAST``.
+HOT_PARTS, HOT_LEAST = 4096, 512
 # Similarity 75/100: pairs share 3/7 of their summed sizes or more.
 NUMERATOR, DENOMINATOR = 75, 100
 
@@ -93,11 +99,13 @@ def shingle_sketch(texts: DataFrame, k: int = K) -> np.ndarray:
 
 def _pointer(sketch, k: int):
     """Arrow task: doc_id, text -> the point of each document: size, digest of
-    the set, group counts, prefix in rarity order and its index part."""
+    the set, group counts, prefix in rarity order, its index part, and how many
+    of its shingles, the first ones, are not hot."""
     def points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = sketch.value
+        heavy = HOT_LEAST + seen.sum() // HOT_PARTS
         for batch in batches:
-            out: dict[str, list] = {x: [] for x in ("n", "d1", "d2", "point", "prefix", "own")}
+            out: dict[str, list] = {x: [] for x in ("n", "d1", "d2", "point", "prefix", "own", "cold")}
             for _, hashes in shingle_sets(batch.column(1), k):
                 n = len(hashes)
                 out["n"].append(n)
@@ -107,17 +115,20 @@ def _pointer(sketch, k: int):
                 out["point"].append(np.bincount(
                     (hashes & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
                     .astype(np.int32))
-                order = np.lexsort((hashes, seen[_slot(hashes)]))
+                counts = seen[_slot(hashes)]
+                order = np.lexsort((hashes, counts))
                 # probe prefix n - ceil(t n) + 1, index prefix n - ceil(2t/(1+t) n) + 1
                 probe = n - -(-NUMERATOR * n // DENOMINATOR) + 1 if n else 0
                 own = n - -(-2 * NUMERATOR * n // (DENOMINATOR + NUMERATOR)) + 1 if n else 0
                 out["prefix"].append(hashes[order[:probe]].view(np.int64))
                 out["own"].append(own)
+                out["cold"].append(int((counts[order[:probe]] <= heavy).sum()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(out["n"], pa.int32()), pa.array(out["d1"], pa.int64()),
                  pa.array(out["d2"], pa.int64()), pa.array(out["point"], pa.list_(pa.int32())),
-                 pa.array(out["prefix"], pa.list_(pa.int64())), pa.array(out["own"], pa.int32())],
-                names=["doc_id", "n", "d1", "d2", "point", "prefix", "own"])
+                 pa.array(out["prefix"], pa.list_(pa.int64())), pa.array(out["own"], pa.int32()),
+                 pa.array(out["cold"], pa.int32())],
+                names=["doc_id", "n", "d1", "d2", "point", "prefix", "own", "cold"])
     return points
 
 
@@ -128,7 +139,8 @@ def document_points(documents: DataFrame, key: str = "doc_id", text: str = "text
     sketch = documents.sparkSession.sparkContext.broadcast(shingle_sketch(rows.select("text"), k))
     return stored(rows.mapInArrow(
         _pointer(sketch, k), "doc_id long, n int, d1 long, d2 long, "
-                             "point array<int>, prefix array<long>, own int"), "join-points")
+                             "point array<int>, prefix array<long>, own int, cold int"),
+        "join-points")
 
 
 class RTree:
@@ -279,6 +291,17 @@ def _bounded(pairs: DataFrame, coords: DataFrame) -> DataFrame:
         7 * shared >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
+def with_cell_sums(rows: DataFrame, sums: dict[str, Column], keep: Column, name: str) -> DataFrame:
+    """Rows (token, node, hot, ...) with the sums of their cell, those of cells
+    that ``keep`` holds for. A cell that is not hot is one window, of a fixed
+    share of all rows at most; hot ones are summed map-side first."""
+    cell = Window.partitionBy("token")
+    cold = rows.where(~F.col("hot")).withColumns({c: x.over(cell) for c, x in sums.items()}).where(keep)
+    hot = rows.where("hot")
+    cells = stored(hot.groupBy("token").agg(*[x.alias(c) for c, x in sums.items()]).where(keep), name)
+    return cold.unionByName(join_small(hot, cells, ["token"], "node"))
+
+
 def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "text",
                       k: int = K) -> tuple[DataFrame, DataFrame]:
     """(members, links): set size and representative of every document, and
@@ -301,17 +324,18 @@ def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "te
 
     # One row per set and prefix shingle; a cell is worth something when it
     # holds two sets, one of them by its index prefix.
-    reps = points.join(classes.select(F.col("node").alias("doc_id"), "n", "d1", "d2"),
-                       ["doc_id", "n", "d1", "d2"])
-    rows = reps.select(F.col("doc_id").alias("node"), "n", "own",
-                       F.posexplode("prefix").alias("at", "token")).select(
-        "token", "node", "n", (F.col("at") < F.col("own")).alias("own"))
-    cell = Window.partitionBy("token")
-    shared = stored(rows.select(
-        "token", "node", "n", F.count(F.lit(1)).over(cell).alias("c"),
-        F.max("own").over(cell).alias("own"), F.min("node").over(cell).alias("hub")).where(
-        (F.col("c") > 1) & F.col("own")).select("token", "node", "n", "hub"), "join-cells")
-    coords = stored(reps.select(F.col("doc_id").alias("node"), "n", "point").join(
+    reps = stored(points.join(classes.select(F.col("node").alias("doc_id"), "n", "d1", "d2"),
+                              ["doc_id", "n", "d1", "d2"])
+                  .select(F.col("doc_id").alias("node"), "n", "own", "cold", "prefix", "point"),
+                  "join-reps")
+    rows = reps.select("node", "n", "own", "cold", F.posexplode("prefix").alias("at", "token")).select(
+        "token", "node", "n", (F.col("at") < F.col("own")).alias("own"),
+        (F.col("at") >= F.col("cold")).alias("hot"))
+    shared = stored(with_cell_sums(
+        rows, {"c": F.count(F.lit(1)), "indexed": F.max("own"), "hub": F.min("node")},
+        (F.col("c") > 1) & F.col("indexed"), "join-hot-cells").select(
+        "token", "node", "n", "hot", "hub"), "join-cells")
+    coords = stored(reps.select("node", "n", "point").join(
         shared.select("node").distinct(), "node", "left_semi"), "join-coords")
 
     # Round 1: each point against the hub it shares most cells with.
@@ -325,13 +349,12 @@ def similar_documents(documents: DataFrame, key: str = "doc_id", text: str = "te
     # Round 2: points of different clusters that share a cell. Cells of the
     # same points are one cell, known by two sums over its points.
     labelled = shared.join(clusters, "node", "left").select(
-        "token", "node", "n", F.coalesce("label", "node").alias("label"))
-    mixed = labelled.select(
-        "node", "n", "label", F.count(F.lit(1)).over(cell).alias("c"),
-        F.min("label").over(cell).alias("low"), F.max("label").over(cell).alias("high"),
-        F.bit_xor(F.xxhash64("node")).over(cell).alias("x1"),
-        F.bit_xor(F.xxhash64("node", F.lit(1))).over(cell).alias("x2")).where(
-        F.col("low") < F.col("high")).select("x1", "x2", "c", "node", "n", "label").distinct()
+        "token", "node", "n", "hot", F.coalesce("label", "node").alias("label"))
+    mixed = with_cell_sums(
+        labelled, {"c": F.count(F.lit(1)), "low": F.min("label"), "high": F.max("label"),
+                   "x1": F.bit_xor(F.xxhash64("node")), "x2": F.bit_xor(F.xxhash64("node", F.lit(1)))},
+        F.col("low") < F.col("high"), "join-hot-mixed").select(
+        "x1", "x2", "c", "node", "n", "label").distinct()
     tiles = F.ceil(F.col("c") / TILE).cast("int")
     block = F.pmod(F.xxhash64("node", F.lit(2)), tiles).cast("int")
     placed = mixed.select("x1", "x2", "node", "label", block.alias("block"),

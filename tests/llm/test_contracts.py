@@ -13,7 +13,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (decontamination, html_blocks, license_scan, mixing, ngram_join,
-                            preferences, quality_rules, queries, sharding, suffix_dedup, url_rules)
+                            preferences, quality_rules, queries, sharding, suffix_dedup, tables,
+                            url_rules)
 
 LICENSE = "Released under the MIT License. Licensed under CC BY-NC 4.0."
 
@@ -288,6 +289,15 @@ def test_license_scan_standard_notices(spark):
     assert found == dict(enumerate(notices.values()))
 
 
+def test_license_scan_bounds(spark, monkeypatch):
+    page = spark.createDataFrame([(1, "Copyright 2001 Site. All rights reserved.")],
+                                 "doc_id long, text string")
+    assert [r.labels for r in license_scan.label_documents(page).collect()] == [""]
+    monkeypatch.setattr(license_scan, "BROADCAST_ROWS", 3)
+    with pytest.raises(ValueError):
+        license_scan.label_documents(page)
+
+
 def test_license_scan_with_templates_of_a_table(spark):
     frame = spark.createDataFrame(
         [(1, "use it as the house \\' rules of our own say"), (2, "licensed under CC BY 4.0")],
@@ -421,6 +431,31 @@ def test_near_duplicates_on_fixture(documents, rows, nothing):
     assert ngram_join.near_duplicates(nothing).count() == 0
 
 
+@pytest.mark.parametrize("least, rows_broadcast", [(-1, 200_000), (-1, 0), (3, 200_000)])
+def test_near_duplicates_of_hot_shingles(spark, monkeypatch, least, rows_broadcast):
+    """Cells of all or of frequent shingles summed before the shuffle, and
+    joined back by broadcast or with salted keys."""
+    monkeypatch.setattr(ngram_join, "HOT_PARTS", 10**12)
+    monkeypatch.setattr(ngram_join, "HOT_LEAST", least)
+    monkeypatch.setattr(tables, "BROADCAST_ROWS", rows_broadcast)
+    rng = random.Random(4)
+    common = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(60):
+        words = common + [f"v{rng.randrange(3)}x{j}" for j in range(rng.choice([4, 8, 30]))]
+        if i % 4 == 0:
+            words[i % 40] = f"edit{i}"
+        rows.append((i, " ".join(words)))
+    frame = spark.createDataFrame([*rows, (None, rows[3][1]), (None, "a text of its very own words")],
+                                  "doc_id long, text string")
+    found = ngram_join.near_duplicates(frame)
+    expected = {d: c for d, _, c in brute.near_duplicates(rows)}
+    same(found.where("doc_id IS NOT NULL"), brute.near_duplicates(rows))
+    assert len(set(expected.values())) < len(rows)
+    without = [r.component_id for r in found.where("doc_id IS NULL").collect()]
+    assert sorted(without, key=str) == sorted([expected[3], None], key=str)
+
+
 def test_near_duplicates_in_chains_and_tiles(spark, monkeypatch):
     """Chains of slightly different texts, and cells cut into tiles."""
     monkeypatch.setattr(ngram_join, "TILE", 4)
