@@ -66,5 +66,5 @@ def test_mixing_stage_keeps_columns_and_budget(spark):
 
 def test_every_operator_has_a_query():
     names = {n.split("_")[0] for n in queries.queries()}
-    assert names == {f"op{i}" for i in range(1, 11)}
+    assert names == {f"op{i}" for i in range(1, 14)}
     assert set(queries.oracle_sql()) <= set(queries.queries())
