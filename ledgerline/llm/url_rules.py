@@ -9,13 +9,15 @@ index: each rule is filed under its tokens, url tokens meet the index in a join,
 and a rule holds when as many of its tokens were met as it has. The surest rule
 that holds decides.
 
-FP-growth lists every subset of what many urls share, so what it gets is bounded
-first. A token counts from ``MIN_BASKETS`` labelled urls on, however few labels
-there are. Tokens that stand in exactly the same labelled urls are one item, and
-any of them stands for it afterwards: their combinations say nothing more. And of
-a labelled url that still has more than ``MAX_TOKENS`` items, the ones whose
-share of bad pages differs most from that of all are mined, so a rule has at most
-so many.
+A token counts from ``MIN_BASKETS`` labelled urls on, however few labels there
+are. Tokens that stand in exactly the same labelled urls are one item, and any of
+them stands for it afterwards: their combinations say nothing more.
+
+FP-growth lists every subset of what many urls share. Where a labelled url has
+more than ``MAX_TOKENS`` items, the same rules are mined level by level instead:
+a combination grows only while its urls are of both classes, enough of them, and
+fewer than those of each of its parts. No other combination can be surer than
+all its parts, so nothing that the pruning keeps is missed.
 
 Hand-written rules (host and path prefix, allow or block) come first; the
 longest that fits decides.
@@ -37,12 +39,14 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.relational import union_all
 from .columns import LOWER, UPPER
 from .tables import join_small, stored
 
 BLOCK, ALLOW = "block", "allow"
 CLASS_BLOCK, CLASS_ALLOW = "#block", "#allow"
-#: Labelled urls that a rule rests on at least, and items that a rule has at most.
+#: Labelled urls that a rule rests on at least, and items of a labelled url up to
+#: which FP-growth lists all combinations.
 MIN_BASKETS, MAX_TOKENS = 5, 10
 
 
@@ -107,17 +111,63 @@ def url_tokens(url: Column) -> Column:
 
 
 def _items(baskets: DataFrame, least: int) -> DataFrame:
-    """(token, item, told) of tokens in at least ``least`` baskets: the item a
-    token belongs to, and how far the item's share of bad baskets is from that
-    of all."""
-    sums = baskets.select("k", "bad", F.explode("tokens").alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"), F.avg(F.col("bad").cast("int")).alias("share"),
+    """(token, item) of tokens in at least ``least`` baskets: the item a token
+    belongs to."""
+    sums = baskets.select("k", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("k")).alias("x"), F.sum(F.pmod(F.xxhash64("k", F.lit(1)), F.lit(1 << 40)))
         .alias("s")).where(F.col("n") >= least)
-    base = baskets.agg(F.avg(F.col("bad").cast("int"))).first()[0]
     first = sums.groupBy("n", "x", "s").agg(F.min("token").alias("item"))
-    return stored(sums.join(first, ["n", "x", "s"]).select(
-        "token", "item", F.abs(F.col("share") - F.lit(base)).alias("told")), "url-items")
+    return stored(sums.join(first, ["n", "x", "s"]).select("token", "item"), "url-items")
+
+
+def _grown_rules(chosen: DataFrame, n: int, least: int, min_confidence: float) -> DataFrame:
+    """(tokens, verdict, confidence, support), pruned, of baskets of any length
+    (``basket, bad, xs``), level by level: combinations of one more item meet
+    in the baskets that hold both, and only open ones grow (see the module)."""
+    held = stored(chosen.select("basket", "bad", F.explode("xs").alias("x")).select(
+        "basket", "bad", F.array("x").alias("tokens")), "url-held")
+    good = F.col("n") - F.col("n_bad")
+    sure = {BLOCK: F.col("n_bad") / F.col("n"), ALLOW: good / F.col("n")}
+    right = {BLOCK: F.col("n_bad"), ALLOW: good}
+
+    def surest(verdict: str) -> Column:
+        is_rule = (right[verdict] >= least) & (sure[verdict] >= min_confidence)
+        return F.greatest(F.col(f"part_{verdict}"), F.when(is_rule, sure[verdict]).otherwise(0.0))
+
+    rules, before, size = [], None, 1
+    while True:
+        counts = held.groupBy("tokens").agg(F.count(F.lit(1)).alias("n"),
+                                            F.sum(F.col("bad").cast("long")).alias("n_bad")).where(
+            F.greatest("n_bad", good) >= least)
+        if before is None:
+            counts = counts.select("*", F.lit(0.0).alias(f"part_{BLOCK}"), F.lit(0.0).alias(f"part_{ALLOW}"))
+        else:
+            # all parts of one item less are open and hold in more baskets
+            part = F.expr("transform(tokens, (t, at) -> filter(tokens, (u, i) -> i != at))")
+            counts = (counts.select("*", F.explode(part).alias("part")).join(before, "part")
+                      .groupBy("tokens", "n", "n_bad")
+                      .agg(F.count(F.lit(1)).alias("parts"), F.min("part_n").alias("part_n"),
+                           *[F.max(f"part_{v}").alias(f"part_{v}") for v in (BLOCK, ALLOW)])
+                      .where((F.col("parts") == size) & (F.col("part_n") > F.col("n")))
+                      .drop("parts", "part_n"))
+        counts = stored(counts, "url-level")
+        rules += [counts.where((right[v] >= least) & (sure[v] >= min_confidence)
+                               & (sure[v] > F.col(f"part_{v}")))
+                  .select("tokens", F.lit(v).alias("verdict"), sure[v].alias("confidence"),
+                          (right[v] / F.lit(n)).alias("support")) for v in (BLOCK, ALLOW)]
+        still = counts.where((F.col("n_bad") > 0) & (good > 0))
+        if still.isEmpty():
+            return stored(union_all(rules), "url-grown")
+        before = still.select(F.col("tokens").alias("part"), F.col("n").alias("part_n"),
+                              *[surest(v).alias(f"part_{v}") for v in (BLOCK, ALLOW)])
+        ends = join_small(held, still.select("tokens"), ["tokens"], "basket").select(
+            "basket", "bad", F.expr("slice(tokens, 1, size(tokens) - 1)").alias("head"),
+            F.element_at("tokens", -1).alias("tail"))
+        others = ends.select("basket", "head", F.col("tail").alias("later"))
+        held = stored(ends.join(others, ["basket", "head"]).where("tail < later").select(
+            "basket", "bad", F.concat("head", F.array("tail", "later")).alias("tokens")), "url-held")
+        size += 1
 
 
 def mine_rules(pages: DataFrame, labels: DataFrame, url: str, bad: Column,
@@ -128,8 +178,9 @@ def mine_rules(pages: DataFrame, labels: DataFrame, url: str, bad: Column,
     ``alternatives`` holds, for each token, all tokens that stand for it.
 
     ``bad`` is a condition on the labels. All labelled pages are mined; a rule
-    rests on ``min_support`` of them and on ``min_baskets`` at least. A labelled
-    url adds at most 2^``max_tokens`` combinations, whatever its length.
+    rests on ``min_support`` of them and on ``min_baskets`` at least. FP-growth
+    gets urls of up to ``max_tokens`` items; with longer ones the same rules are
+    grown level by level.
     """
     spark = pages.sparkSession
     schema = ("rule bigint, tokens array<string>, alternatives array<array<string>>, verdict string, "
@@ -148,12 +199,26 @@ def mine_rules(pages: DataFrame, labels: DataFrame, url: str, bad: Column,
     placed = stored(baskets.select(F.monotonically_increasing_id().alias("basket"), "bad", "tokens"),
                     "url-placed")
     met = join_small(placed.select("basket", F.explode("tokens").alias("token")), items, ["token"],
-                     "basket").select("basket", F.struct((-F.col("told")).alias("told"), "item").alias("x"))
-    chosen = met.groupBy("basket").agg(F.slice(F.sort_array(F.collect_set("x")), 1, max_tokens).alias("xs"))
+                     "basket").select("basket", F.col("item").alias("x"))
+    chosen = met.groupBy("basket").agg(F.sort_array(F.collect_set("x")).alias("xs"))
+    chosen = stored(placed.join(chosen, "basket", "left").select(
+        "basket", "bad", F.coalesce("xs", F.array().cast("array<string>")).alias("xs")), "url-chosen")
+    if chosen.where(F.size("xs") > max_tokens).isEmpty():
+        kept = _listed_rules(chosen, n, least, min_confidence)
+    else:
+        kept = _grown_rules(chosen, n, least, min_confidence).withColumn("rule", F.xxhash64("tokens", "verdict"))
+    stand = items.groupBy("item").agg(F.sort_array(F.collect_list("token")).alias("stands"))
+    spelled = (kept.select("rule", F.posexplode("tokens").alias("at", "item")).join(stand, "item")
+               .groupBy("rule").agg(F.sort_array(F.collect_list(F.struct("at", "stands"))).alias("all")))
+    return stored(kept.join(spelled, "rule").select(
+        "rule", "tokens", F.col("all.stands").alias("alternatives"), "verdict", "confidence", "support"),
+        "url-rules")
+
+
+def _listed_rules(chosen: DataFrame, n: int, least: int, min_confidence: float) -> DataFrame:
+    """(rule, tokens, verdict, confidence, support), pruned, from FP-growth."""
     verdict = F.when(F.col("bad"), F.lit(CLASS_BLOCK)).otherwise(F.lit(CLASS_ALLOW))
-    transactions = stored(placed.join(chosen, "basket", "left").select(F.concat(
-        F.coalesce(F.col("xs.item"), F.array().cast("array<string>")), F.array(verdict)).alias("items")),
-        "url-transactions")
+    transactions = stored(chosen.select(F.concat("xs", F.array(verdict)).alias("items")), "url-transactions")
     # half a basket less, so that rounding asks for no more than ``least``
     model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=min_confidence).fit(
         transactions)
@@ -172,13 +237,7 @@ def mine_rules(pages: DataFrame, labels: DataFrame, url: str, bad: Column,
     beaten = (parts.join(mined.select(F.col("tokens").alias("part"), "verdict",
                                       F.col("confidence").alias("part_confidence")), ["part", "verdict"])
               .where(F.col("part_confidence") >= F.col("confidence")).select("rule").distinct())
-    kept = mined.join(beaten, "rule", "left_anti")
-    stand = items.groupBy("item").agg(F.sort_array(F.collect_list("token")).alias("stands"))
-    spelled = (kept.select("rule", F.posexplode("tokens").alias("at", "item")).join(stand, "item")
-               .groupBy("rule").agg(F.sort_array(F.collect_list(F.struct("at", "stands"))).alias("all")))
-    return stored(kept.join(spelled, "rule").select(
-        "rule", "tokens", F.col("all.stands").alias("alternatives"), "verdict", "confidence", "support"),
-        "url-rules")
+    return mined.join(beaten, "rule", "left_anti")
 
 
 def match_rules(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:

@@ -100,6 +100,26 @@ def test_long_urls_that_many_share_end(spark, shape, few_rows_broadcast):
     assert [r.verdict for r in url_rules.match_rules(new, rules).collect()] == ["block"]
 
 
+def test_rules_of_long_urls_are_those_of_all_combinations(spark):
+    """More items in a url than FP-growth is given: nothing is left out."""
+    rng = random.Random(5)
+    urls, bad = [], []
+    for _ in range(60):
+        held = [i for i in range(12) if rng.random() < 0.85]
+        urls.append("http://h.net/" + "/".join(f"t{i}" for i in held))
+        bad.append((10 in held and 11 not in held) or rng.random() < 0.2)
+    kw = {"min_support": 0.1, "min_confidence": 0.6}
+    pages, grown = mined(spark, urls, bad, **kw)
+    tokens = pages.select(F.max(F.size(url_rules.url_tokens(F.col("url"))))).first()[0]
+    assert tokens > url_rules.MAX_TOKENS
+    _, listed = mined(spark, urls, bad, max_tokens=99, **kw)
+
+    def plain(rules):
+        return {(tuple(r.tokens), r.verdict): (round(r.confidence, 9), round(r.support, 9))
+                for r in rules.collect()}
+    assert len(plain(listed)) > 5 and plain(grown) == plain(listed)
+
+
 def test_rules_of_short_urls_are_those_of_all_combinations(spark):
     """Where nothing is bounded: every combination, pruned, by brute force."""
     from itertools import combinations
