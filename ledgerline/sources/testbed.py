@@ -37,33 +37,60 @@ def _name(prefix: str, col: str | Column) -> Column:
 
 
 class ErpTables:
-    """ERP tables over one test-data folder (``.../sf0.01``)."""
+    """ERP tables over one test-data folder (``.../sf0.01``).
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``dealt`` tables are ready to be landed: what has a date comes in ranges of
+    it, dealt and sorted before the table's columns are made, so the few columns
+    they are made of are moved, and one row where several are made of it. Lines
+    come as even as the splits of their scan, or as the parts of their join,
+    which adaptive execution splits when skewed.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, dealt: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.dealt = dealt
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def _ranged(self, rows: DataFrame, day: str, key: str) -> DataFrame:
+        """``rows`` in ranges of a day, with the key so that a busy day can be
+        split; as they are unless the tables are dealt."""
+        by = [F.col(day).cast("date"), F.col(key)]
+        return rows.repartitionByRange(*by).sortWithinPartitions(*by) if self.dealt else rows
+
     # -- shared order-level base ("O" in FIXTURES.md) ----------------------
     @cached_property
-    def _orders(self) -> DataFrame:
-        # The supplier count is a scalar subquery: computed once, one value.
-        nsup = self.raw("supplier").select(F.count(F.lit(1))).scalar()
-        k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    def _order_rows(self) -> DataFrame:
         return self.raw("orders").select(
-            k.alias("k"),
-            ck.alias("ck"),
-            _name("CUST-", ck).alias("cust"),
-            _name("SUP-", (k * 7 + ck) % nsup).alias("sup"),
+            F.col("o_orderkey").alias("k"),
+            F.col("o_custkey").alias("ck"),
             F.col("o_totalprice").cast("decimal(18,2)").alias("amt"),
             F.col("o_orderdate").cast("date").alias("d"),
             F.col("o_orderstatus").alias("st"),
-            F.col("o_orderpriority").alias("pr"),
+            F.col("o_orderpriority").alias("pr"))
+
+    def _with_names(self, orders: DataFrame) -> DataFrame:
+        # The supplier count is a scalar subquery: computed once, one value.
+        nsup = self.raw("supplier").select(F.count(F.lit(1))).scalar()
+        k, ck = F.col("k"), F.col("ck")
+        return orders.select(
+            "*",
+            _name("CUST-", ck).alias("cust"),
+            _name("SUP-", (k * 7 + ck) % nsup).alias("sup"),
             F.when(k % 25 == 0, 1).otherwise(0).alias("canc"),
-            F.when(k % 3 == 0, "USD").otherwise("KES").alias("cur"),
-        )
+            F.when(k % 3 == 0, "USD").otherwise("KES").alias("cur"))
+
+    @cached_property
+    def _orders(self) -> DataFrame:
+        return self._with_names(self._order_rows)
+
+    @cached_property
+    def _orders_with_customer(self) -> DataFrame:
+        cust = self.raw("customer").select("c_custkey", "c_name")
+        return self._with_names(self._ranged(
+            self._order_rows.join(cust, F.col("ck") == F.col("c_custkey")).drop("c_custkey"), "d", "k"))
 
     def _docstatus(self) -> Column:
         return F.when(F.col("st") == "P", 0).otherwise(1)
@@ -120,8 +147,7 @@ class ErpTables:
     @cached_property
     def sales_invoice(self) -> DataFrame:
         k, amt = F.col("k"), F.col("amt")
-        cust = self.raw("customer").select("c_custkey", "c_name")
-        return self._orders.join(cust, F.col("ck") == F.col("c_custkey")).select(
+        return self._orders_with_customer.select(
             _name("SI-", k).alias("name"),
             F.col("cust").alias("customer"),
             F.col("c_name").alias("customer_name"),
@@ -191,8 +217,7 @@ class ErpTables:
     @cached_property
     def sales_order(self) -> DataFrame:
         k = F.col("k")
-        cust = self.raw("customer").select("c_custkey", "c_name")
-        return self._orders.join(cust, F.col("ck") == F.col("c_custkey")).select(
+        return self._orders_with_customer.select(
             _name("SO-", k).alias("name"),
             F.col("d").alias("creation"),
             F.col("d").alias("transaction_date"),
@@ -228,7 +253,7 @@ class ErpTables:
     def _orders_with_supplier(self) -> DataFrame:
         sup = self.raw("supplier").select(
             _name("SUP-", "s_suppkey").alias("_sname"), "s_name")
-        return self._orders.join(sup, F.col("sup") == F.col("_sname"))
+        return self._ranged(self._orders.join(sup, F.col("sup") == F.col("_sname")), "d", "k")
 
     @cached_property
     def purchase_invoice(self) -> DataFrame:
@@ -267,7 +292,7 @@ class ErpTables:
     @cached_property
     def journal_entry(self) -> DataFrame:
         k = F.col("o_orderkey")
-        return self.raw("orders").where(k % 4 < 2).select(
+        return self._ranged(self.raw("orders").where(k % 4 < 2), "o_orderdate", "o_orderkey").select(
             _name("JE-", k).alias("name"),
             F.col("o_orderdate").cast("date").alias("posting_date"),
             F.when(F.col("o_orderstatus") == "P", 0).otherwise(1).alias("docstatus"),
@@ -372,7 +397,7 @@ class ErpTables:
                   null_s, null_s, amt * F.lit(0.6).cast("decimal(1,1)"), zero, null_s,
                   "Purchase Invoice", F.lit("Purchase Invoice")),
         )
-        gl = self._orders.select(
+        gl = self._with_names(self._ranged(self._order_rows, "d", "k")).select(
             F.col("d").alias("posting_date"), F.col("cur").alias("transaction_currency"),
             F.col("canc").alias("is_cancelled"),
             F.inline(F.filter(entries, lambda e: e["keep"])))
@@ -388,8 +413,8 @@ class ErpTables:
             F.col("credit").alias("credit_in_transaction_currency"))
 
 
-# Landing layout of the test bed: headers clustered by their date (with the
-# unique name so a busy day can be split), lines spread evenly.
+# Landing layout of tables that are not ``dealt``: headers clustered by their
+# date (with the unique name so a busy day can be split), lines spread evenly.
 LAYOUT = {
     "gl_entry": ("range", ("posting_date", "name")),
     "sales_invoice": ("range", ("posting_date", "name")),
@@ -426,7 +451,7 @@ def landed_testbed(spark: SparkSession, sf_dir: str) -> "LandedTables":
     with _LANDING_LOCK:
         if key not in _LANDED:
             _LANDED[key] = LandedTables(spark, scratch_path(spark, "erp-landing"),
-                                        ErpTables(spark, sf_dir))
+                                        ErpTables(spark, sf_dir, dealt=True))
         return _LANDED[key]
 
 
@@ -447,7 +472,8 @@ class LandedTables:
         with _LANDING_LOCK:
             if name not in self.__dict__:
                 if self.derived is not None:
-                    land_tables(self.derived, self.root, [name], layout=LAYOUT)
+                    land_tables(self.derived, self.root, [name],
+                                layout=None if self.derived.dealt else LAYOUT)
                 self.__dict__[name] = self.spark.read.parquet(f"{self.root}/{name}")
         return self.__dict__[name]
 

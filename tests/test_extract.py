@@ -403,6 +403,22 @@ def test_shared_folder_is_required_on_a_cluster():
     assert shared_dir(Session()) == "hdfs:///shared"
 
 
+def test_a_table_is_dealt_before_its_rows_are_made(spark):
+    """Landing moves an order once, not each of its ledger entries."""
+    from ledgerline.sources.testbed import ErpTables
+
+    for name in ("gl_entry", "sales_order", "sales_invoice", "journal_entry", "payment_entry", "purchase_invoice",
+                 "sales_order_item", "sales_team"):
+        plain, dealt = (getattr(ErpTables(spark, SF_SMALL, dealt), name) for dealt in (False, True))
+        assert dealt.columns == plain.columns
+        assert dealt.exceptAll(plain).isEmpty() and dealt.count() == plain.count()
+    plan = ErpTables(spark, SF_SMALL, dealt=True).gl_entry._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("rangepartitioning")
+    days = [[r[0] for r in part] for part in ErpTables(spark, SF_SMALL, dealt=True).gl_entry.select(
+        "posting_date").rdd.glom().collect()]
+    assert sum(days, []) == sorted(sum(days, []))
+
+
 def test_a_report_lands_only_its_tables(spark):
     import os
     import tempfile
