@@ -104,7 +104,8 @@ def load_dimension(spark: SparkSession, name: str, rows: DataFrame, snapshot_dir
     else:
         old = compaction.read_snapshot(spark, snapshot_dir, name).select(
             F.col(key), row_digest(content).alias("__was"), F.col("created_at"))
-        changed = fresh.join(old, key, "left").where(~F.col("__digest").eqNullSafe(F.col("__was"))).withColumn(
+        # merged by key: as a broadcast the old digests would all pass through the driver
+        changed = fresh.join(old.hint("merge"), key, "left").where(~F.col("__digest").eqNullSafe(F.col("__was"))).withColumn(
             "created_at", F.coalesce("created_at", stamp))
     changed = changed.select(*columns, "created_at", stamp.alias("updated_at"), stamp.alias("__landed"),
                              F.lit("load").alias("__ds"), F.lit(False).alias("__gone"))

@@ -107,6 +107,15 @@ def test_key_filter_misses_no_key(spark):
     assert keys_of(key_filter.merged_filters(*parts)) == keys_of(held)
 
 
+def test_a_key_is_one_row_of_its_bitmap(spark):
+    """A filter is stored, and keys meet it as one row each, not one per bit."""
+    held = key_filter.key_filter(spark.range(30_000), ["id"], key_filter.filter_bits(30_000))
+    assert "key-filter" in held.inputFiles()[0] and held.count() == held.select("block").distinct().count()
+    asked = key_filter.possible_keys(spark.range(25_000, 60_000), ["id"], held)
+    assert "Generate" not in asked._jdf.queryExecution().executedPlan().toString()
+    assert spark.range(25_000, 30_000).exceptAll(asked).isEmpty() and asked.count() < 5000 + 0.03 * 30_000
+
+
 def test_increment_checks_equal_the_checks_of_the_union(spark):
     old = spark.range(5000).select(F.col("id").alias("a"), (F.col("id") % 3).alias("b"))
     new = spark.range(4900, 5300).select(F.col("id").alias("a"), (F.col("id") % 3).alias("b"))
@@ -202,6 +211,20 @@ def test_a_refresh_reads_changed_buckets_only(spark, tmp_dir, monkeypatch):
 
 # -- dimensions -----------------------------------------------------------------
 
+def test_dimension_loads_broadcast_no_old_rows(spark, tmp_dir, monkeypatch):
+    """What changed is found by a merge: the driver is sent no digests."""
+    import datetime as dt
+    seen, merge = [], incremental.compaction.merge_rows
+    monkeypatch.setattr(incremental.compaction, "merge_rows", lambda s, d, t, rows, *a: (
+        seen.append(rows._jdf.queryExecution().executedPlan().toString()), merge(s, d, t, rows, *a))[1])
+    rows = spark.range(50).select(F.col("id").cast("int").alias("customer_id"),
+                                  F.lit("a").alias("customer_name"), F.lit("b").alias("country"))
+    incremental.load_dimension(spark, "customers", rows, tmp_dir, dt.datetime(2001, 7, 1))
+    changed = rows.withColumn("country", F.when(F.col("customer_id") > 9, F.lit("b")))
+    assert incremental.load_dimension(spark, "customers", changed, tmp_dir, dt.datetime(2001, 7, 2)) == 10
+    assert "Broadcast" not in seen[1] and "SortMergeJoin" in seen[1]
+
+
 def test_dimension_loads_move_stamps_of_changed_rows(spark, tmp_dir):
     rows = lambda *r: spark.createDataFrame(r, "customer_id long, customer_name string, country string")
     load = lambda df, t: incremental.load_dimension(spark, "customers", df, tmp_dir, t)
